@@ -195,8 +195,8 @@ def _(v):
 @query(
     "k05_baseline_ingredients",
     f"""SELECT i.location_num, r.ingredient_id, business_date, "interval", unit_of_measure,
-      round(sum(forecast_sum_daily_quantity * coalesce(y.ycf, 1e0) * ingredient_quantity), 2)
-        sumingredient, {TODAY} generation_date
+      CAST(round(sum(CAST(CAST(forecast_sum_daily_quantity * coalesce(y.ycf, 1e0)
+        * ingredient_quantity AS VARCHAR) AS DECIMAL(28,9))), 2) AS DOUBLE) sumingredient, {TODAY} generation_date
     FROM baseline_items i JOIN recipe r ON r.pin = i.product
     LEFT JOIN (SELECT location_num, ingredient_id, avg(ycf) ycf FROM ycf GROUP BY 1, 2) y
       ON y.location_num = i.location_num AND y.ingredient_id = r.ingredient_id
@@ -859,6 +859,10 @@ V["limits_all"] = " UNION ALL ".join(
 
 
 def all_limits(v: Views) -> DataFrame:
+    return v.stored("weekday_limits", lambda: _all_limits(v))
+
+
+def _all_limits(v: Views) -> DataFrame:
     out = None
     for metric, demand in demands(v).items():
         part = limits.weekday_limits(demand).select(
@@ -957,9 +961,16 @@ V["doc_deferred_items"] = f"""
 
 
 class Documents:
-    """The parts of the short-horizon documents."""
+    """The parts of the short-horizon documents; ``stored`` reads them as tables."""
+
+    NAMES = ("header", "metrics", "deferred_metrics", "items", "ingredients", "deferred_items")
 
-    def __init__(self, v: Views):
+    def __init__(self, v: Views, stored: bool = False):
+        if stored:
+            for name in self.NAMES:
+                part = v.stored(f"doc_{name}", lambda n=name: getattr(Documents(v), n), LOC, DAY)
+                setattr(self, name, part)
+            return
         self.forecast = v.forecast_15min("short")
         self.dates = delivery.delivery_dates(self.forecast)
         self.header = delivery.doc_header(self.forecast, v.latest_sales_daily, self.dates)
@@ -1069,7 +1080,7 @@ _DOC_TEXT = ", ".join(
 
 @query("k31_documents", f"SELECT * REPLACE ({_DOC_TEXT}) FROM document_lines")
 def _(v):
-    return flat_document(Documents(v).build())
+    return flat_document(Documents(v, stored=True).build())
 
 
 @query(
@@ -1078,7 +1089,7 @@ def _(v):
     "FROM document_lines",
 )
 def _(v):
-    return flat_document(Documents(v).build(summary=True))
+    return flat_document(Documents(v, stored=True).build(summary=True))
 
 
 @query(
@@ -1089,4 +1100,4 @@ def _(v):
 )
 def _(v):
     pairs = v.deferred_sales_15min.select(LOC, F.date_add(DAY, 364).alias(DAY))
-    return flat_document(Documents(v).build(only=pairs))
+    return flat_document(Documents(v, stored=True).build(only=pairs))

@@ -6,6 +6,7 @@ line items; see FIXTURES.md.  ``views_sql`` holds the same definitions as SQL.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date, timedelta
 from functools import cached_property
 
@@ -22,6 +23,7 @@ from tillcast.functions.calendar import (
 from tillcast.functions.numeric import dec2
 from tillcast.operators.predicates import NO_DATE
 from tillcast.operators.snapshot import dedupe_latest
+from tillcast.session import new_path
 
 AS_OF = date(2001, 7, 1)
 LAST_PREPARED = date(2001, 10, 28)
@@ -37,12 +39,36 @@ def days(n: int) -> date:
     return AS_OF + timedelta(days=n)
 
 
+# Tables already loaded: (application, scale-factor folder, name) -> path and schema.
+_LOADED: dict[tuple[str, str, str], tuple] = {}
+
+
 class Views:
-    """Lazily built DataFrames over one scale-factor folder."""
+    """DataFrames over one scale-factor folder.
+
+    Facts, their newest versions, the calendar, check tables and document
+    parts are stored tables in the pipeline, so they are derived once per
+    application and written as Parquet to the shared folder; every query reads
+    them from there.  The rest are views over them.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
+    def stored(self, name: str, build: Callable[[], DataFrame], *order: str) -> DataFrame:
+        """The table of that name, derived and written on first use.
+
+        Rows are sorted inside every file, so that row groups cover short
+        ranges of stores and dates and can be skipped.
+        """
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in _LOADED:
+            df, path = build(), new_path(self.spark, name)
+            (df.sortWithinPartitions(*order) if order else df).write.parquet(path)
+            _LOADED[key] = (path, df.schema)
+        path, schema = _LOADED[key]
+        return self.spark.read.schema(schema).parquet(path)
+
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
@@ -81,52 +107,95 @@ class Views:
 
     @cached_property
     def sales_daily(self) -> DataFrame:
-        return self._sales(self.lines)
+        return self.stored("sales_daily", lambda: self._sales(self.lines), LOC, DAY)
 
     @cached_property
     def sales_15min(self) -> DataFrame:
-        return self._sales(self.lines, "timequarter")
+        return self.stored(
+            "sales_15min", lambda: self._sales(self.lines, "timequarter"), LOC, DAY
+        )
 
     @cached_property
     def items_daily(self) -> DataFrame:
-        return self._items(self.lines)
+        return self.stored("items_daily", lambda: self._items(self.lines), LOC, DAY)
 
     @cached_property
     def items_15min(self) -> DataFrame:
-        return self._items(self.lines, "timequarter")
+        return self.stored(
+            "items_15min", lambda: self._items(self.lines, "timequarter"), LOC, DAY
+        )
 
     @cached_property
     def deferred_sales_15min(self) -> DataFrame:
-        return self._sales(self.lines.where(F.col("flag") == "R"), "timequarter")
+        return self.stored(
+            "deferred_sales_15min",
+            lambda: self._sales(self.lines.where(F.col("flag") == "R"), "timequarter"),
+            LOC,
+            DAY,
+        )
 
     @cached_property
     def deferred_items_15min(self) -> DataFrame:
-        return self._items(self.lines.where(F.col("flag") == "R"), "timequarter")
+        return self.stored(
+            "deferred_items_15min",
+            lambda: self._items(self.lines.where(F.col("flag") == "R"), "timequarter"),
+            LOC,
+            DAY,
+        )
 
     @cached_property
     def latest_sales_daily(self) -> DataFrame:
-        return dedupe_latest(self.sales_daily, [LOC, DAY], ["sales_sub_total", "trans_count"])
+        return self.stored(
+            "latest_sales_daily",
+            lambda: dedupe_latest(
+                self.sales_daily, [LOC, DAY], ["sales_sub_total", "trans_count"]
+            ),
+            LOC,
+            DAY,
+        )
 
     @cached_property
     def latest_sales_15min(self) -> DataFrame:
-        return dedupe_latest(
-            self.sales_15min, [LOC, "timequarter"], [DAY, "sales_sub_total", "trans_count"]
+        return self.stored(
+            "latest_sales_15min",
+            lambda: dedupe_latest(
+                self.sales_15min, [LOC, "timequarter"], [DAY, "sales_sub_total", "trans_count"]
+            ),
+            LOC,
+            DAY,
         )
 
     @cached_property
     def latest_items_daily(self) -> DataFrame:
-        return dedupe_latest(self.items_daily, [LOC, "product", DAY], ["sum_daily_quantity"])
+        return self.stored(
+            "latest_items_daily",
+            lambda: dedupe_latest(
+                self.items_daily, [LOC, "product", DAY], ["sum_daily_quantity"]
+            ),
+            LOC,
+            DAY,
+        )
 
     @cached_property
     def latest_items_15min(self) -> DataFrame:
-        return dedupe_latest(
-            self.items_15min, [LOC, "product", "timequarter"], [DAY, "sum_daily_quantity"]
+        return self.stored(
+            "latest_items_15min",
+            lambda: dedupe_latest(
+                self.items_15min, [LOC, "product", "timequarter"], [DAY, "sum_daily_quantity"]
+            ),
+            LOC,
+            DAY,
         )
 
     @cached_property
     def ingredients_15min(self) -> DataFrame:
-        return self._ingredients(self.items_15min, "timequarter").withColumnRenamed(
-            "_used", "ingredient_quantity"
+        return self.stored(
+            "ingredients_15min",
+            lambda: self._ingredients(self.items_15min, "timequarter").withColumnRenamed(
+                "_used", "ingredient_quantity"
+            ),
+            LOC,
+            DAY,
         )
 
     def _ingredients(self, items: DataFrame, *keys: str) -> DataFrame:
@@ -150,6 +219,9 @@ class Views:
 
     @cached_property
     def calendar_daily(self) -> DataFrame:
+        return self.stored("calendar_daily", self._calendar, DAY)
+
+    def _calendar(self) -> DataFrame:
         bounds = self.table("lineitem").agg(
             F.to_date(F.min("l_shipdate")).alias("a"),
             F.date_add(F.to_date(F.max("l_shipdate")), 60).alias("b"),
@@ -253,6 +325,9 @@ class Views:
 
     @cached_property
     def recipe_history(self) -> DataFrame:
+        return self.stored("recipe_history", self._recipes)
+
+    def _recipes(self) -> DataFrame:
         newest = (
             self.table("part")
             .groupBy(

@@ -76,10 +76,16 @@ def not_in(df: DataFrame, key: str, listed: DataFrame) -> DataFrame:
     whole list.
     """
     values = listed.select(F.col(listed.columns[0]).alias(key)).distinct()
-    total = values.agg(F.count(F.lit(1))).scalar()
-    nulls = values.agg(F.count(F.when(F.col(key).isNull(), 1))).scalar()
+    summary = values.agg(
+        F.struct(
+            F.count(F.lit(1)).alias("total"),
+            F.count(F.when(F.col(key).isNull(), 1)).alias("nulls"),
+        )
+    ).scalar()
     kept = df.join(values, key, "left_anti")
-    return kept.where((total == 0) | ((nulls == 0) & F.col(key).isNotNull()))
+    return kept.where(
+        (summary["total"] == 0) | ((summary["nulls"] == 0) & F.col(key).isNotNull())
+    )
 
 
 def padded_join(left: DataFrame, right: DataFrame, key: str = LOC) -> DataFrame:

@@ -198,11 +198,16 @@ def baseline_forecast(
 def baseline_ingredients(
     items: DataFrame, recipe: DataFrame, ycf: DataFrame, as_of: date
 ) -> DataFrame:
-    """Ingredient forecast out of the item forecast."""
+    """Ingredient forecast out of the item forecast.
+
+    Amounts are summed as decimals: the total does not depend on the order in
+    which partitions arrive, so a rerun rounds the same way.
+    """
     used = F.col("forecast_sum_daily_quantity") * F.col("ycf") * F.col("ingredient_quantity")
+    exact = F.sum(used.cast("decimal(28,9)"))
     lines = explode_recipe(items, recipe, mean_yield(ycf))
     return (
         lines.groupBy(LOC, "ingredient_id", "business_date", "interval", "unit_of_measure")
-        .agg(F.round(F.sum(used), 2).alias("sumingredient"))
+        .agg(F.round(exact, 2).cast("double").alias("sumingredient"))
         .withColumn("generation_date", F.lit(as_of))
     )

@@ -308,12 +308,34 @@ def passed_stores(
 ) -> DataFrame:
     """Padded stores passing in items and in metrics and failing nowhere.
 
+    One pass over the check rows decides all three conditions per store.  The
+    failing stores act as a NOT IN list: a NULL store failing an item check
+    empties the result, and one failing a metric check counts as store 0.
     ``modelled`` stores are left out too, as the baseline list does.
     """
-    items = union_all(*_flagged(item_checks, 1, False)).distinct()
-    metrics = union_all(*_flagged(metric_checks, 1, False)).distinct()
-    out = failed_stores(item_checks, metric_checks)
+    qc = F.col("forecast_qc")
+    items = [latest_snapshot(t).select(LOC, qc, F.lit("item").alias("_f")) for t in item_checks]
+    metrics = [
+        latest_snapshot(t).select(
+            F.when(qc == 0, F.coalesce(LOC, F.lit(0))).otherwise(F.col(LOC)).alias(LOC),
+            qc,
+            F.lit("metric").alias("_f"),
+        )
+        for t in metric_checks
+    ]
+    per_store = (
+        union_all(*items, *metrics)
+        .groupBy(LOC)
+        .agg(
+            F.max((F.col("_f") == "item") & (qc == 1)).alias("_items"),
+            F.max((F.col("_f") == "metric") & (qc == 1)).alias("_metrics"),
+            F.max(qc == 0).alias("_failed"),
+        )
+    )
+    unknown = per_store.where(F.col(LOC).isNull() & F.col("_failed")).agg(F.count(F.lit(1)))
+    kept = per_store.where(
+        F.col(LOC).isNotNull() & F.col("_items") & F.col("_metrics") & ~F.col("_failed")
+    ).where(unknown.scalar() == 0)
     if modelled is not None:
-        out = out.union(modelled.select(LOC)).distinct()
-    kept = not_in(items.join(metrics, LOC), LOC, out)
+        kept = not_in(kept, LOC, modelled.select(LOC))
     return kept.select(pad_store(F.col(LOC)).alias("store_number"))
