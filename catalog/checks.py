@@ -503,16 +503,16 @@ def _(v):
 
 @query(
     "q12_limit_flags",
-    "SELECT * REPLACE (round(total, 4) AS total, round(min_limit, 3) AS min_limit, "
-    "round(max_limit, 3) AS max_limit) FROM limit_flags",
+    "SELECT * REPLACE (round(total, 4) AS total, round(min_limit, 8) AS min_limit, "
+    "round(max_limit, 8) AS max_limit) FROM limit_flags",
 )
 def _(v):
     out = DocumentChecks(v).limits
     return out.withColumns(
         {
             "total": F.round("total", 4),
-            "min_limit": F.round("min_limit", 3),
-            "max_limit": F.round("max_limit", 3),
+            "min_limit": F.round("min_limit", 8),
+            "max_limit": F.round("max_limit", 8),
         }
     )
 
@@ -641,7 +641,8 @@ def _(v):
     FROM (SELECT
       CASE WHEN EXISTS (SELECT 1 FROM {_newest_all("ycf")} GROUP BY location_num, ingredient_id
         HAVING count(*) > 1) THEN 1 ELSE 0 END yield_not_unique,
-      CASE WHEN EXISTS (SELECT 1 FROM {_newest_all("recipe_history")} GROUP BY ALL
+      CASE WHEN EXISTS (SELECT 1 FROM {_newest_all("recipe_history")}
+        GROUP BY pin, ingredient_id, ingredient_quantity, unit_of_measure, generation_date
         HAVING count(*) > 1) THEN 1 ELSE 0 END recipe_not_unique,
       CASE WHEN (SELECT count(DISTINCT interval_start_time)
         FROM {_newest_all("forecast_ingredients_15min_short")}) <> 96 THEN 1 ELSE 0 END

@@ -130,6 +130,11 @@ V["baseline_items"] = _baseline_sql(
 )
 
 
+def control(v: Views) -> DataFrame:
+    """Store, prediction date, lookup weeks and smoothing, both horizons."""
+    return baseline.control_table(v.stores, v.settings, AS_OF, reduce_long=False)
+
+
 def k01(v: Views) -> DataFrame:
     return baseline.baseline_dates(
         v.sales_daily, v.items_daily, v.settings, v.stores, v.saturday_off, AS_OF, STAPLES
@@ -963,26 +968,34 @@ V["doc_deferred_items"] = f"""
 class Documents:
     """The parts of the short-horizon documents; ``stored`` reads them as tables."""
 
-    NAMES = ("header", "metrics", "deferred_metrics", "items", "ingredients", "deferred_items")
-
     def __init__(self, v: Views, stored: bool = False):
-        if stored:
-            for name in self.NAMES:
-                part = v.stored(f"doc_{name}", lambda n=name: getattr(Documents(v), n), LOC, DAY)
-                setattr(self, name, part)
-            return
-        self.forecast = v.forecast_15min("short")
-        self.dates = delivery.delivery_dates(self.forecast)
-        self.header = delivery.doc_header(self.forecast, v.latest_sales_daily, self.dates)
-        self.metrics = delivery.doc_metrics(self.forecast, v.sales_15min, self.dates)
-        self.deferred_metrics = delivery.doc_deferred_metrics(v.deferred_sales_15min, self.dates)
-        self.items = delivery.doc_items(
-            v.forecast_items_15min("short"), v.items_15min, self.dates
+        self.v, self.stored = v, stored
+
+    def _part(self, name: str) -> DataFrame:
+        v = self.v
+        if self.stored:
+            return v.stored(f"doc_{name}", lambda: getattr(Documents(v), name), LOC, DAY)
+        dates = delivery.delivery_dates(v.forecast_15min("short"))
+        if name == "header":
+            return delivery.doc_header(v.forecast_15min("short"), v.latest_sales_daily, dates)
+        if name == "metrics":
+            return delivery.doc_metrics(v.forecast_15min("short"), v.sales_15min, dates)
+        if name == "deferred_metrics":
+            return delivery.doc_deferred_metrics(v.deferred_sales_15min, dates)
+        if name == "items":
+            return delivery.doc_items(v.forecast_items_15min("short"), v.items_15min, dates)
+        if name == "deferred_items":
+            return delivery.doc_deferred_items(v.deferred_items_15min, dates)
+        return delivery.doc_ingredients(
+            v.forecast_ingredients_15min("short"), v.ingredients_15min, dates
         )
-        self.ingredients = delivery.doc_ingredients(
-            v.forecast_ingredients_15min("short"), v.ingredients_15min, self.dates
-        )
-        self.deferred_items = delivery.doc_deferred_items(v.deferred_items_15min, self.dates)
+
+    header = property(lambda self: self._part("header"))
+    metrics = property(lambda self: self._part("metrics"))
+    deferred_metrics = property(lambda self: self._part("deferred_metrics"))
+    items = property(lambda self: self._part("items"))
+    deferred_items = property(lambda self: self._part("deferred_items"))
+    ingredients = property(lambda self: self._part("ingredients"))
 
     def build(self, summary: bool = False, only: DataFrame | None = None) -> DataFrame:
         return delivery.build_documents(

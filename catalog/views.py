@@ -394,51 +394,59 @@ class Views:
         ahead = F.datediff(F.col(DAY), F.col(GEN))
         return self._runs(shifted).where(ahead.between(first, last))
 
-    def forecast_sales(self, horizon: str = "short", measure: str = "sales_sub_total") -> DataFrame:
-        value = F.col(measure).cast("double").alias("forecast")
-        return self._ahead(self.latest_sales_daily, horizon).select(LOC, DAY, value, GEN)
+    def _forecast(self, name: str, latest: DataFrame, horizon: str, *columns) -> DataFrame:
+        return self.stored(
+            f"{name}_{horizon}",
+            lambda: self._ahead(latest, horizon).select(LOC, DAY, *columns, GEN),
+            LOC,
+            DAY,
+        )
+
+    def forecast_sales(self, horizon: str = "short") -> DataFrame:
+        value = F.col("sales_sub_total").cast("double").alias("forecast")
+        return self._forecast("forecast_sales", self.latest_sales_daily, horizon, value)
 
     def forecast_trans(self, horizon: str = "short") -> DataFrame:
-        return self.forecast_sales(horizon, "trans_count")
+        value = F.col("trans_count").cast("double").alias("forecast")
+        return self._forecast("forecast_trans", self.latest_sales_daily, horizon, value)
 
     def forecast_items(self, horizon: str = "short") -> DataFrame:
-        return self._ahead(self.latest_items_daily, horizon).select(
-            LOC,
-            DAY,
+        return self._forecast(
+            "forecast_items",
+            self.latest_items_daily,
+            horizon,
             F.col("product").alias("item_id"),
             F.col("sum_daily_quantity").cast("double").alias("forecast"),
-            GEN,
         )
 
     def forecast_15min(self, horizon: str = "short") -> DataFrame:
-        return self._ahead(self.latest_sales_15min, horizon).select(
-            LOC,
-            DAY,
+        return self._forecast(
+            "forecast_15min",
+            self.latest_sales_15min,
+            horizon,
             time_of_day(F.col("timequarter")).alias("interval_start_time"),
             F.col("sales_sub_total").cast("double").alias("forecast"),
             F.col("trans_count").cast("double").alias("forecast_tx"),
-            GEN,
         )
 
     def forecast_items_15min(self, horizon: str = "short") -> DataFrame:
-        return self._ahead(self.latest_items_15min, horizon).select(
-            LOC,
-            DAY,
+        return self._forecast(
+            "forecast_items_15min",
+            self.latest_items_15min,
+            horizon,
             F.col("product").alias("item_id"),
             time_of_day(F.col("timequarter")).alias("interval_start_time"),
             F.col("sum_daily_quantity").cast("double").alias("forecast"),
-            GEN,
         )
 
     def forecast_ingredients_15min(self, horizon: str = "short") -> DataFrame:
-        used = self._ingredients(self.latest_items_15min, "timequarter")
-        return self._ahead(used, horizon).select(
-            LOC,
-            DAY,
+        return self._forecast(
+            "forecast_ingredients_15min",
+            self._ingredients(self.latest_items_15min, "timequarter"),
+            horizon,
             "ingredient_id",
             time_of_day(F.col("timequarter")).alias("interval_start_time"),
             F.col("_used").alias("forecast"),
-            GEN,
         )
 
     def _ratios(self, part: DataFrame, whole: DataFrame, keys: list[str], measure: str):
@@ -456,6 +464,9 @@ class Views:
         )
 
     def metric_ratios(self, measure: str = "sales_sub_total") -> DataFrame:
+        return self.stored(f"ratios_{measure}", lambda: self._metric_ratios(measure), LOC, DAY)
+
+    def _metric_ratios(self, measure: str) -> DataFrame:
         ratios = self._ratios(
             self.latest_sales_15min, self.latest_sales_daily, [LOC, DAY], measure
         )
@@ -464,6 +475,9 @@ class Views:
         return self._runs(ratios).withColumn("ratio", share)
 
     def item_ratios(self) -> DataFrame:
+        return self.stored("item_ratios", self._item_ratios, LOC, DAY)
+
+    def _item_ratios(self) -> DataFrame:
         return self._ratios(
             self.latest_items_15min.where(F.col("product") % 5 != 0),
             self.latest_items_daily,

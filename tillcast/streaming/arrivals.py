@@ -36,6 +36,11 @@ def _append_batch(out: str):
     return write
 
 
+def run_append(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """Runs the stream over what is there and writes every batch to its own folder."""
+    return _run(stream, checkpoint, _append_batch(out))
+
+
 def _documents(spark: SparkSession, path: str, files_per_batch: int) -> DataFrame:
     return (
         spark.readStream.schema(schemas.DOCUMENT)
@@ -68,7 +73,7 @@ def stream_arrivals(
         F.to_date(F.substring("GenerationDate", 1, 10)).alias("generation_date"),
         F.lit(as_of).alias("row_entry_date"),
     )
-    _run(log, checkpoint, _append_batch(out))
+    run_append(log, out, checkpoint)
     return spark.read.parquet(out).drop("batch")
 
 
@@ -149,6 +154,6 @@ def stream_ycf(
             F.lit(as_of).alias("generation_date"),
         )
     )
-    _run(rows, checkpoint, _append_batch(out))
+    run_append(rows, out, checkpoint)
     return spark.read.parquet(out).drop("batch")
 
