@@ -145,13 +145,23 @@ def k02(v: Views) -> DataFrame:
     return baseline.baseline_trend(v.sales_daily, v.settings, v.stores, AS_OF)
 
 
+def control_tables(v: Views) -> tuple[DataFrame, DataFrame]:
+    """History dates and trend as the stored tables that both forecasts read."""
+    return (
+        v.stored("baseline_dates", lambda: k01(v), LOC, "prediction_date"),
+        v.stored("baseline_trend", lambda: k02(v), LOC, "prediction_date"),
+    )
+
+
 def k03(v: Views) -> DataFrame:
-    return baseline.baseline_forecast(v.sales_15min, k01(v), k02(v), v.stores, PAST_METRICS, AS_OF)
+    return baseline.baseline_forecast(
+        v.sales_15min, *control_tables(v), v.stores, PAST_METRICS, AS_OF
+    )
 
 
 def k04(v: Views) -> DataFrame:
     return baseline.baseline_forecast(
-        v.items_15min, k01(v), k02(v), v.stores, PAST_ITEMS, AS_OF, by="product"
+        v.items_15min, *control_tables(v), v.stores, PAST_ITEMS, AS_OF, by="product"
     )
 
 
@@ -208,7 +218,8 @@ def _(v):
     GROUP BY ALL""",
 )
 def _(v):
-    return baseline.baseline_ingredients(k04(v), v.recipe, v.ycf, AS_OF)
+    items = v.stored("baseline_items", lambda: k04(v), LOC, DAY)
+    return baseline.baseline_ingredients(items, v.recipe, v.ycf, AS_OF)
 
 
 # -- breakdown -------------------------------------------------------------------
@@ -528,6 +539,11 @@ def input_metrics(v: Views) -> DataFrame:
 
 
 def input_items(v: Views) -> DataFrame:
+    """The stored input of the scoring chain."""
+    return v.stored("input_items", lambda: _input_items(v), LOC, "product", DAY)
+
+
+def _input_items(v: Views) -> DataFrame:
     facts = v.past(v.latest_items_daily)
     return model_input.model_input(
         facts,
@@ -553,7 +569,7 @@ def _(v):
 
 @query("k16_model_input_items", "SELECT * FROM input_items")
 def _(v):
-    return input_items(v)
+    return _input_items(v)
 
 
 # -- naive -------------------------------------------------------------------------
@@ -975,7 +991,9 @@ class Documents:
         v = self.v
         if self.stored:
             return v.stored(f"doc_{name}", lambda: getattr(Documents(v), name), LOC, DAY)
-        dates = delivery.delivery_dates(v.forecast_15min("short"))
+        dates = v.stored(
+            "delivery_dates", lambda: delivery.delivery_dates(v.forecast_15min("short"))
+        )
         if name == "header":
             return delivery.doc_header(v.forecast_15min("short"), v.latest_sales_daily, dates)
         if name == "metrics":

@@ -47,7 +47,7 @@ def _(v):
     rows = _like(v.items_daily, schemas.ITEMS_DAILY)
     early = F.col(DAY) < F.lit(days(-700))
     S.write_by_store(rows.where(early), path, "overwrite")
-    S.write_by_store(rows.where(~early), path, "append", salt=4)
+    S.write_by_store(rows.where(~early), path, "append")
     declared = T.StructType([*schemas.ITEMS_DAILY, T.StructField("store_num", T.IntegerType())])
     return v.spark.read.schema(declared).option("header", True).csv(path)
 

@@ -10,6 +10,16 @@ from pyspark.sql import functions as F
 GENERATION = "generation_date"
 
 
+def not_before(df: DataFrame, col: str, bounds: DataFrame, bound: str) -> DataFrame:
+    """Rows at or after the smallest bound of a small frame.
+
+    For use before joining a fact table with a frame aggregated from it.  The
+    planner cannot know that frame is small and shuffles the facts; the scalar
+    sub-query reaches the scan, skips row groups and leaves little to shuffle.
+    """
+    return df.where(F.col(col) >= bounds.agg(F.min(bound)).scalar())
+
+
 def latest_snapshot(
     df: DataFrame, col: str = GENERATION, keys: list[str] | None = None
 ) -> DataFrame:
@@ -23,7 +33,7 @@ def latest_snapshot(
     if not keys:
         return df.where(F.col(col) == df.agg(F.max(col)).scalar())
     newest = df.groupBy(*keys).agg(F.max(col).alias(col))
-    return df.join(newest, [*keys, col], "left_semi")
+    return not_before(df, col, newest, col).join(newest, [*keys, col], "left_semi")
 
 
 def dedupe_latest(
@@ -92,12 +102,14 @@ def incremental_slice(calendar: DataFrame, bounds: DataFrame) -> DataFrame:
     """Calendar rows of every store's range.
 
     Each store's range is expanded to its dates inside the row and joined to
-    the calendar on the date; there is no range join and no cross join.
+    the calendar on the date; there is no range join and no cross join.  The
+    calendar is broadcast: it has one row, or 96, per day of its span, while
+    few dates would make few, large shuffle partitions.
     """
     days = bounds.where(F.col("_after") < F.col("_through")).withColumn(
         "business_date", F.explode(F.sequence(F.date_add("_after", 1), F.col("_through")))
     )
-    return days.drop("_after", "_through").join(calendar, "business_date")
+    return days.drop("_after", "_through").join(F.broadcast(calendar), "business_date")
 
 
 def latest_dates(df: DataFrame, n: int, key: str = "location_num") -> DataFrame:

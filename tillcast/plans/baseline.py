@@ -15,7 +15,7 @@ from tillcast.functions.calendar import fiscal_last_year, horizon_dates
 from tillcast.functions.numeric import planned_mean, safe_ratio, uplift
 from tillcast.operators.joins import explode_recipe, mean_yield, scaffold
 from tillcast.operators.predicates import operable_dates, parse_settings
-from tillcast.operators.snapshot import dedupe_latest, top_n_by
+from tillcast.operators.snapshot import dedupe_latest, not_before, top_n_by
 from tillcast.operators.windows import recent_same_weekday, trim_extremes, with_survivors
 
 LOC = "location_num"
@@ -155,13 +155,16 @@ def baseline_forecast(
     """15-minute forecast of every store, both horizons and all 96 intervals.
 
     With ``by`` the forecast is per product, for the products seen on the
-    fetched days.  Facts are cut to the wanted store-dates before versions are
-    resolved, so the large table is shuffled only for those days.
+    fetched days.  Facts are cut to the wanted dates in the scan and to the
+    wanted store-dates before versions are resolved, so the large table is
+    shuffled only for those days.  Pass ``dates`` and ``trend`` as stored
+    control tables where they are used more than once.
     """
     series = [LOC, by] if by else [LOC]
     wanted = dates.select(LOC, "business_date").distinct()
     columns = [*series, "business_date", "timequarter", *metrics, "generation_date"]
-    fetched = facts.select(*columns).join(wanted, [LOC, "business_date"], "left_semi")
+    recent = not_before(facts.select(*columns), "business_date", wanted, "business_date")
+    fetched = recent.join(wanted, [LOC, "business_date"], "left_semi")
     current = dedupe_latest(
         fetched, [*series, "timequarter"], ["business_date", *metrics]
     ).withColumn("interval", F.substring(F.col("timequarter").cast("string"), 12, 8))

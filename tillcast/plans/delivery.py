@@ -16,7 +16,7 @@ from tillcast.functions.numeric import dec2
 from tillcast.functions.text import pad_store
 from tillcast.operators.joins import full_join
 from tillcast.operators.predicates import drop_all_zero
-from tillcast.operators.snapshot import latest_snapshot
+from tillcast.operators.snapshot import latest_snapshot, not_before
 
 LOC = "location_num"
 DAY = "business_date"
@@ -25,7 +25,10 @@ FORECAST, DEFERRED = "3", "2"  # fixed values: service types
 
 
 def delivery_dates(forecast: DataFrame) -> DataFrame:
-    """Dates of each store's newest run and the day of last year to compare."""
+    """Dates of each store's newest run and the day of last year to compare.
+
+    A few rows per store, used by every part of a document: store them once.
+    """
     dates = latest_snapshot(forecast, keys=[LOC]).select(*KEY).distinct()
     return dates.withColumn("ly_date", last_year_date(F.col(DAY)))
 
@@ -33,7 +36,8 @@ def delivery_dates(forecast: DataFrame) -> DataFrame:
 def _last_year(facts: DataFrame, dates: DataFrame) -> DataFrame:
     """Facts of the compared days under the delivered date."""
     days = dates.select(LOC, F.col(DAY).alias("_day"), F.col("ly_date").alias(DAY))
-    return facts.join(days, KEY).drop(DAY).withColumnRenamed("_day", DAY)
+    recent = not_before(facts, DAY, days, DAY)
+    return recent.join(days, KEY).drop(DAY).withColumnRenamed("_day", DAY)
 
 
 def _newest(forecast: DataFrame, dates: DataFrame) -> DataFrame:
@@ -210,20 +214,14 @@ def _details(rows: DataFrame, fields: dict[str, str], order: list[str], name: st
     """One sorted array per document.
 
     A document holds 96 rows per code of one store and day, which is what the
-    contract delivers; the list grows with the codes, not with history.
+    contract delivers; the list grows with the codes, not with history.  The
+    sort key leads each element, so the built-in struct order sorts it.
     """
-    lines = F.collect_list(F.struct(*_texts(fields)))
-    return rows.groupBy(*KEY).agg(F.array_sort(lines, _by(order)).alias(name))
-
-
-def _by(order: list[str]):
-    def compare(a: Column, b: Column) -> Column:
-        result = F.lit(0)
-        for c in reversed(order):
-            result = F.when(a[c] < b[c], -1).when(a[c] > b[c], 1).otherwise(result)
-        return result
-
-    return compare
+    keys = [c for c in order if c in rows.columns]
+    rest = [c for c in fields.values() if c not in keys]
+    line = F.struct(*keys, *rest, F.struct(*_texts(fields)).alias("_line"))
+    lines = F.array_sort(F.collect_list(line))
+    return rows.groupBy(*KEY).agg(F.transform(lines, lambda x: x["_line"]).alias(name))
 
 
 def build_documents(
@@ -241,7 +239,7 @@ def build_documents(
     listed store-date pairs, as the fallback flavour does.
     """
     wanted = header if only is None else header.join(only.select(*KEY).distinct(), KEY, "left_semi")
-    order = ["ServiceType", "IntervalStart"]
+    order = ["servicetype", "code", "intervalstart"]
     docs = wanted.join(_details(metrics, _METRIC, order, "MetricDetail"), KEY, "left")
     for name, rows, code in (
         ("SalesItemDetail", items, "SalesItemCode"),
@@ -252,7 +250,7 @@ def build_documents(
             none = F.array().cast(_array_type(fields))
             docs = docs.withColumn(name, none)
         else:
-            nested = _details(rows, fields, ["ServiceType", code, "IntervalStart"], name)
+            nested = _details(rows, fields, order, name)
             docs = docs.join(nested, KEY, "left")
     arrays = ["MetricDetail", "SalesItemDetail", "InventoryItemDetail"]
     kinds = {

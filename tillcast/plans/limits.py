@@ -7,16 +7,22 @@ from pyspark.sql import functions as F
 
 from tillcast.operators.aggregates import repair_medians, weekday_stats
 from tillcast.operators.predicates import regular_days
-from tillcast.operators.snapshot import latest_dates, latest_snapshot
+from tillcast.operators.snapshot import latest_dates, latest_snapshot, not_before
 
 LOC = "location_num"
 WINDOW = {"LSTM": 56, "baseline": 35}  # fixed values: dates looked back, by forecast type
 
 
+def _on_dates(rows: DataFrame, dates: DataFrame) -> DataFrame:
+    """Rows of the store's dates; older ones are already cut in the scan."""
+    recent = not_before(rows, "business_date", dates, "business_date")
+    return recent.join(dates, [LOC, "business_date"], "left_semi")
+
+
 def daily_demand(facts: DataFrame, calendar: DataFrame, measure: str, window: int) -> DataFrame:
     """Newest-version totals of regular non-Sunday days among the newest dates."""
     dates = latest_dates(facts, window)
-    rows = regular_days(facts, calendar).join(dates, [LOC, "business_date"], "left_semi")
+    rows = _on_dates(regular_days(facts, calendar), dates)
     return (
         latest_snapshot(rows, keys=[LOC, "business_date"])
         .groupBy(LOC, "business_date")
@@ -34,7 +40,7 @@ def ingredient_demand(
         facts.where(F.col("ingredient_id") == ingredient), calendar, drop_sunday=False
     )
     return (
-        rows.join(dates, [LOC, "business_date"], "left_semi")
+        _on_dates(rows, dates)
         .groupBy(LOC, "business_date")
         .agg(F.sum("ingredient_quantity").alias("demand"))
         .withColumn("weekday", F.weekday("business_date"))
@@ -48,9 +54,7 @@ def item_demand(
     dates = latest_dates(facts, window)
     rows = regular_days(facts.where(F.col("product") == item), calendar)
     return (
-        latest_snapshot(
-            rows.join(dates, [LOC, "business_date"], "left_semi"), keys=[LOC, "business_date"]
-        )
+        latest_snapshot(_on_dates(rows, dates), keys=[LOC, "business_date"])
         .groupBy(LOC, "business_date")
         .agg(F.sum("sum_daily_quantity").alias("demand"))
         .withColumn("weekday", F.weekday("business_date"))

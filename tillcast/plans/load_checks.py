@@ -11,7 +11,7 @@ from tillcast.functions.numeric import dec2, dsum
 from tillcast.functions.text import pad_store, partition_store
 from tillcast.operators.joins import side_by_side
 from tillcast.operators.sets import key_difference, key_intersection
-from tillcast.operators.snapshot import GENERATION, gap_stores, latest_snapshot
+from tillcast.operators.snapshot import GENERATION, gap_stores, latest_snapshot, not_before
 
 LOC = "location_num"
 
@@ -93,7 +93,8 @@ def reconcile_items(
 def _at_version_of(df: DataFrame, daily: DataFrame) -> DataFrame:
     """Rows of the newest version of another table, per store."""
     newest = daily.groupBy(LOC).agg(F.max(GENERATION).alias(GENERATION))
-    return df.join(newest, [LOC, GENERATION], "left_semi")
+    recent = not_before(df, GENERATION, newest, GENERATION)
+    return recent.join(newest, [LOC, GENERATION], "left_semi")
 
 
 def prep_check_metrics(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillcast.operators.predicates import closed_flag
+from tillcast.operators.snapshot import not_before
 from tillcast.plans.preparation import FEATURES
 
 LOC = "location_num"
@@ -50,7 +51,9 @@ def _calendar_rows(
     days = series.where(first <= last).withColumn(
         "business_date", F.explode(F.sequence(first, last))
     )
-    return days.join(calendar.select("business_date", *columns), "business_date")
+    # One row per calendar day: small whatever the facts, so it is broadcast.
+    rows = F.broadcast(calendar.select("business_date", *columns))
+    return days.join(rows, "business_date")
 
 
 def model_input(
@@ -77,7 +80,10 @@ def model_input(
     history = _calendar_rows(
         dated, calendar, F.date_sub("max_date", past - 1), today, FEATURES
     )
-    actuals = final.select(*keys, "business_date", *measures)
+    starts = last_good.select(F.date_sub("max_date", past - 1).alias("_start"))
+    actuals = not_before(
+        final.select(*keys, "business_date", *measures), "business_date", starts, "_start"
+    )
     # Only days up to the last good date may match, so the bound is part of the key.
     bounded = (
         actuals.join(last_good.select(LOC, "max_date"), LOC)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tillcast.functions.calendar import time_of_day
 from tillcast.operators.joins import explode_recipe, pad
 from tillcast.operators.predicates import closed_flag
-from tillcast.operators.snapshot import incremental_bounds, incremental_slice
+from tillcast.operators.snapshot import incremental_bounds, incremental_slice, not_before
 
 LOC = "location_num"
 # Calendar features carried into the daily tables.
@@ -31,7 +31,8 @@ FIRST_DATE = date(2018, 1, 1)  # fixed value: start of an empty ingredient histo
 def _actuals(initial: DataFrame, bounds: DataFrame) -> DataFrame:
     """Facts after the store's last prepared date."""
     after = bounds.select(LOC, "_after")
-    return initial.join(after, LOC).where(F.col("business_date") > F.col("_after")).drop("_after")
+    recent = not_before(initial, "business_date", after, "_after")
+    return recent.join(after, LOC).where(F.col("business_date") > F.col("_after")).drop("_after")
 
 
 def prep_metrics_15min(

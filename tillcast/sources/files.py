@@ -22,27 +22,21 @@ def read_csv_dir(
     )
 
 
-def write_by_store(df: DataFrame, path: str, mode: str = "overwrite", salt: int = 1) -> None:
-    """CSV folders ``store_num=<n>``, copied from ``location_num``.
+def _by_store(df: DataFrame) -> DataFrame:
+    """Rows gathered by store; adaptive execution splits a store that is too large."""
+    return df.hint("rebalance", "location_num")
 
-    One task per store is enough at the usual size; ``salt`` splits every
-    store over that many tasks when some store is far larger than the others.
-    """
-    stamped = df.withColumn("store_num", F.col("location_num"))
-    if salt > 1:
-        part = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt))
-        stamped = stamped.withColumn("_salt", part).repartition("location_num", "_salt")
-        stamped = stamped.drop("_salt")
-    else:
-        stamped = stamped.repartition("location_num")
+
+def write_by_store(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """CSV folders ``store_num=<n>``, copied from ``location_num``."""
+    stamped = _by_store(df.withColumn("store_num", F.col("location_num")))
     stamped.write.partitionBy("store_num").mode(mode).option("header", True).csv(path)
 
 
 def sorted_write(df: DataFrame, path: str, order: list[str], mode: str = "overwrite") -> None:
     """Store-partitioned CSV whose rows are sorted inside every file."""
     (
-        df.withColumn("store_num", F.col("location_num"))
-        .repartition("location_num")
+        _by_store(df.withColumn("store_num", F.col("location_num")))
         .sortWithinPartitions("store_num", *order)
         .write.partitionBy("store_num")
         .mode(mode)
@@ -54,10 +48,10 @@ def sorted_write(df: DataFrame, path: str, order: list[str], mode: str = "overwr
 def write_single(df: DataFrame, path: str, order: list[str]) -> None:
     """One sorted CSV file, for control tables of a few rows per store and date.
 
-    The sort and the writing of one file happen in one task by contract, so do
-    not use it for facts.
+    Only the sort and the write share one task, by contract; the rows are
+    computed in parallel before.  Do not use it for facts.
     """
-    df.coalesce(1).sortWithinPartitions(*order).write.mode("overwrite").option(
+    df.repartition(1).sortWithinPartitions(*order).write.mode("overwrite").option(
         "header", True
     ).csv(path)
 
@@ -88,9 +82,7 @@ def write_dual(df: DataFrame, csv_path: str, parquet_path: str) -> None:
     In the Parquet copy the store lives in the path only.
     """
     df.write.mode("overwrite").option("header", True).csv(csv_path)
-    df.repartition("location_num").write.partitionBy("location_num").mode("overwrite").parquet(
-        parquet_path
-    )
+    _by_store(df).write.partitionBy("location_num").mode("overwrite").parquet(parquet_path)
 
 
 def reload(df: DataFrame, table_path: str) -> DataFrame:
