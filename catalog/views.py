@@ -21,6 +21,7 @@ from tillcast.functions.calendar import (
     time_of_day,
 )
 from tillcast.functions.numeric import dec2
+from tillcast.operators.aggregates import rollup_daily
 from tillcast.operators.predicates import NO_DATE
 from tillcast.operators.snapshot import dedupe_latest
 from tillcast.session import new_path
@@ -107,7 +108,18 @@ class Views:
 
     @cached_property
     def sales_daily(self) -> DataFrame:
-        return self.stored("sales_daily", lambda: self._sales(self.lines), LOC, DAY)
+        # An order falls into one quarter-hour, so the day is the sum of its intervals.
+        return self.stored(
+            "sales_daily",
+            lambda: self._rollup(self.sales_15min, ["sales_sub_total", "trans_count"], [LOC, DAY]),
+            LOC,
+            DAY,
+        )
+
+    def _rollup(self, df: DataFrame, measures: list[str], keys: list[str]) -> DataFrame:
+        return rollup_daily(df, measures, [*keys, GEN]).withColumns(
+            {m: dec2(F.col(m)) for m in measures}
+        )
 
     @cached_property
     def sales_15min(self) -> DataFrame:
@@ -117,7 +129,14 @@ class Views:
 
     @cached_property
     def items_daily(self) -> DataFrame:
-        return self.stored("items_daily", lambda: self._items(self.lines), LOC, DAY)
+        return self.stored(
+            "items_daily",
+            lambda: self._rollup(
+                self.items_15min, ["sum_daily_quantity"], [LOC, "product", DAY]
+            ),
+            LOC,
+            DAY,
+        )
 
     @cached_property
     def items_15min(self) -> DataFrame:

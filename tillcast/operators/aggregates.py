@@ -60,16 +60,18 @@ def repair_medians(stats: DataFrame, share: float = 0.15) -> DataFrame:
     A median at or below ``share`` of the median of the non-zero medians takes
     that median.  Missing weekdays count as 0 and so are repaired too.
     """
-    typical = stats.groupBy(LOC).agg(
-        F.median(F.when(F.col("median") != 0, F.col("median"))).alias("_typical")
+    # A store has at most seven weekdays, so they are gathered in one row.
+    values = F.struct(*[F.coalesce(s, F.lit(0.0)).alias(s) for s in STATS])
+    stores = stats.groupBy(LOC).agg(
+        F.median(F.when(F.col("median") != 0, F.col("median"))).alias("_typical"),
+        F.map_from_entries(F.collect_list(F.struct(F.col("weekday"), values))).alias("_stats"),
     )
-    weekdays = typical.select(
-        LOC, F.explode(F.sequence(F.lit(0), F.lit(5))).alias("weekday")
-    )
-    filled = (
-        weekdays.join(stats, [LOC, "weekday"], "full_outer")
-        .na.fill(0.0, STATS)
-        .join(typical, LOC)
+    days = F.array_union(F.sequence(F.lit(0), F.lit(5)), F.map_keys("_stats"))
+    filled = stores.withColumn("weekday", F.explode(days)).select(
+        LOC,
+        "weekday",
+        "_typical",
+        *[F.coalesce(F.col("_stats")[F.col("weekday")][s], F.lit(0.0)).alias(s) for s in STATS],
     )
     too_low = F.col("median") <= F.lit(share) * F.col("_typical")
     return filled.withColumn(
