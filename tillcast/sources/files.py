@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,6 +91,49 @@ def reload(df: DataFrame, table_path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(table_path)
 
 
+# One CSV field: quoted with doubled quotes inside, or plain; it follows a comma or the start.
+_FIELD = r'(?<=^|,)("(?:[^"]|"")*"|[^,]*)'
+
+
+def _fields(line: Column) -> Column:
+    """Fields of one CSV line, unquoted."""
+    raw = F.regexp_extract_all(line, F.lit(_FIELD), 1)
+
+    def unquote(x: Column) -> Column:
+        inner = F.replace(F.substring(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))
+        return F.when(x.startswith('"'), inner).otherwise(x)
+
+    return F.transform(raw, unquote)
+
+
+def read_small_files(spark: SparkSession, source: str, schema: T.StructType) -> DataFrame:
+    """CSV files of a few rows each, whose headers may differ.
+
+    Columns are matched by the name in each file's own header; those a file
+    lacks are NULL.  A file is one input row, so this is for small files only.
+    """
+    whole = (
+        spark.read.option("ignoreMissingFiles", True)
+        .option("ignoreCorruptFiles", True)
+        .text(source, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.csv")
+    )
+    parsed = (
+        whole.select(F.split("value", "\r?\n").alias("_lines"))
+        .select(
+            _fields(F.col("_lines")[0]).alias("_names"),
+            F.explode(F.slice("_lines", F.lit(2), F.size("_lines"))).alias("_line"),
+        )
+        .where(F.trim("_line") != "")
+        .select(F.map_from_entries(F.arrays_zip("_names", _fields(F.col("_line")))).alias("_row"))
+    )
+
+    def column(field: T.StructField) -> Column:
+        text = F.col("_row")[field.name]
+        return F.when(text != "", text).try_cast(field.dataType).alias(field.name)
+
+    return parsed.select(*[column(f) for f in schema])
+
+
 def compact(
     spark: SparkSession,
     source: str,
@@ -105,16 +148,7 @@ def compact(
     Unreadable files are skipped and columns a file lacks are NULL.  The number
     of files follows the number of rows, not the number of inputs.
     """
-    rows = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("recursiveFileLookup", True)
-        .option("ignoreMissingFiles", True)
-        .option("ignoreCorruptFiles", True)
-        .csv(source)
-    )
-    stamped = rows.withColumns(
+    stamped = read_small_files(spark, source, schema).withColumns(
         {"forecast_type": F.lit(forecast_type), "run_date": F.lit(generation_date)}
     )
     # A rebalance hint lets adaptive execution size the output files.
@@ -125,7 +159,7 @@ def compact(
         .mode("append")
         .parquet(out)
     )
-    return spark.read.parquet(out)
+    return spark.read.schema(stamped.schema).parquet(out)
 
 
 def latest_partition(df: DataFrame, col: str, fallback) -> DataFrame:
