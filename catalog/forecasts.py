@@ -1132,3 +1132,14 @@ def _(v):
 def _(v):
     pairs = v.deferred_sales_15min.select(LOC, F.date_add(DAY, 364).alias(DAY))
     return flat_document(Documents(v, stored=True).build(only=pairs))
+
+
+@query(
+    "k31_fallback_dates",
+    f"""SELECT DISTINCT location_num, business_date + 364 business_date,
+      {last_year("CAST(business_date + 364 AS DATE)")} ly_date FROM deferred_sales_15min""",
+)
+def _(v):
+    return delivery.fallback_dates(
+        v.deferred_sales_15min.select(LOC, F.date_add(DAY, 364).alias(DAY))
+    )

@@ -51,11 +51,16 @@ def dedupe_latest(
     )
 
 
+def _newest_day() -> Column:
+    """Newest version and, within it, the newest business date, in one aggregate."""
+    return F.max(
+        F.when(F.col(GENERATION).isNotNull(), F.struct(GENERATION, "business_date"))
+    )
+
+
 def newest_load(df: DataFrame) -> DataFrame:
     """Newest business date of the newest load, and its version."""
-    return latest_snapshot(df).agg(
-        F.max("business_date").alias("business_date"), F.max(GENERATION).alias(GENERATION)
-    )
+    return df.agg(_newest_day().alias("_n")).select("_n.business_date", f"_n.{GENERATION}")
 
 
 def gap_stores(df: DataFrame, days: int = 15, key: str = "location_num") -> DataFrame:
@@ -89,8 +94,8 @@ def incremental_bounds(
     Without a default a store missing from the target has no range; with one
     its range starts there.
     """
-    loaded = latest_snapshot(initial, keys=[key]) if newest_load_only else initial
-    upper = loaded.groupBy(key).agg(F.max("business_date").alias("_through"))
+    newest = _newest_day()["business_date"] if newest_load_only else F.max("business_date")
+    upper = initial.groupBy(key).agg(newest.alias("_through"))
     lower = final.groupBy(key).agg(F.max("business_date").alias("_after"))
     if default is None:
         return upper.join(lower, key, "inner")

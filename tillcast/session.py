@@ -25,6 +25,9 @@ def local_session(cores: int | str = 8, app: str = "tillcast") -> SparkSession:
     )
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}  # application id -> temporary folder, local masters only
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, from ``spark.checkpoint.dir``.
 
@@ -32,12 +35,13 @@ def shared_dir(spark: SparkSession) -> str:
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        return configured
+        return configured.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a shared folder")
-    folder = tempfile.mkdtemp(prefix="tillcast-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="tillcast-")
+    return _LOCAL_FOLDERS[app]
 
 
 def new_path(spark: SparkSession, name: str) -> str:
