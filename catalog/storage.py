@@ -255,7 +255,7 @@ def _(v):
     )
 
 
-@query("t02_first_arrivals")
+@query("t02_first_arrivals", "SELECT DISTINCT user_id FROM events")
 def _(v):
     source, out = _path(v, "t02-events"), _path(v, "t02-first")
     events = v.table("events").withColumn("ts", F.col("ts").cast("timestamp"))
