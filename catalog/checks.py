@@ -474,13 +474,19 @@ _NAMES = [
     "greater_than_max",
     "greater_than_15_max",
 ]
+_MEASURED = {"val": "total", "min_limit": "min_limit", "max_limit": "max_limit"}
 V["alerts"] = f"""
-  SELECT f.*, {", ".join(f"{m}_{n}" for m in D.METRICS for n in _NAMES)},
+  SELECT f.*, {", ".join(f"{m}_{n}" for m in D.METRICS for n in [*_NAMES, *_MEASURED])},
+    {", ".join(f"CASE WHEN {m}_val IS NULL THEN 0 ELSE 1 END {m}_forecast_generated"
+               for m in D.METRICS)},
     coalesce(warned, 0) warning,
     CASE WHEN coalesce(fails, 0) + dollarsales_flat + transcount_flat + itemcount_flat
       + ingredient_flat + 4 - coalesce(n, 0) > 0 THEN 'Failed' ELSE 'Success' END status
   FROM flat_flags f LEFT JOIN (SELECT location_num, business_date, {", ".join(
       f"max({n}) FILTER (metric = '{m}') {m}_{n}" for m in D.METRICS for n in _NAMES
+  )}, {", ".join(
+      f"max({src}) FILTER (metric = '{m}') {m}_{n}"
+      for m in D.METRICS for n, src in _MEASURED.items()
   )}, sum(failed) fails, max(warned) warned, count(*) n FROM limit_flags GROUP BY 1, 2) {_KEY}"""
 
 
@@ -522,9 +528,15 @@ def _(v):
     return DocumentChecks(v).alerts.select(LOC, DAY, "status", "warning")
 
 
-@query("q13_alert_rows", "SELECT * FROM alerts")
+_VALUES = [f"{m}_{n}" for m in D.METRICS for n in _MEASURED]
+
+
+@query(
+    "q13_alert_rows",
+    f"SELECT * REPLACE ({', '.join(f'round({c}, 8) AS {c}' for c in _VALUES)}) FROM alerts",
+)
 def _(v):
-    return DocumentChecks(v).alerts
+    return DocumentChecks(v).alerts.withColumns({c: F.round(c, 8) for c in _VALUES})
 
 
 def _summary_sql(flags: dict[str, str]) -> str:

@@ -7,7 +7,16 @@ from datetime import date, timedelta
 import numpy as np
 from pyspark.sql import functions as F
 
-from tillcast.plans import breakdown, document_checks, forecast_checks, imputation, naive, scoring
+from tillcast.operators.snapshot import dedupe_latest, latest_snapshot
+from tillcast.plans import (
+    breakdown,
+    document_checks,
+    forecast_checks,
+    imputation,
+    limits,
+    naive,
+    scoring,
+)
 
 D = date
 SAT_OFF = "location_num int"
@@ -244,3 +253,44 @@ def test_missing_documents_skip_closed_days(spark):
     )
     out = document_checks.missing_documents(stores, dates, delivered, off)
     assert sorted(tuple(r) for r in out.collect()) == [(1, D(2001, 7, 21)), (3, D(2001, 7, 20))]
+
+
+def test_one_store_with_most_rows_gives_the_same_answers(spark):
+    start = D(2001, 1, 1)
+    data = [
+        (store, start + timedelta(i % 90), float(i % 7 + 1), start + timedelta(i % 90 + 1 + i % 2))
+        for store, n in ((1, 4000), (2, 180), (3, 90))
+        for i in range(n)
+    ]
+    df = spark.createDataFrame(
+        data, "location_num int, business_date date, x double, generation_date date"
+    ).repartition(4)
+    newest = {}
+    for s, _, _, g in data:
+        newest[s] = max(newest.get(s, g), g)
+    kept = sorted((s, d, x) for s, d, x, g in data if g == newest[s])
+    got = latest_snapshot(df, keys=["location_num"])
+    assert sorted((r.location_num, r.business_date, r.x) for r in got.collect()) == kept
+
+    per_day = {}
+    for s, d, _, g in data:
+        per_day[s, d] = max(per_day.get((s, d), g), g)
+    versions = sorted({(s, d, x) for s, d, x, g in data if g == per_day[s, d]})
+    got = dedupe_latest(df, ["location_num", "business_date"], ["x"])
+    assert sorted((r.location_num, r.business_date, r.x) for r in got.collect()) == versions
+
+    calendar = spark.createDataFrame(
+        [(D(2001, 3, 1), 1, "Spring")], "business_date date, holiday int, federalholiday_name string"
+    )
+    demand = {}
+    for s, d, x, g in data:
+        if g == per_day[s, d]:
+            demand[s, d] = demand.get((s, d), 0.0) + x
+    wanted = set()
+    for s in (1, 2, 3):
+        recent = sorted((d for t, d in demand if t == s), reverse=True)[:56]
+        wanted |= {
+            (s, d, demand[s, d]) for d in recent if d.weekday() != 6 and d != D(2001, 3, 1)
+        }
+    got = limits.daily_demand(df, calendar, "x", 56)
+    assert {(r.location_num, r.business_date, r.demand) for r in got.collect()} == wanted

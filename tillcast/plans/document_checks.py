@@ -143,7 +143,8 @@ def limit_flags(totals: DataFrame, limits: DataFrame, share: float = 0.35) -> Da
 
 
 def alert_rows(flats: DataFrame, checks: DataFrame) -> DataFrame:
-    """One wide row per document: every flag of every metric, and the verdict."""
+    """One wide row per document: values, limits and flags of every metric, and the verdict."""
+    measured = {"val": "total", "min_limit": "min_limit", "max_limit": "max_limit"}
     names = [
         "generated_successfully",
         "sunday_zeros",
@@ -158,6 +159,11 @@ def alert_rows(flats: DataFrame, checks: DataFrame) -> DataFrame:
             for m in METRICS
             for n in names
         ],
+        *[
+            F.max(F.when(F.col("metric") == m, F.col(src))).alias(f"{m}_{name}")
+            for m in METRICS
+            for name, src in measured.items()
+        ],
         F.sum("failed").alias("_failed"),
         F.max("warned").alias("warning"),
         F.count(F.lit(1)).alias("_metrics"),
@@ -168,6 +174,12 @@ def alert_rows(flats: DataFrame, checks: DataFrame) -> DataFrame:
     failures = F.coalesce("_failed", F.lit(0)) + flat + missing
     return (
         flats.join(wide, KEY, "left")
+        .withColumns(
+            {
+                f"{m}_forecast_generated": F.when(F.col(f"{m}_val").isNull(), 0).otherwise(1)
+                for m in METRICS
+            }
+        )
         .withColumn("status", F.when(failures > 0, "Failed").otherwise("Success"))
         .withColumn("warning", F.coalesce("warning", F.lit(0)))
         .drop("_failed", "_metrics")
