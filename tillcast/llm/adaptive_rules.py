@@ -36,13 +36,19 @@ RATES = {
 }
 
 
-def measured(docs: DataFrame) -> DataFrame:
-    """The documents' doc_id, lang, source with counts over the whole text (null: none)."""
+def measured(docs: DataFrame, *carried: Column) -> DataFrame:
+    """The documents' doc_id, lang, source with counts over the whole text (null: none).
+
+    ``carried`` are further columns of ``docs`` to keep.
+    """
+    own = [c.alias(f"carried_{k}") for k, c in enumerate(carried)]
+    names = ["doc_id", "lang", "source", *(f"carried_{k}" for k in range(len(own)))]
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     df = docs.select(
         "doc_id",
         F.col("lang").cast("string"),
         F.col("source").cast("string"),
+        *own,
         F.length(text).alias("chars"),
         (F.size(F.split(text, SYMBOL, -1)) - 1).alias("n_symbols"),
         (F.size(F.split(text, "[A-Z]", -1)) - 1).alias("n_upper"),
@@ -51,7 +57,7 @@ def measured(docs: DataFrame) -> DataFrame:
     )
     hashed = F.transform(F.filter("parts", lambda w: w != ""), lambda w: F.xxhash64(w))
     df = df.select(
-        "doc_id", "lang", "source", "n_symbols", "n_upper",
+        *names, "n_symbols", "n_upper",
         (F.col("chars") - F.size("parts") + 1).alias("word_chars"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).alias("n_dup_lines"),
         hashed.alias("words"),
@@ -87,7 +93,7 @@ def measured(docs: DataFrame) -> DataFrame:
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "distinct"]
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return df.select(
-        "doc_id", "lang", "source", *(F.col(c).cast("long") for c in counts), failed.alias("base_failed")
+        *names, *(F.col(c).cast("long") for c in counts), failed.alias("base_failed")
     )
 
 
@@ -166,7 +172,21 @@ def judged(docs: DataFrame) -> DataFrame:
     any other.  Ties at a fence are kept; repeated rows count as often as they occur.
     """
     df = stored(rated(measured(docs)), "measures")
-    bounds = fences(df.where("not base_failed"))
+    return _fenced(df, fences(df.where("not base_failed")))
+
+
+def accepted(docs: DataFrame) -> DataFrame:
+    """The documents that the rules keep, with all their columns.
+
+    The counts are taken twice, for the fences and for the verdict: that is cheaper than
+    writing or shuffling the texts.
+    """
+    bounds = stored(fences(stored(rated(measured(docs)), "measures").where("not base_failed")), "fences")
+    whole = F.struct(*(F.col(c) for c in docs.columns))
+    return _fenced(rated(measured(docs, whole)), bounds).where("kept").select("carried_0.*")
+
+
+def _fenced(df: DataFrame, bounds: DataFrame) -> DataFrame:
     same = F.col("l.lang").eqNullSafe(F.col("r.lang")) & F.col("l.source").eqNullSafe(F.col("r.source"))
     joined = df.alias("l").join(bounds.alias("r"), same, "left").drop(F.col("r.lang"), F.col("r.source"))
     inside = ~F.col("base_failed")
