@@ -178,12 +178,13 @@ def judged(docs: DataFrame) -> DataFrame:
 def accepted(docs: DataFrame) -> DataFrame:
     """The documents that the rules keep, with all their columns.
 
-    The counts are taken twice, for the fences and for the verdict: that is cheaper than
-    writing or shuffling the texts.
+    Rows are written with their counts before the verdict: a filter pushed into the array
+    expressions would evaluate them again for every element.
     """
-    bounds = stored(fences(stored(rated(measured(docs)), "measures").where("not base_failed")), "fences")
     whole = F.struct(*(F.col(c) for c in docs.columns))
-    return _fenced(rated(measured(docs, whole)), bounds).where("kept").select("carried_0.*")
+    df = stored(rated(measured(docs, whole)), "measures")
+    bounds = stored(fences(df.where("not base_failed")), "fences")
+    return _fenced(df, bounds).where("kept").select("carried_0.*")
 
 
 def _fenced(df: DataFrame, bounds: DataFrame) -> DataFrame:
