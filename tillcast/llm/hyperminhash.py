@@ -10,7 +10,8 @@ full shingle sets confirm what is left.
 
 Links are only needed between classes (documents with the same shingle set), and
 only until every component is joined: in each band group all members are first
-compared with one leader, then members of different components with each other.
+compared with one leader after another, then all members that still are in different
+components with each other, large groups in pairs of blocks.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -41,6 +43,8 @@ BAND = 6  # registers in a band
 BANDS = REGISTERS // BAND
 CHANCE = 0.169919487159739  # of equal registers from different minima, times 2 ** -MANTISSA
 SIGMAS = 5.0
+SMALL = 64  # members of a group whose pairs are joined
+BLOCK = 512  # members compared in one task with as many others
 
 
 def shingles(h: np.ndarray, width: int = 2) -> np.ndarray:
@@ -118,7 +122,7 @@ def sketch(docs: DataFrame, width: int = 2) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, width: int = 2, similar: int = 80, enumerate_at: int = 4
+    docs: DataFrame, width: int = 2, similar: int = 80, leaders: int = 3
 ) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
@@ -126,9 +130,8 @@ def near_duplicates(
     Null, empty and word-free texts have no shingles and link with nothing; rows with
     one doc_id are one node; a null id is returned with a null component and kept.
 
-    ``enumerate_at``: pairs of different components inside band groups are listed in
-    full once they are at most this many times the groups' rows; until then every
-    round compares the members of a group with another leader.
+    ``leaders``: turns in which a group's members meet one leader, before all that is
+    left is compared; more turns change the work, not the result.
     """
     sk = stored(sketch(docs, width), "sketch")
     classes = sk.where("digest is not null and doc_id is not null")
@@ -147,19 +150,17 @@ def near_duplicates(
 
     tested = links = None
     node = groups.withColumn("component", F.col("id"))
-    for turn in range(MOST_TURNS):
-        pairs = _cross_pairs(node, turn, enumerate_at)
-        if pairs is None:
+    for turn in range(leaders + 1):
+        node = _open(node)
+        if turn == 0 and node.isEmpty():
             break
-        pairs, last = pairs
+        pairs = _led(node, turn) if turn < leaders else _rest(node, reps, similar)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
         found = stored(_confirmed(pairs, reps, texts, width, similar), "links")
         links = found if links is None else links.unionByName(found)
         joined = stored(components(links), "components")
-        if last:
-            break
         tested = pairs if tested is None else tested.unionByName(pairs)
         node = groups.join(joined, "id", "left").select(
             "key", "id", F.coalesce("component_id", "id").alias("component")
@@ -176,9 +177,6 @@ def near_duplicates(
     )
 
 
-MOST_TURNS = 12
-
-
 def _band_groups(reps: DataFrame) -> DataFrame:
     """(key, id) of the band keys that two or more classes share."""
     key = F.transform(
@@ -190,30 +188,65 @@ def _band_groups(reps: DataFrame) -> DataFrame:
     return bands.join(shared.select("key"), "key", "left_semi").distinct()
 
 
-def _cross_pairs(node: DataFrame, turn: int, enumerate_at: int):
-    """Candidate pairs (a, b) of different components in a group; whether they are all.
+def _open(node: DataFrame) -> DataFrame:
+    """The members of groups that still hold several components, with the groups' sizes."""
+    of = node.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("rows"))
+    return stored(node.join(of.where("x <> y").select("key", "rows"), "key"), "open")
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _led(node: DataFrame, turn: int) -> DataFrame:
+    """Candidates (a, b) of each member and its group's leader: no more pairs than rows.
+
+    The leader is the smallest id first, then the smallest hash of the turn.
+    """
+    order = F.xxhash64(F.lit(turn), "key", "id") if turn else F.col("id")
+    first = F.struct(order.alias("o"), F.col("id").alias("leader"), F.col("component").alias("own"))
+    led = node.join(node.groupBy("key").agg(F.min(first).alias("l")), "key").where("component <> l.own")
+    return _ordered(led.select(F.col("l.leader").alias("a"), F.col("id").alias("b")))
+
+
+def _rest(node: DataFrame, reps: DataFrame, similar: int) -> DataFrame:
+    """All candidates (a, b) of different components in a group.
 
-    None if there are none.  The first turns pair every member with one leader of its
-    group, chosen by a hash of the turn, so a group gives no more pairs than rows.
+    Groups of up to ``SMALL`` members are joined with themselves.  A larger group is cut
+    into blocks; every pair of blocks compares its registers and returns likely pairs only.
     """
-    size = node.groupBy("key", "component").agg(F.count("*").alias("c"))
-    size = size.groupBy("key").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("s"))
-    open_keys = size.where("n * n > s")
-    rows, pairs = open_keys.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("s")) / 2)).first()
-    if not rows:
-        return None
-    node = node.join(open_keys.select("key"), "key", "left_semi")
-    last = pairs <= enumerate_at * rows or turn == MOST_TURNS - 1
-    if last:
-        other = node.select("key", F.col("id").alias("b"), F.col("component").alias("other"))
-        out = node.withColumnRenamed("id", "a").join(other, "key").where("component < other")
-    else:
-        order = F.xxhash64(F.lit(turn), "key", "id") if turn else F.col("id")
-        leader = node.groupBy("key").agg(F.min(F.struct(order.alias("o"), F.col("id").alias("leader"), F.col("component").alias("own"))).alias("l"))
-        out = node.join(leader, "key").where("component <> l.own")
-        out = out.select(F.col("l.leader").alias("a"), F.col("id").alias("b"))
-    out = out.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return out.distinct(), last
+    small = node.where(F.col("rows") <= SMALL)
+    other = small.select("key", F.col("id").alias("b"), F.col("component").alias("other"))
+    pairs = small.withColumnRenamed("id", "a").join(other, "key").where("component < other").select("a", "b")
+
+    large = node.where(F.col("rows") > SMALL).join(reps, "id")
+    blocks = F.ceil(F.col("rows") / BLOCK).cast("int")
+    large = large.withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
+    large = large.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    large = large.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
+
+    def compare(pdf):
+        regs = np.frombuffer(b"".join(pdf.regs), np.uint16).reshape(-1, REGISTERS)
+        ids, n, of, block = (pdf[c].to_numpy() for c in ("id", "n", "component", "block"))
+        left = np.flatnonzero(block == pdf.i.iat[0])
+        right = np.flatnonzero(block == pdf.j.iat[0])
+        out = [np.empty((0, 2), np.int64)]
+        for k in left:
+            mine = right[of[right] != of[k]]
+            ok = _may_reach(np.broadcast_to(regs[k], (len(mine), REGISTERS)), regs[mine], np.full(len(mine), n[k]), n[mine], similar)
+            out.append(np.stack([np.full(ok.sum(), ids[k]), ids[mine[ok]]], 1))
+        every = np.concatenate(out)
+        return pd.DataFrame({"a": every[:, 0], "b": every[:, 1]})
+
+    cells = large.select("key", "i", "j", "block", "id", "component", "n", "regs").groupBy("key", "i", "j")
+    return _ordered(pairs.unionByName(cells.applyInPandas(compare, "a long, b long")))
+
+
+def _may_reach(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, similar: int) -> np.ndarray:
+    """Whether sizes and registers leave it open that the sets are similar."""
+    spread = np.sqrt(0.16 / np.minimum(np.minimum(n_a, n_b), REGISTERS))
+    sizes = 100 * np.minimum(n_a, n_b) >= similar * np.maximum(n_a, n_b)
+    return sizes & (estimate(a, b, n_a, n_b) >= similar / 100 - SIGMAS * spread)
 
 
 def _confirmed(
@@ -227,9 +260,8 @@ def _confirmed(
             np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint16).reshape(-1, REGISTERS)
             for k in (4, 5)
         )
-        spread = np.sqrt(0.16 / np.minimum(np.minimum(n_a, n_b), REGISTERS))
-        keep = estimate(a, b, n_a, n_b) >= similar / 100 - SIGMAS * spread
-        yield {"a": batch.column(0).filter(pa.array(keep)), "b": batch.column(1).filter(pa.array(keep))}
+        keep = pa.array(_may_reach(a, b, n_a, n_b, similar), pa.bool_())
+        yield {"a": batch.column(0).filter(keep), "b": batch.column(1).filter(keep)}
 
     def sure(batch: pa.RecordBatch):
         left = shingle_sets(utf8(batch.column(2)), width)
@@ -239,7 +271,8 @@ def _confirmed(
             both = np.sort(np.concatenate([x, y]))
             common = int((both[1:] == both[:-1]).sum())
             keep.append(100 * common >= similar * (len(x) + len(y) - common))
-        yield {"a": batch.column(0).filter(pa.array(keep, pa.bool_())), "b": batch.column(1).filter(pa.array(keep, pa.bool_()))}
+        keep = pa.array(keep, pa.bool_())
+        yield {"a": batch.column(0).filter(keep), "b": batch.column(1).filter(keep)}
 
     def side(df: DataFrame, name: str) -> DataFrame:
         return df.select(*(F.col(c).alias(name if c == "id" else f"{c}_{name}") for c in df.columns))
