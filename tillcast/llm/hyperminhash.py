@@ -43,7 +43,7 @@ BAND = 6  # registers in a band
 BANDS = REGISTERS // BAND
 CHANCE = 0.169919487159739  # of equal registers from different minima, times 2 ** -MANTISSA
 SIGMAS = 5.0
-SMALL = 64  # members of a group whose pairs are joined
+SMALL = 8  # members of a group whose pairs are joined
 BLOCK = 512  # members compared in one task with as many others
 
 
@@ -122,7 +122,7 @@ def sketch(docs: DataFrame, width: int = 2) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, width: int = 2, similar: int = 80, leaders: int = 3
+    docs: DataFrame, width: int = 2, similar: int = 80, leaders: int = 2
 ) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
@@ -154,11 +154,12 @@ def near_duplicates(
         node = _open(node)
         if turn == 0 and node.isEmpty():
             break
-        pairs = _led(node, turn) if turn < leaders else _rest(node, reps, similar)
+        pairs, blocks = (_led(node, turn), None) if turn < leaders else _rest(node, reps, texts, width, similar)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
-        found = stored(_confirmed(pairs, reps, texts, width, similar), "links")
+        found = _confirmed(pairs, reps, texts, width, similar)
+        found = stored(found if blocks is None else found.unionByName(blocks), "links")
         links = found if links is None else links.unionByName(found)
         joined = stored(components(links), "components")
         tested = pairs if tested is None else tested.unionByName(pairs)
@@ -209,17 +210,20 @@ def _led(node: DataFrame, turn: int) -> DataFrame:
     return _ordered(led.select(F.col("l.leader").alias("a"), F.col("id").alias("b")))
 
 
-def _rest(node: DataFrame, reps: DataFrame, similar: int) -> DataFrame:
-    """All candidates (a, b) of different components in a group.
+def _rest(
+    node: DataFrame, reps: DataFrame, texts: DataFrame, width: int, similar: int
+) -> tuple[DataFrame, DataFrame]:
+    """What is left: candidates of small groups, and confirmed links of large ones.
 
     Groups of up to ``SMALL`` members are joined with themselves.  A larger group is cut
-    into blocks; every pair of blocks compares its registers and returns likely pairs only.
+    into blocks; a task compares two blocks, confirms on full sets what is likely and not
+    yet joined, and returns no more links than it has members.
     """
     small = node.where(F.col("rows") <= SMALL)
     other = small.select("key", F.col("id").alias("b"), F.col("component").alias("other"))
     pairs = small.withColumnRenamed("id", "a").join(other, "key").where("component < other").select("a", "b")
 
-    large = node.where(F.col("rows") > SMALL).join(reps, "id")
+    large = node.where(F.col("rows") > SMALL).join(reps, "id").join(texts, "id")
     blocks = F.ceil(F.col("rows") / BLOCK).cast("int")
     large = large.withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
     large = large.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
@@ -228,18 +232,27 @@ def _rest(node: DataFrame, reps: DataFrame, similar: int) -> DataFrame:
     def compare(pdf):
         regs = np.frombuffer(b"".join(pdf.regs), np.uint16).reshape(-1, REGISTERS)
         ids, n, of, block = (pdf[c].to_numpy() for c in ("id", "n", "component", "block"))
-        left = np.flatnonzero(block == pdf.i.iat[0])
-        right = np.flatnonzero(block == pdf.j.iat[0])
-        out = [np.empty((0, 2), np.int64)]
+        sets = list(shingle_sets([(t or "").encode() for t in pdf.text], width))
+        left, right = np.flatnonzero(block == pdf.i.iat[0]), np.flatnonzero(block == pdf.j.iat[0])
+        root = np.unique(of, return_inverse=True)[1]  # members of one component share a number
+        out = []
         for k in left:
-            mine = right[of[right] != of[k]]
-            ok = _may_reach(np.broadcast_to(regs[k], (len(mine), REGISTERS)), regs[mine], np.full(len(mine), n[k]), n[mine], similar)
-            out.append(np.stack([np.full(ok.sum(), ids[k]), ids[mine[ok]]], 1))
-        every = np.concatenate(out)
-        return pd.DataFrame({"a": every[:, 0], "b": every[:, 1]})
+            mine = right[root[right] != root[k]]
+            regs_k = np.broadcast_to(regs[k], (len(mine), REGISTERS))
+            for m in mine[_may_reach(regs_k, regs[mine], np.full(len(mine), n[k]), n[mine], similar)]:
+                if root[m] != root[k] and _similar(sets[k], sets[m], similar):
+                    out.append((ids[k], ids[m]))
+                    root[root == root[m]] = root[k]
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    cells = large.select("key", "i", "j", "block", "id", "component", "n", "regs").groupBy("key", "i", "j")
-    return _ordered(pairs.unionByName(cells.applyInPandas(compare, "a long, b long")))
+    cells = large.select("key", "i", "j", "block", "id", "component", "n", "regs", "text")
+    return _ordered(pairs), cells.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long")
+
+
+def _similar(x: np.ndarray, y: np.ndarray, similar: int) -> bool:
+    both = np.sort(np.concatenate([x, y]))
+    common = int((both[1:] == both[:-1]).sum())
+    return 100 * common >= similar * (len(x) + len(y) - common)
 
 
 def _may_reach(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, similar: int) -> np.ndarray:
@@ -266,11 +279,7 @@ def _confirmed(
     def sure(batch: pa.RecordBatch):
         left = shingle_sets(utf8(batch.column(2)), width)
         right = shingle_sets(utf8(batch.column(3)), width)
-        keep = []
-        for x, y in zip(left, right, strict=True):
-            both = np.sort(np.concatenate([x, y]))
-            common = int((both[1:] == both[:-1]).sum())
-            keep.append(100 * common >= similar * (len(x) + len(y) - common))
+        keep = [_similar(x, y, similar) for x, y in zip(left, right, strict=True)]
         keep = pa.array(keep, pa.bool_())
         yield {"a": batch.column(0).filter(keep), "b": batch.column(1).filter(keep)}
 

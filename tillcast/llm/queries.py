@@ -86,4 +86,42 @@ QUERIES = {
     )
 }
 
-ORACLES: dict[str, str] = {}
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+ORACLES: dict[str, str] = {
+    "op9_flat_graph": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), link AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+), reach(x, y) AS (
+  SELECT x, y FROM link UNION SELECT r.x, l.y FROM reach r JOIN link l ON r.y = l.x
+)
+SELECT vec_id, (SELECT count(*) FROM link WHERE x = vec_id) AS n_links,
+  least(vec_id, coalesce((SELECT min(y) FROM reach WHERE x = vec_id), vec_id)) AS component_id,
+  vec_id <= coalesce((SELECT min(y) FROM reach WHERE x = vec_id), vec_id) AS kept
+FROM v""",
+    "op10_hyperminhash": f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, {_WORDS.replace("text,", "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),")} AS w
+  FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(w) < 2 THEN list_distinct([array_to_string(w, ' ')])
+    ELSE list_distinct(list_transform(range(1, len(w)), lambda k: w[k] || ' ' || w[k + 1])) END AS s
+  FROM w WHERE len(w) > 0
+), n AS (SELECT doc_id, len(s) AS n FROM s
+), e AS (SELECT doc_id, unnest(s) AS s FROM s
+), link AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM e a JOIN e b ON a.s = b.s AND a.doc_id <> b.doc_id
+  JOIN n p ON p.doc_id = a.doc_id JOIN n q ON q.doc_id = b.doc_id
+  WHERE 100 * least(p.n, q.n) >= 80 * greatest(p.n, q.n)
+  GROUP BY a.doc_id, b.doc_id, p.n, q.n
+  HAVING 100 * count(*) >= 80 * (p.n + q.n - count(*))
+), reach(x, y) AS (
+  SELECT x, y FROM link UNION SELECT r.x, l.y FROM reach r JOIN link l ON r.y = l.x
+), low AS (SELECT x, min(y) AS y FROM reach GROUP BY x)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(low.y, d.doc_id)) AS component_id,
+  d.doc_id <= coalesce(low.y, d.doc_id) AS kept
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN low ON low.x = d.doc_id""",
+}
