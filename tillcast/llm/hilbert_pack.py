@@ -12,6 +12,7 @@ hash of the id, so that a position shared by a third of all rows still splits.
 
 from __future__ import annotations
 
+import re
 import zlib
 
 import numpy as np
@@ -27,40 +28,76 @@ END = 2
 DIMENSIONS = 4
 BITS = 8  # of each dimension
 RANGE_TOKENS = 8_000_000
-CACHED = 300_000  # chunks whose ids a task remembers
-CHUNK = 64  # bytes; longer chunks are not remembered
+CACHED = 400_000  # pieces whose ids a task remembers
+CHUNK = 64  # bytes; longer pieces are not remembered
+#: The vocabulary's contractions and special tokens.
+PIECE = re.compile(rb"'(?:s|t|re|ve|m|ll|d)|[a-zA-Z\x80-\xff]+|[0-9]|[^\sa-zA-Z0-9\x80-\xff]+")
+SPECIAL = re.compile(rb"<\|(?:startoftext|endoftext)\|>", re.IGNORECASE)
 
 
 class Tokens:
-    """Ids of a text, put together from its chunks between ASCII white space.
+    """Ids of a text, put together from the ids of its pieces.
 
-    The vocabulary's pre-tokenizer drops white space and its normalizer does not look
-    across it, so chunks are independent; ids are cached as two-byte little-endian.
+    ``PIECE`` cuts bytes as the vocabulary's pre-tokenizer cuts characters, as long as
+    what is not ASCII is letters; it drops white space.  Other texts, and those that name
+    a special token, are encoded whole.  Ids are cached as two-byte little-endian, and
+    unknown words of letters are encoded together and told apart by the tokens that end
+    a word.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ends = np.zeros(1 << 16, bool)
+        self.ends[[k for t, k in vocabulary.items() if t.endswith("</w>")]] = True
+        self.known: dict[bytes, bytes | None] = {}  # None: not a piece by itself
 
     def of(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
-        missing = list({c for chunks in split for c in chunks}.difference(self.known))
+        split = [[] if SPECIAL.search(t) else PIECE.findall(t.lower()) for t in texts]
+        needed = {p for pieces in split for p in pieces}
+        missing = needed.difference(self.known)
         if len(self.known) + len(missing) > CACHED:
-            self.known.clear()
-            missing = list({c for chunks in split for c in chunks})
-        long = {c: self._ids([c])[0] for c in missing if len(c) > CHUNK}
-        short = [c for c in missing if len(c) <= CHUNK]
-        self.known.update(zip(short, self._ids(short)))
-        look = self.known if not long else {**self.known, **long}
-        return [b"".join(map(look.__getitem__, chunks)) for chunks in split]
-
-    def _ids(self, chunks: list[bytes]) -> list[bytes]:
-        coded = self.tokenizer.encode_batch_fast(
-            [c.decode("utf-8", "replace") for c in chunks], add_special_tokens=False
-        )
-        return [np.array(x.ids, "<u2").tobytes() for x in coded]
+            self.known = {p: self.known[p] for p in needed.difference(missing)}
+        self._learn(list(missing))
+        out = []
+        for text, pieces in zip(texts, split):
+            ids = list(map(self.known.__getitem__, pieces))
+            whole = not pieces or None in ids
+            out.append(self._encoded(text.decode("utf-8", "replace")) if whole else b"".join(ids))
+        for p in missing:
+            if len(p) > CHUNK:
+                del self.known[p]
+        return out
+
+    def _encoded(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
+
+    def _learn(self, pieces: list[bytes]) -> None:
+        words = []
+        for p in pieces:
+            word = p.decode("utf-8", "replace")
+            if word.isascii():
+                if word.isalpha():
+                    words.append((p, word))
+                else:
+                    self.known[p] = self._encoded(word)
+            elif word.isalpha():
+                words.append((p, word))
+            else:
+                self.known[p] = None
+        for low in range(0, len(words), 1000):
+            some = words[low : low + 1000]
+            raw = self._encoded(" ".join(w for _, w in some))
+            cut = (2 * (np.flatnonzero(self.ends[np.frombuffer(raw, "<u2")]) + 1)).tolist()
+            if len(cut) == len(some):
+                self.known.update((p, raw[x:y]) for (p, _), x, y in zip(some, [0, *cut[:-1]], cut))
+            else:  # lower-casing made a mark of a letter somewhere
+                for p, w in some:
+                    ids = self._encoded(w)
+                    one = self.ends[np.frombuffer(ids, "<u2")].sum() == 1
+                    self.known[p] = ids if one else None
 
 
 def directions(size: int = 1 << 16, seed: int = 11) -> np.ndarray:
@@ -73,11 +110,11 @@ def tokenized(docs: DataFrame, path: str) -> DataFrame:
     names = [f"p{k}" for k in range(DIMENSIONS)]
 
     def rows(batch: pa.RecordBatch):
-        tokens, out = state.setdefault("t", None) or Tokens(path), directions()
-        state["t"] = tokens
-        texts = utf8(batch.column(1))
-        for low in range(0, len(texts), 512):
-            ids = [x + b"\x02\x00" for x in tokens.of(texts[low : low + 512])]
+        if not state:
+            state.update(tokens=Tokens(path), directions=directions())
+        tokens, out = state["tokens"], state["directions"]
+        for low in range(0, batch.num_rows, 256):
+            ids = [x + b"\x02\x00" for x in tokens.of(utf8(batch.column(1).slice(low, 256)))]
             sizes = np.array([len(x) // 2 for x in ids])
             every = np.frombuffer(b"".join(ids), "<u2")
             total = np.add.reduceat(out[every], np.r_[0, np.cumsum(sizes)[:-1]], axis=0)
