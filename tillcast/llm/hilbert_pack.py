@@ -63,9 +63,11 @@ class Tokens:
         self._learn(list(missing))
         out = []
         for text, pieces in zip(texts, split):
-            ids = list(map(self.known.__getitem__, pieces))
-            whole = not pieces or None in ids
-            out.append(self._encoded(text.decode("utf-8", "replace")) if whole else b"".join(ids))
+            try:
+                ids = b"".join(map(self.known.__getitem__, pieces))
+            except TypeError:  # a piece that is none by itself
+                ids = None
+            out.append(ids if ids and pieces else self._encoded(text.decode("utf-8", "replace")))
         for p in missing:
             if len(p) > CHUNK:
                 del self.known[p]
