@@ -16,6 +16,8 @@ collected: the driver sees totals, a histogram of bounded size, and the weights.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -34,8 +36,9 @@ from tillcast.llm.common import (
     word_hashes,
 )
 
-TOKENS = 1 << 18
-KEYS = 1 << 20  # distinct n-grams for each bucket, about
+TOKENS = 1 << 19
+SLICE = 1024  # texts held as Python bytes at a time
+KEYS = 1 << 19  # distinct n-grams for each bucket, about
 END = np.uint64(0xE17D0F7E87000001)
 START = np.uint64(0x57A27000000000F1)
 BUCKETS = 40
@@ -44,6 +47,12 @@ SPAN = 256  # cells on each axis; 0 stands for an estimate of zero
 ROUNDS = 60
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    """One row at a time: a block's arrays are large, and a batch holds many."""
+    for k in range(batch.num_rows):
+        yield {n: c[k].as_py() for n, c in zip(batch.schema.names, batch.columns)}
+
+
 def planes(x: np.ndarray) -> bytes:
     """Integers as byte planes: high bytes that are nearly all zero compress away."""
     return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
@@ -62,8 +71,14 @@ def blocks(docs: DataFrame, holdout: int, deleted: int, modulus: int) -> DataFra
     """
 
     def rows(batch: pa.RecordBatch):
-        ids, out, known, texts = (batch.column(0), batch.column(1).to_numpy(False), batch.column(2).to_numpy(False), utf8(batch.column(3)))
-        part = np.where(out.astype(bool), 0, np.where(known.astype(bool), 2, 1)).astype(np.uint8)
+        for low in range(0, batch.num_rows, SLICE):
+            yield from cut(batch.slice(low, SLICE))
+
+    def cut(batch: pa.RecordBatch):
+        ids, out, known = (batch.column(k) for k in range(3))
+        texts = utf8(batch.column(3))
+        part = np.where(out.to_numpy(False).astype(bool), 0, np.where(known.to_numpy(False).astype(bool), 2, 1))
+        part = part.astype(np.uint8)
         null = np.array([not x.is_valid for x in ids], bool)
         number = ids.fill_null(0).to_numpy().astype(np.int64)
         for low, high in text_blocks(texts, TOKENS * 6):
@@ -141,7 +156,7 @@ def _cut(keys: np.ndarray, buckets: int) -> np.ndarray:
 
 def _sent(buckets: int):
     def rows(batch: pa.RecordBatch):
-        for row in batch.to_pylist():
+        for row in _rows(batch):
             b = Block(row)
             for order in (0, 1):
                 keys, (one, two) = b.grams[order][0], b.counts(order)
@@ -250,7 +265,7 @@ def score(docs: DataFrame, holdout: int = 1, deleted: int = 2, modulus: int = 5)
     texts = stored(blocks(docs, holdout, deleted, modulus), "blocks")
 
     def totals(batch: pa.RecordBatch):
-        for row in batch.to_pylist():
+        for row in _rows(batch):
             part = np.frombuffer(row["part"], np.uint8)
             sizes = np.diff(np.frombuffer(row["ends"], np.int64), prepend=0)
             yield {
@@ -277,7 +292,7 @@ def score(docs: DataFrame, holdout: int = 1, deleted: int = 2, modulus: int = 5)
     evidence = stored(texts.join(back, "block"), "evidence")
 
     def histogram(batch: pa.RecordBatch):
-        for row in batch.to_pylist():
+        for row in _rows(batch):
             b = Block(row)
             one, two = _joined(row, 0)[0], _joined(row, 1)[0]
             context = _context(b, one, d1)
@@ -295,7 +310,7 @@ def score(docs: DataFrame, holdout: int = 1, deleted: int = 2, modulus: int = 5)
     n = n1 + n2
 
     def scores(batch: pa.RecordBatch):
-        for row in batch.to_pylist():
+        for row in _rows(batch):
             b = Block(row)
             one, two = (sum(_joined(row, k)) for k in (0, 1))
             context = _context(b, one, d1 + d2)
