@@ -59,14 +59,10 @@ V["baseline_dates"] = f"""
           lookup_weeks - CASE WHEN is_long THEN 1 ELSE 0 END lookup_weeks
         FROM control k JOIN operable USING (location_num, prediction_date)) w
       JOIN (
-        SELECT location_num, business_date, sales_sub_total FROM (
-          SELECT * FROM sales_daily WHERE business_date < {TODAY}
-          QUALIFY row_number() OVER (PARTITION BY location_num
-            ORDER BY business_date DESC, generation_date DESC) <= 200)
-        WHERE (location_num, business_date) IN (SELECT (location_num, business_date) FROM (
-          SELECT * FROM items_daily WHERE business_date < {TODAY} AND product < 10
-          QUALIFY row_number() OVER (PARTITION BY location_num
-            ORDER BY business_date DESC, generation_date DESC, product) <= 200))
+        SELECT location_num, business_date, sales_sub_total FROM sales_daily
+        WHERE business_date < {TODAY}
+          AND (location_num, business_date) IN (SELECT (location_num, business_date)
+            FROM items_daily WHERE business_date < {TODAY} AND product < 10)
         QUALIFY generation_date = max(generation_date)
           OVER (PARTITION BY location_num, business_date)) c
       ON c.location_num = w.location_num

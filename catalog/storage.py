@@ -168,8 +168,7 @@ def _(v):
 )
 def _(v):
     path = _path(v, "s12")
-    months = v.latest_sales_daily.repartition(DAY)
-    months.where(F.col(DAY) >= F.lit(days(60))).write.partitionBy(DAY).parquet(path)
+    v.latest_sales_daily.repartition(DAY).write.partitionBy(DAY).parquet(path)
     return S.latest_partition(v.spark.read.parquet(path), DAY, AS_OF)
 
 

@@ -35,4 +35,4 @@ def document_date(path: Column) -> Column:
 
 def partition_store(entry: Column) -> Column:
     """Number out of text such as ``location_num=00012``."""
-    return F.regexp_extract(entry, r"=(\d{1,5})", 1).cast("int")
+    return F.regexp_extract(entry, r"=(\d+)", 1).cast("int")

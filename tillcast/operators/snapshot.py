@@ -107,14 +107,13 @@ def incremental_slice(calendar: DataFrame, bounds: DataFrame) -> DataFrame:
     """Calendar rows of every store's range.
 
     Each store's range is expanded to its dates inside the row and joined to
-    the calendar on the date; there is no range join and no cross join.  The
-    calendar is broadcast: it has one row, or 96, per day of its span, while
-    few dates would make few, large shuffle partitions.
+    the calendar on the date; there is no range join and no cross join.  Whether
+    the calendar is broadcast is decided by its size.
     """
     days = bounds.where(F.col("_after") < F.col("_through")).withColumn(
         "business_date", F.explode(F.sequence(F.date_add("_after", 1), F.col("_through")))
     )
-    return days.drop("_after", "_through").join(F.broadcast(calendar), "business_date")
+    return days.drop("_after", "_through").join(calendar, "business_date")
 
 
 def latest_dates(df: DataFrame, n: int, key: str = "location_num") -> DataFrame:

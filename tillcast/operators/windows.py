@@ -6,11 +6,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+MOST_WEEKS = 9  # the setting is one digit
+
+
 def recent_same_weekday(df: DataFrame, keys: list[str], weeks: str = "lookup_weeks") -> DataFrame:
-    """The most recent days per key, one fewer than the lookup weeks (rank, ties kept)."""
+    """The most recent days per key, one fewer than the lookup weeks (rank, ties kept).
+
+    The literal bound is planned before the shuffle; the setting's is a column.
+    """
     newest_first = Window.partitionBy(*keys).orderBy(F.desc("business_date"))
     return (
         df.withColumn("_rank", F.rank().over(newest_first))
+        .where(F.col("_rank") < MOST_WEEKS)
         .where(F.col("_rank") < F.col(weeks))
         .drop("_rank")
     )

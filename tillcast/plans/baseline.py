@@ -15,12 +15,11 @@ from tillcast.functions.calendar import fiscal_last_year, horizon_dates
 from tillcast.functions.numeric import planned_mean, safe_ratio, uplift
 from tillcast.operators.joins import explode_recipe, mean_yield, scaffold
 from tillcast.operators.predicates import operable_dates, parse_settings
-from tillcast.operators.snapshot import dedupe_latest, not_before, top_n_by
+from tillcast.operators.snapshot import dedupe_latest, not_before
 from tillcast.operators.windows import recent_same_weekday, trim_extremes, with_survivors
 
 LOC = "location_num"
 STAPLES = (160001, 403614, 160067)  # fixed values: items sold on every open day
-HISTORY_ROWS = 200
 
 
 def control_table(
@@ -46,35 +45,21 @@ def baseline_dates(
     sat_off: DataFrame,
     as_of: date,
     staples: tuple[int, ...] = STAPLES,
-    history: int = HISTORY_ROWS,
 ) -> DataFrame:
     """Which past days feed each prediction date of each store.
 
-    Candidates are the newest ``history`` rows of a store on the same weekday
-    with a staple item sold.  The newest ``lookup_weeks - 1`` are kept, the
-    days with the lowest and highest sales dropped, and the rest counted.
-    Both histories are limited per store before they are shuffled.
+    Candidates are a store's days on the same weekday with a staple item sold.
+    The newest ``lookup_weeks - 1`` are kept, the days with the lowest and
+    highest sales dropped, and the rest counted.  However dense the history,
+    only the rank of a day limits it.
     """
     before = F.col("business_date") < F.lit(as_of)
-    newest = [F.desc("business_date"), F.desc("generation_date")]
     recent = dedupe_latest(
-        top_n_by(
-            daily.where(before).select(LOC, "business_date", "sales_sub_total", "generation_date"),
-            [LOC],
-            newest,
-            history,
-        ),
+        daily.where(before).select(LOC, "business_date", "sales_sub_total", "generation_date"),
         [LOC, "business_date"],
         ["sales_sub_total"],
     ).select(LOC, "business_date", "sales_sub_total")
-    sold = top_n_by(
-        items.where(before & F.col("product").isin(*staples)).select(
-            LOC, "business_date", "generation_date", "product"
-        ),
-        [LOC],
-        [*newest, F.asc("product")],
-        history,
-    ).select(LOC, "business_date")
+    sold = items.where(before & F.col("product").isin(*staples)).select(LOC, "business_date")
     candidates = recent.join(sold.distinct(), [LOC, "business_date"], "left_semi").withColumn(
         "dayofweek", F.dayofweek("business_date")
     )
