@@ -36,9 +36,9 @@ from tillcast.llm.common import (
     word_hashes,
 )
 
-TOKENS = 1 << 19
-SLICE = 1024  # texts held as Python bytes at a time
-KEYS = 1 << 19  # distinct n-grams for each bucket, about
+TOKENS = 1 << 17
+SLICE = 256  # texts held as Python bytes at a time
+KEYS = 1 << 18  # distinct n-grams for each bucket, about
 END = np.uint64(0xE17D0F7E87000001)
 START = np.uint64(0x57A27000000000F1)
 BUCKETS = 40
@@ -82,7 +82,7 @@ def blocks(docs: DataFrame, holdout: int, deleted: int, modulus: int) -> DataFra
         null = np.array([not x.is_valid for x in ids], bool)
         number = ids.fill_null(0).to_numpy().astype(np.int64)
         for low, high in text_blocks(texts, TOKENS * 6):
-            h, ends = word_hashes(texts[low:high])
+            h, ends = _hashed(texts[low:high])
             h = np.insert(h, ends, END)
             words, index, times = np.unique(h, return_inverse=True, return_counts=True)
             rank = np.argsort(-times, kind="stable")  # frequent words get small numbers
@@ -115,6 +115,17 @@ def blocks(docs: DataFrame, holdout: int, deleted: int, modulus: int) -> DataFra
     )
 
 
+def _hashed(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes and ends of a block, a small range of texts at a time."""
+    hashes, ends, before = [], [], 0
+    for low, high in text_blocks(texts):
+        h, e = word_hashes(texts[low:high])
+        hashes.append(h)
+        ends.append(e + before)
+        before += len(h)
+    return np.concatenate(hashes), np.concatenate(ends)
+
+
 class Block:
     """One block in memory: per token its word, its bigram's place, and its document."""
 
