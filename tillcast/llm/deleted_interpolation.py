@@ -21,6 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,8 +37,8 @@ from tillcast.llm.common import (
     word_hashes,
 )
 
-TOKENS = 1 << 17
-SLICE = 256  # texts held as Python bytes at a time
+TOKENS = 1 << 18
+SLICE = 512  # texts held as Python bytes at a time
 KEYS = 1 << 18  # distinct n-grams for each bucket, about
 END = np.uint64(0xE17D0F7E87000001)
 START = np.uint64(0x57A27000000000F1)
@@ -54,13 +55,14 @@ def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
 
 
 def planes(x: np.ndarray) -> bytes:
-    """Integers as byte planes: high bytes that are nearly all zero compress away."""
-    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
+    """Integers as compressed byte planes: high bytes are nearly all zero."""
+    raw = np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(raw)
 
 
 def from_planes(raw: bytes, kind) -> np.ndarray:
     size = np.dtype(kind).itemsize
-    a = np.frombuffer(raw, np.uint8).reshape(size, -1)
+    a = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(size, -1)
     return np.ascontiguousarray(a.T).view(kind).ravel()
 
 
