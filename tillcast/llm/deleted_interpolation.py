@@ -37,9 +37,9 @@ from tillcast.llm.common import (
     word_hashes,
 )
 
-TOKENS = 1 << 18
-SLICE = 512  # texts held as Python bytes at a time
-KEYS = 1 << 18  # distinct n-grams for each bucket, about
+TOKENS = 1 << 20
+SLICE = 2048  # texts held as Python bytes at a time
+KEYS = 1 << 20  # distinct n-grams for each bucket, about
 END = np.uint64(0xE17D0F7E87000001)
 START = np.uint64(0x57A27000000000F1)
 BUCKETS = 40
