@@ -13,6 +13,7 @@ from tillcast.llm import (
     hilbert_pack,
     hyperminhash,
     knapsack_mix,
+    license_scan,
     pairwise_quality,
     toxic_terms,
     url_filter,
@@ -45,6 +46,10 @@ def op3_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deleted_interpolation.score(_table(spark, sf_dir, "documents"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scanned(_table(spark, sf_dir, "documents"))
+
+
 def op5_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adaptive_rules.judged(_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
@@ -77,6 +82,7 @@ QUERIES = {
         op1_knapsack_mix,
         op2_hilbert_pack,
         op3_deleted_interpolation,
+        op4_license_scan,
         op5_adaptive_rules,
         op6_url_filter,
         op7_toxic_terms,
