@@ -856,21 +856,13 @@ query(
 query(
     "f06_last_year_date",
     f"""SELECT business_date, {last_year("business_date")} ly_date,
-      CASE WHEN (year(business_date) % 4 = 0 AND year(business_date) % 100 <> 0)
-          AND business_date > make_date(year(business_date), 2, 28)
-          OR year(business_date) % 400 = 0
-        THEN CAST(business_date - INTERVAL 1 YEAR AS DATE) + 2
-        WHEN ((year(business_date) - 1) % 4 = 0 AND (year(business_date) - 1) % 100 <> 0)
-          AND business_date <= make_date(year(business_date), 2, 28)
-          OR (year(business_date) - 1) % 400 = 0
-        THEN CAST(business_date - INTERVAL 1 YEAR AS DATE) + 2
-        ELSE CAST(business_date - INTERVAL 1 YEAR AS DATE) + 1 END stated
+      CAST(business_date - {last_year("business_date")} AS INTEGER) days_back
     FROM calendar_daily""",
 )(
     lambda v: v.calendar_daily.select(
         DAY,
         C.last_year_date(F.col(DAY)).alias("ly_date"),
-        C.last_year_date(F.col(DAY)).alias("stated"),
+        F.datediff(DAY, C.last_year_date(F.col(DAY))).alias("days_back"),
     )
 )
 query(
@@ -963,13 +955,19 @@ query(
 )
 query(
     "f16_business_today",
-    """SELECT event_id, CAST(ts - INTERVAL 5 HOUR AS DATE) business_day FROM events""",
+    # every other event half a year later, when summer time holds
+    """SELECT event_id, CAST(CASE WHEN event_id % 2 = 0 THEN ts - INTERVAL 5 HOUR
+      ELSE ts + INTERVAL 180 DAY - INTERVAL 4 HOUR END AS DATE) business_day FROM events""",
 )(
     lambda v: v.table("events").select(
         "event_id",
-        C.business_today(F.to_utc_timestamp(F.col("ts").cast("timestamp"), "UTC")).alias(
-            "business_day"
-        ),
+        C.business_today(
+            F.to_utc_timestamp(
+                F.col("ts").cast("timestamp")
+                + F.expr("CASE WHEN event_id % 2 = 0 THEN INTERVAL '0' DAY ELSE INTERVAL '180' DAY END"),
+                "UTC",
+            )
+        ).alias("business_day"),
     )
 )
 query(

@@ -11,17 +11,11 @@ def dec2(x: str) -> str:
 
 
 def last_year(d: str) -> str:
-    y = f"year({d})"
-    feb = f"(month({d}) > 2 OR (month({d}) = 2 AND day({d}) = 29))"
-
-    def plain(v: str) -> str:
-        return f"(({v}) % 4 = 0 AND ({v}) % 100 <> 0)"
-
-    two = (
-        f"({y} % 400 = 0 OR ({y} - 1) % 400 = 0 OR ({plain(y)} AND {feb}) "
-        f"OR ({plain(y + ' - 1')} AND NOT {feb}))"
-    )
-    return f"(CAST({d} - INTERVAL 1 YEAR AS DATE) + CASE WHEN {two} THEN 2 ELSE 1 END)"
+    """364 days back; one day less before 29 February of a year divisible by 400 and after
+    February of the year that follows it."""
+    early = f"(year({d}) % 400 = 0 AND dayofyear({d}) < 60)"
+    late = f"((year({d}) - 1) % 400 = 0 AND dayofyear({d}) >= 60)"
+    return f"(CAST({d} AS DATE) - CASE WHEN {early} OR {late} THEN 363 ELSE 364 END)"
 
 
 def closed_holiday(d: str) -> str:
