@@ -95,6 +95,63 @@ QUERIES = {
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 ORACLES: dict[str, str] = {
+    "op5_adaptive_rules": f"""
+WITH w AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS t, {_WORDS} AS w FROM documents
+), g AS (
+  SELECT r, k, array_to_string(w[k:k + 7], ' ') AS g
+  FROM (SELECT r, w, unnest(range(1, len(w) - 6)) AS k FROM w WHERE len(w) >= 8)
+), twice AS (
+  SELECT r, k FROM (SELECT r, k, count(*) OVER (PARTITION BY r, g) AS n FROM g) WHERE n > 1
+), cover AS (
+  SELECT r, sum(least(8, coalesce(k - last, 8))) AS n
+  FROM (SELECT r, k, lag(k) OVER (PARTITION BY r ORDER BY k) AS last FROM twice) GROUP BY r
+), lines AS (
+  SELECT r, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM w
+), m AS (
+  SELECT w.r, doc_id, lang, source, len(w) AS n_words, length(coalesce(array_to_string(w, ''), '')) AS word_chars,
+    len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, len(regexp_extract_all(t, '[A-Z]')) AS n_upper,
+    len(l) - len(list_distinct(l)) AS n_dup_lines, CAST(coalesce(cover.n, 0) AS BIGINT) AS n_repeat_words,
+    len(list_distinct(w)) AS n_distinct
+  FROM w JOIN lines ON lines.r = w.r LEFT JOIN cover ON cover.r = w.r
+), f AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m
+), x AS (
+  SELECT r, lang, source, 'symbol_rate' AS rate, n_symbols / CAST(n_words AS DOUBLE) AS x FROM f WHERE NOT base_failed
+  UNION ALL SELECT r, lang, source, 'upper_rate', n_upper / CAST(word_chars AS DOUBLE) FROM f WHERE NOT base_failed
+  UNION ALL SELECT r, lang, source, 'duplicate_rate', n_dup_lines / CAST(n_words AS DOUBLE) FROM f WHERE NOT base_failed
+  UNION ALL SELECT r, lang, source, 'variety', ln(n_distinct) / ln(n_words) FROM f WHERE NOT base_failed
+), side(rate, side, least_step) AS (
+  VALUES {", ".join(f"('{k}', {side}, {least!r}::DOUBLE)" for k, (side, least) in adaptive_rules.RATES.items())}
+), b AS (
+  SELECT *, CASE WHEN x > 0 THEN CAST(ceil(ln(x) / ln({adaptive_rules.GAMMA!r}::DOUBLE)) AS INT) ELSE -1000000 END AS b
+  FROM x
+), q AS (
+  SELECT rate, lang, source, grouping(lang, source) AS level, count(*) AS n,
+    quantile_disc(b, 0.25) AS b1, quantile_disc(b, 0.5) AS b2, quantile_disc(b, 0.75) AS b3
+  FROM b GROUP BY GROUPING SETS ((rate, lang, source), (rate, lang), (rate))
+), v AS (
+  SELECT rate, lang, source, level, n, {", ".join(
+      f"CASE WHEN b{k} = -1000000 THEN 0 ELSE 2 * pow({adaptive_rules.GAMMA!r}::DOUBLE, b{k})"
+      f" / ({adaptive_rules.GAMMA!r}::DOUBLE + 1) END AS q{k}" for k in (1, 2, 3))}
+  FROM q
+), fence AS (
+  SELECT o.rate, o.lang, o.source, s.side, best.q2 + s.side * {adaptive_rules.WIDTH!r}::DOUBLE * greatest(
+      CASE WHEN s.side > 0 THEN best.q3 - best.q2 ELSE best.q2 - best.q1 END, s.least_step) AS fence
+  FROM v o JOIN side s ON s.rate = o.rate JOIN v l ON l.level = 1 AND l.rate = o.rate AND l.lang IS NOT DISTINCT FROM o.lang
+  JOIN v best ON best.rate = o.rate AND best.level = CASE WHEN o.n >= {adaptive_rules.LEAST_ROWS} THEN 0
+      WHEN l.n >= {adaptive_rules.LEAST_ROWS} THEN 1 ELSE 3 END
+    AND (best.level = 3 OR best.lang IS NOT DISTINCT FROM o.lang)
+    AND (best.level > 0 OR best.source IS NOT DISTINCT FROM o.source)
+  WHERE o.level = 0
+), outside AS (
+  SELECT DISTINCT x.r FROM x JOIN fence ON fence.rate = x.rate AND fence.lang IS NOT DISTINCT FROM x.lang
+    AND fence.source IS NOT DISTINCT FROM x.source
+  WHERE side * x > side * fence
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND r NOT IN (SELECT r FROM outside) AS kept
+FROM f""",
     "op9_flat_graph": """
 WITH RECURSIVE v AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
