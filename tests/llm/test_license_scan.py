@@ -24,3 +24,41 @@ def test_licenses_match_brute_force(spark, odd, none):
         assert {r.doc_id: r.licenses for r in rows} == want and len(rows) == df.count()
     assert any(want_row.n_licenses for want_row in license_scan.scanned(docs).collect())
     assert license_scan.scanned(none).count() == 0
+
+
+def test_every_kind_of_license_line_in_the_tables(spark):
+    kinds = {
+        r"licensed under the apache license, version": "apache-2.0",
+        r"released under the mit license": "mit",
+        r"this work is licensed under the gnu general public license, version": "gpl",
+        r"all rights reserved": "reserved",
+        r"licensed under cc by-nc": "cc-by-nc",
+    }
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    want = {
+        r.doc_id: ",".join(sorted(n for k, n in kinds.items() if re.search(k, (r.text or "").lower()))) for r in docs.collect()
+    }
+    assert set(",".join(want.values()).split(",")) == {"", *kinds.values()}
+    assert {r.doc_id: r.licenses for r in license_scan.scanned(docs).collect()} == want
+
+
+def test_containment_counts_in_the_window_only(spark):
+    full = dict(license_scan.TEXTS)
+    gpl = "this work is licensed under the gnu general public license"
+    words = gpl.split()
+    scattered = " filler words between here ".join(f"{a} {b}" for a, b in zip(words, words[1:]))
+    rest = " x y z" * 50
+    cases = {
+        scattered + rest + " this work is": "",
+        "a b " + gpl + ", version 3" + rest: "gpl",
+        "This work is licensed under the GNU Lesser General Public License, version 3." + rest: "lgpl",
+        "Licensed under CC BY-NC-SA 4.0. Released under the MIT License." + rest: "cc-by-nc-sa,mit",
+        "Licensed under CC BY 4.0.": "cc-by",
+    }
+    for name, text in full.items():
+        cases[rest + text + rest] = name
+        cut = text.split()
+        cases[" ".join(w for k, w in enumerate(cut) if k % 40)] = name
+    df = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    got = {r.doc_id: r.licenses for r in license_scan.scanned(df).collect()}
+    assert [got[k] for k in range(len(cases))] == list(cases.values())

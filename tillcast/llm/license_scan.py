@@ -1,30 +1,60 @@
-"""License scan: MinHash bands over overlapping windows retrieve templates, containment verifies.
+"""License scan: MinHash over windows retrieves templates, containment in the window verifies.
 
-A window is ``WINDOW`` consecutive words, one at every word; each band keeps the smallest
-seeded hash of the window's two-word shingles.  A window of a verbatim copy equals one of
-the template's, so it collides in every band; an edited copy keeps all windows that the
-edits do not touch.  A retrieved template counts if the text holds at least ``LEAST`` of its
-distinct shingles.  Column functions only, inside the row: no text is shuffled.
+A template is a notice of one sentence or a whole license text.  Its band keys are hashes
+of windows of three words, or of five for a template of ``LONG`` shingles; of a text of
+``SAMPLED`` shingles each run of ``RUN`` windows gives only its smallest hash.  A document's
+windows, one at every word, are looked up among all band keys at once, and a collision
+says which template should start where.  A template counts if its own window of the
+document, as long as the template with some room, holds at least ``LEAST`` of its distinct
+two-word shingles.  Of two templates found in one place the one with more shingles counts,
+so the LGPL is not the GPL, and a notice inside a license text is not named apart.  Column
+functions only, inside the row: no text is shuffled.
 """
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-WINDOW = 3
-BANDS = 2
+LONG = 40  # shingles
+SAMPLED, RUN = 400, 8
 LEAST = 0.8
 #: Short statements by which licenses are named in texts.
-TEMPLATES = (
+NOTICES = (
+    ("agpl", "this work is licensed under the gnu affero general public license"),
+    ("agpl", "this program is free software you can redistribute it under the terms of the gnu affero general public license"),
     ("apache-2.0", "licensed under the apache license version 2.0"),
-    ("mit", "released under the mit license"),
-    ("mit-text", "permission is hereby granted free of charge to any person obtaining a copy of this software"),
-    ("gpl", "this program is free software you can redistribute it under the terms of the gnu general public license"),
+    ("artistic", "licensed under the artistic license"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
+    ("bsd", "released under the bsd license"),
     ("cc-by", "this work is licensed under a creative commons attribution license"),
+    *(("cc-by", f"licensed under cc by {k}") for k in (1, 2, 3, 4)),
+    ("cc-by-nc", "licensed under cc by nc"),
+    ("cc-by-nc", "this work is licensed under a creative commons attribution noncommercial license"),
+    ("cc-by-nd", "licensed under cc by nd"),
+    *(("cc-by-nc-nd", f"licensed under cc by nc nd {k}") for k in (1, 2, 3, 4)),
+    *(("cc-by-nc-sa", f"licensed under cc by nc sa {k}") for k in (1, 2, 3, 4)),
+    ("cc-by-sa", "licensed under cc by sa"),
+    ("cc-by-sa", "this work is licensed under a creative commons attribution sharealike license"),
+    ("cc0", "this work is released under cc0"),
+    ("gfdl", "under the terms of the gnu free documentation license"),
+    ("gpl", "this program is free software you can redistribute it under the terms of the gnu general public license"),
+    ("gpl", "this work is licensed under the gnu general public license"),
+    ("isc", "released under the isc license"),
+    ("lgpl", "this library is free software you can redistribute it under the terms of the gnu lesser general public license"),
+    ("lgpl", "this work is licensed under the gnu lesser general public license"),
+    ("mit", "released under the mit license"),
+    ("mit-text", "permission is hereby granted free of charge to any person obtaining a copy of this software"),
+    ("mpl", "this source code form is subject to the terms of the mozilla public license"),
     ("reserved", "all rights reserved"),
 )
+#: Whole license texts, named after their files.
+TEXTS = tuple(
+    (f"{p.stem}-full", p.read_text(encoding="utf-8")) for p in sorted((Path(__file__).parent / "licenses").glob("*.txt"))
+)
+TEMPLATES = NOTICES + TEXTS
 
 
 def shingles(text: Column) -> Column:
@@ -35,33 +65,97 @@ def shingles(text: Column) -> Column:
     return F.filter(F.zip_with(hashed, follow, lambda a, b: F.when(b.isNotNull(), F.xxhash64(a, b))), lambda x: x.isNotNull())
 
 
-def bands(hashes: Column) -> Column:
-    """Band keys of all windows: the smaller seeded hash of each two neighbouring shingles."""
+def windows(hashes: str, step: int) -> Column:
+    """A hash of each element and the one ``step`` after it; null at the end."""
+    follow = F.slice(hashes, step + 1, F.greatest(F.size(hashes) - step, F.lit(0)))
+    return F.zip_with(hashes, follow, lambda a, b: F.when(b.isNotNull(), F.xxhash64(a, b)))
+
+
+def windowed(df: DataFrame) -> DataFrame:
+    """With ``three`` and ``five``: hashes of the windows of so many words at each shingle of ``s``."""
+    return df.withColumn("three", windows("s", 1)).withColumn("five", windows("three", 2))
+
+
+def sampled(keys: list) -> list[int]:
+    """Positions of a template's band keys."""
+    at = [k for k, x in enumerate(keys) if x is not None]
+    if len(at) < SAMPLED:
+        return at
+    return sorted({min(at[k : k + RUN], key=lambda p: keys[p]) for k in range(len(at) - RUN + 1)})
 
-    def one(seed: int) -> Column:
-        h = F.transform(hashes, lambda x: F.xxhash64(F.lit(seed), x))
-        follow = F.slice(h, 2, F.greatest(F.size(h) - 1, F.lit(0)))
-        return F.zip_with(h, follow, lambda a, b: F.xxhash64(F.lit(-seed), F.least(a, b)))
 
-    return F.array_distinct(F.concat(*(one(k + 1) for k in range(BANDS))))
+def longs(values) -> Column:
+    """A constant array; one string goes to the JVM instead of a call for each value."""
+    return F.split(F.lit(" ".join(map(str, values))), " ").cast("array<bigint>")
+
+
+def _starts(band: list, steps: Column):
+    """(template, start) of all band keys equal to a hit's; starts are rounded down to steps."""
+    key, of, at = (longs(x) for x in zip(*sorted(band)))
+
+    def starts(hit: Column) -> Column:
+        same = F.array_compact(F.transform(key, lambda k, n: F.when(k == hit["key"], n + 1)))
+
+        def start(n: Column) -> Column:
+            t = F.element_at(of, n)
+            step = F.element_at(steps, (t + 1).cast("int"))
+            return F.struct(t.alias("t"), (F.floor((hit["at"] - F.element_at(at, n)) / step) * step).alias("start"))
+
+        return F.transform(same, start)
+
+    return starts
 
 
 def scanned(docs: DataFrame, templates: tuple = TEMPLATES) -> DataFrame:
     """One row per document: doc_id, licenses (names in order, joined by commas), n_licenses.
 
     Null, empty and short texts hold none.  Repeated rows are documents of their own, and
-    equal texts get equal results.  The templates are a parameter of a few short texts.
+    equal texts get equal results.  The templates, (name, text) of three words or more, are
+    a parameter; several may share a name.
     """
     table = docs.sparkSession.createDataFrame(list(templates), "name string, text string")
-    known = table.select("name", F.array_distinct(shingles(F.col("text"))).alias("s"), bands(shingles(F.col("text"))).alias("b"))
-    known = sorted((r.name, r.s, r.b) for r in known.collect())
+    known = windowed(table.select("name", shingles(F.col("text")).alias("s")))
+    known = sorted((r.name, r.s, r.three, r.five) for r in known.collect())
+    if any(len(s) < 2 for _, s, _, _ in known):
+        raise ValueError("a template needs three words")
+    bands = {"three": [], "five": []}
+    for t, (_, s, three, five) in enumerate(known):
+        width, keys = ("five", five) if len(s) >= LONG else ("three", three)
+        bands[width] += [(keys[p], t, p) for p in sampled(keys)]
+    size = [len(s) for _, s, _, _ in known]
+    names = F.array(*(F.lit(n) for n, *_ in known))
+    sizes, steps, room = longs(size), longs(max(1, n // 16) for n in size), longs(max(2, n // 4) for n in size)
+    needed = longs(-int(-LEAST * len(set(s)) // 1) for _, s, _, _ in known)
+    content = F.array(*(longs(dict.fromkeys(s)) for _, s, _, _ in known))
+
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    df = docs.select("doc_id", shingles(text).alias("s"))
-    df = df.select("doc_id", F.array_distinct("s").alias("s"), bands(F.col("s")).alias("b"))
+    df = windowed(docs.select("doc_id", shingles(text).alias("s")))
     found = []
-    for name, s, b in known:
-        held = F.size(F.array_intersect(F.col("s"), F.array(*map(F.lit, s))))
-        hit = F.arrays_overlap("b", F.array(*map(F.lit, b))) & (held >= LEAST * len(s))
-        found.append(F.when(hit, F.lit(name)))
-    names = F.array_compact(F.array(*found))
-    return df.select("doc_id", F.array_join(names, ",").alias("licenses"), F.size(names).cast("long").alias("n_licenses"))
+    for width, band in bands.items():
+        if band:
+            values = sorted({key for key, _, _ in band})
+            hit = lambda x, n: F.when(x.isin(values), F.struct(n.alias("at"), x.alias("key")))  # noqa: B023, E731
+            found.append(F.flatten(F.transform(F.array_compact(F.transform(width, hit)), _starts(band, steps))))
+    df = df.select("s", "doc_id", F.array_distinct(F.concat(*found)).alias("found"))
+
+    def verified(c: Column) -> Column:
+        t = (c["t"] + 1).cast("int")
+        spare = F.element_at(room, t)
+        low = F.greatest(c["start"] - spare, F.lit(0))
+        high = c["start"] + F.element_at(sizes, t) + F.element_at(steps, t) + spare
+        held = F.size(F.array_intersect(F.slice("s", (low + 1).cast("int"), F.greatest(high - low, F.lit(0)).cast("int")), F.element_at(content, t)))
+        middle = c["start"] + F.floor(F.element_at(sizes, t) / 2)
+        end = c["start"] + F.element_at(sizes, t)
+        return F.when(
+            held >= F.element_at(needed, t),
+            F.struct(c["t"].alias("t"), c["start"].alias("start"), middle.alias("middle"), end.alias("end"), held.alias("held")),
+        )
+
+    df = df.select("doc_id", F.array_compact(F.transform("found", verified)).alias("sure"))
+
+    def beaten(c: Column) -> Column:
+        return F.exists("sure", lambda o: (o["held"] > c["held"]) & (o["start"] <= c["middle"]) & (c["middle"] < o["end"]))
+
+    left = F.transform(F.filter("sure", lambda c: ~beaten(c)), lambda c: F.element_at(names, (c["t"] + 1).cast("int")))
+    df = df.select("doc_id", F.array_sort(F.array_distinct(left)).alias("names"))
+    return df.select("doc_id", F.array_join("names", ",").alias("licenses"), F.size("names").cast("long").alias("n_licenses"))
