@@ -383,6 +383,25 @@ def test_flat_graph_matches_brute_force(spark, monkeypatch):
     assert flat_graph.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_dense_groups_that_are_linked_are_found():
+    rng = np.random.default_rng(8)
+    a = rng.standard_normal(64)
+    a /= np.linalg.norm(a)
+    b = rng.standard_normal(64)
+    b -= b @ a * a
+    b = 0.965 * a + np.sqrt(1 - 0.965**2) * b / np.linalg.norm(b)
+    x = np.concatenate([c + rng.standard_normal((k, 64)) * 0.004 for c, k in ((a, 130), (b, 210))])
+    x = np.concatenate([x, rng.standard_normal((1000, 64))])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    ids = np.arange(len(x))
+    near = [ids[r[r >= 0]] for r in flat_graph.pruned(x)]
+    graph = flat_graph.united(np.empty((len(x), 0), np.int64), ids, near)
+    got = {(int(u), int(v)) for p, q in flat_graph.in_range(x, graph, ids, 0.95) for u, v in zip(p, q)}
+    want = {(int(u), int(v)) for u, v in np.argwhere(x @ x.T >= 0.95) if u != v}
+    assert sum(u < 130 <= v for u, v in want) > 20_000
+    assert got <= want and len(got) >= 0.99 * len(want)
+
+
 # -- 10: MinHash ----------------------------------------------------------------------
 
 

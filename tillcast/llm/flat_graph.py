@@ -2,8 +2,8 @@
 
 Identical vectors collapse to one node with a count.  Every node is dealt to its
 ``overlap`` nearest centroids; each shard builds adjacency lists from its nearest
-neighbours by robust pruning (Subramanya et al., 2019), and the lists of a node
-are united over its shards.  In each shard every node is a query: a greedy search
+neighbours by robust pruning (Subramanya et al., 2019) and long edges, and the lists
+of a node are united over its shards.  In each shard every node is a query: a greedy search
 enters at the shard's medoid and at the node itself and is then expanded through
 every vertex in range.  Cosines are exact, in double precision.
 
@@ -32,6 +32,7 @@ SHARD_MOST = 12_000
 CANDIDATES = 48
 DEGREE = 24
 ALPHA = 1.2
+RANDOM = 4  # random members of the shard beside the pruned neighbours
 BEAM = 8
 SLACK = 0.1  # vertices this far below the range are still expanded
 AUDIT = 200  # queries
@@ -115,17 +116,31 @@ def cells(members: DataFrame) -> DataFrame:
 
 
 def pruned(x: np.ndarray) -> np.ndarray:
-    """Adjacency by robust pruning of the nearest candidates; -1 fills short rows."""
+    """Adjacency by robust pruning of the nearest candidates, and long edges; -1 fills short rows.
+
+    Long edges go to the neighbours at twice, four times, ... the rank of the last candidate
+    and to random members.  Of any two tight groups above ``CANDIDATES`` the smaller one, of
+    s nodes, so reaches its ranks s to 2 s, which are its nearest nodes outside.
+    """
     n = len(x)
     c = min(CANDIDATES, n - 1)
-    out = np.full((n, DEGREE), -1, np.int64)
     if c < 1:
-        return out
+        return np.full((n, DEGREE), -1, np.int64)
+    ranks = [c - 1]
+    while 2 * ranks[-1] + 1 < n - 1:
+        ranks.append(2 * ranks[-1] + 1)
+    long = DEGREE + len(ranks) - 1
+    out = np.full((n, long + RANDOM), -1, np.int64)
+    rng = np.random.default_rng(n)
     for low in range(0, n, 512):
         rows = np.arange(low, min(n, low + 512))
         sim = x[rows] @ x.T
         sim[np.arange(len(rows)), rows] = -2
-        near = np.argpartition(-sim, c - 1, axis=1)[:, :c]
+        near = np.argpartition(-sim, ranks, axis=1)
+        out[rows[:, None], np.arange(DEGREE, long)] = near[:, ranks[1:]]
+        other = rng.integers(0, n, (len(rows), RANDOM))
+        out[rows[:, None], np.arange(long, long + RANDOM)] = np.where(other == rows[:, None], -1, other)
+        near = near[:, :c]
         s = np.take_along_axis(sim, near, 1)
         order = np.argsort(-s, axis=1, kind="stable")
         near, s = np.take_along_axis(near, order, 1), np.take_along_axis(s, order, 1)
@@ -160,8 +175,10 @@ def in_range(x: np.ndarray, adjacency: np.ndarray, queries: np.ndarray, least: f
         score = np.stack([x[q] @ x[medoid], np.einsum("ij,ij->i", x[q], x[q])], 1)
         done = np.zeros(beam.shape, bool)
         found_q, found_n = [row], [q]
-        while not done.all():  # greedy: expand the best open vertex of each query's beam
-            best = np.where(done, -np.inf, score).argmax(1)
+        entered = False
+        while not done.all():  # greedy: the medoid, then the best open vertex of each query's beam
+            best = np.where(done, -np.inf, score).argmax(1) if entered else np.zeros(len(q), np.int64)
+            entered = True
             go = ~done[row, best]
             done[row, best] = True
             near = np.where(go[:, None], safe[beam[row, best]], n)
