@@ -402,6 +402,23 @@ def test_dense_groups_that_are_linked_are_found():
     assert got <= want and len(got) >= 0.99 * len(want)
 
 
+def test_recall_is_audited_and_exact_when_missed(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    pairs = np.repeat(rng.standard_normal((40, 32)), 2, 0) + rng.standard_normal((80, 32)) * 0.02
+    dense = rng.standard_normal(32) + rng.standard_normal((300, 32)) * 0.02
+    x = np.concatenate([pairs, dense])
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = ((unit @ unit.T) >= 0.95).sum(1) - 1
+    reps = common.stored(flat_graph.nodes(df).selectExpr("vec_id as id", "1L as copies", "vec"), "reps")
+    links = spark.createDataFrame([(k, int(n) if k >= 80 else 0) for k, n in enumerate(want)], "id long, links long")
+    assert want[:80].min() == 1 and flat_graph.recall(reps, links, 0.95) < flat_graph.RECALL
+    monkeypatch.setattr(flat_graph, "in_range", lambda x, graph, queries, least: iter(()))
+    monkeypatch.setattr(flat_graph, "SHARD_MOST", 150)  # also pairs of blocks
+    got = {r.vec_id: r.n_links for r in flat_graph.near_duplicates(df).collect()}
+    assert got == dict(enumerate(want.tolist()))
+
+
 # -- 10: MinHash ----------------------------------------------------------------------
 
 

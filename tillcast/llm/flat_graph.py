@@ -11,11 +11,14 @@ A pair that meets in several shards counts in the smallest of them, so only
 counts and one root per node and shard leave a task, never the pairs.  A shard
 above ``SHARD_MOST`` rows is cut into blocks by a hash, and each pair of blocks is
 a task of its own; no row is dropped.  Recall is audited against brute force over
-a bounded set of queries, and the overlap is doubled until it reaches the target.
+a bounded set of queries at every overlap.  The overlap is doubled until recall reaches
+the target; if the widest does not, all pairs are compared.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -35,7 +38,8 @@ ALPHA = 1.2
 RANDOM = 4  # random members of the shard beside the pruned neighbours
 BEAM = 8
 SLACK = 0.1  # vertices this far below the range are still expanded
-AUDIT = 200  # queries
+AUDIT = 200  # queries of each kind: no, few, many links found
+FEW = 10  # links
 RECALL = 0.95
 NO_SHARD = np.iinfo(np.int64).max
 OVERLAP_MOST = 32
@@ -247,7 +251,14 @@ def _build(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"id": ids, "near": [ids[a[a >= 0]] for a in near]})
 
 
-def _search(least: float):
+def all_in_range(x: np.ndarray, least: float):
+    """The same as ``in_range`` for every node, by comparing all pairs."""
+    for low in range(0, len(x), 256):
+        a, b = np.nonzero(x[low : low + 256] @ x.T >= least)
+        yield a[a + low != b] + low, b[a + low != b]
+
+
+def _search(least: float, exact: bool):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("id", ignore_index=True)
         ids, x, copies = pdf.id.to_numpy(), _vectors(pdf), pdf.copies.to_numpy()
@@ -255,10 +266,14 @@ def _search(least: float):
         shard = pdf["shard"].iat[0]
         most = max(map(len, pdf.shards))
         shards = np.array([[*s, *[NO_SHARD] * (most - len(s))] for s in pdf.shards], np.int64)
-        graph = united(np.empty((len(ids), 0), np.int64), ids, list(pdf.near))
+        if exact:
+            pairs = all_in_range(x, least)
+        else:
+            graph = united(np.empty((len(ids), 0), np.int64), ids, list(pdf.near))
+            pairs = in_range(x, graph, np.arange(len(ids)), least)
         links = np.zeros(len(ids), np.int64)
         root = np.arange(len(ids))
-        for a, b in in_range(x, graph, np.arange(len(ids)), least):
+        for a, b in pairs:
             both = (shards[a][:, :, None] == shards[b][:, None, :]).any(2)
             mine = np.where(both, shards[a], NO_SHARD).min(1) == shard
             if cross:
@@ -291,9 +306,14 @@ def _forest(root: np.ndarray, a: np.ndarray, b: np.ndarray):
 # -- the operator -----------------------------------------------------------------
 
 
-def searched(reps: DataFrame, count: int, overlap: int, least: float) -> DataFrame:
-    """(id, links, root) of each node and cell."""
+def searched(reps: DataFrame, count: int, overlap: int, least: float, exact: bool = False) -> DataFrame:
+    """(id, links, root) of each node and cell; ``exact`` compares all pairs of a shard."""
     members = stored(cells(dealt(reps, centroids(reps, count), overlap)), "members")
+    if exact:
+        return stored(
+            members.groupBy("shard", "i", "j").applyInPandas(_search(least, True), "id long, links long, root long"),
+            "found",
+        )
     built = members.groupBy("shard", "i", "j").applyInPandas(_build, "id long, near array<long>")
     lists = stored(
         built.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")), "adjacency"
@@ -301,14 +321,24 @@ def searched(reps: DataFrame, count: int, overlap: int, least: float) -> DataFra
     return stored(
         members.join(lists, "id")
         .groupBy("shard", "i", "j")
-        .applyInPandas(_search(least), "id long, links long, root long"),
+        .applyInPandas(_search(least, False), "id long, links long, root long"),
         "found",
     )
 
 
 def recall(reps: DataFrame, links: DataFrame, least: float) -> float:
-    """Share of the links of a bounded set of queries, against all rows, that was found."""
-    sample = reps.orderBy(F.xxhash64(F.lit(99), "id")).limit(AUDIT).select("id", "vec").collect()
+    """Share of a node's links, against all rows, that was found: the mean over nodes.
+
+    The smaller one of the means over nodes with up to ``FEW`` links and with more.  The
+    queries are bounded sets of the nodes for which no, few and many links were found, and
+    stand for as many nodes as these kinds have, so no group outweighs the others.
+    """
+    kind = F.when(F.col("links") == 0, 0).when(F.col("links") <= FEW, 1).otherwise(2)
+    kinds = stored(reps.select("id", "vec").join(links, "id").withColumn("kind", kind), "audit")
+    nodes_of = {r.kind: r["count"] for r in kinds.groupBy("kind").count().collect()}
+    sample = []
+    for k in nodes_of:
+        sample += kinds.where(F.col("kind") == k).orderBy(F.xxhash64(F.lit(99), "id")).limit(AUDIT).collect()
     by_size = {}
     for r in sample:
         by_size.setdefault(len(r.vec), []).append(r)
@@ -327,9 +357,16 @@ def recall(reps: DataFrame, links: DataFrame, least: float) -> float:
         yield {"id": ids, "hits": hits}
 
     true = map_arrow(reps.select("id", "copies", "vec"), rows, "id long, hits long")
-    true = true.groupBy("id").agg(F.sum("hits").alias("hits"))
-    got = true.join(links, "id").agg(F.sum("hits"), F.sum(F.least("links", "hits"))).first()
-    return 1.0 if not got[0] else got[1] / got[0]
+    true = dict(true.groupBy("id").agg(F.sum("hits")).collect())  # bounded by the queries
+    asked = Counter(r.kind for r in sample)
+    means = []
+    for few in (True, False):
+        of = [r for r in sample if true[r.id] and (true[r.id] <= FEW) == few]
+        weight = [nodes_of[r.kind] / asked[r.kind] for r in of]
+        if of:
+            got = [min(r.links, true[r.id]) / true[r.id] for r in of]
+            means.append(sum(w * g for w, g in zip(weight, got)) / sum(weight))
+    return min(means, default=1.0)
 
 
 def near_duplicates(vectors: DataFrame, least: float = 0.95, overlap: int = 4) -> DataFrame:
@@ -349,7 +386,11 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, overlap: int = 4) -
     while rows:
         found = searched(reps, count, overlap, least)
         links = found.groupBy("id").agg(F.sum("links").alias("links"))
-        if overlap >= min(count, OVERLAP_MOST) or recall(reps, links, least) >= RECALL:
+        if recall(reps, links, least) >= RECALL:
+            break
+        if overlap >= min(count, OVERLAP_MOST):
+            found = searched(reps, 1, 1, least, exact=True)
+            links = found.groupBy("id").agg(F.sum("links").alias("links"))
             break
         overlap *= 2
     if rows:
