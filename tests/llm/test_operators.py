@@ -10,6 +10,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from tokenizers import Tokenizer
 
@@ -84,6 +85,17 @@ def test_fitted_is_the_nearest_subset_sum():
         assert abs(sum(k * v for k, v in take.items()) - budget) == best
 
 
+def test_long_texts_are_fitted_to_the_nearest_sum():
+    assert knapsack_mix.fitted({100_000: 1}, 99_000) == {100_000: 1}
+    assert knapsack_mix.fitted({100_000: 10}, 990_000) == {100_000: 10}
+    assert knapsack_mix.fitted({100_000: 1, 70_000: 2}, 140_000) == {100_000: 0, 70_000: 2}
+    assert knapsack_mix.fitted({900_000: 3}, 1_300_000) == {900_000: 1}
+    assert knapsack_mix.fitted({900_000: 3}, 1_400_000) == {900_000: 2}
+    histogram = {"source": "a", "size": [100_000], "count": [10], "source_size": 1_000_000, "target": 990_000.0}
+    quota = knapsack_mix._quota(pd.DataFrame(histogram))
+    assert (quota.times.tolist(), quota.extra.tolist()) == ([0], [10])
+
+
 def test_mix_meets_targets(spark):
     df = documents(spark)
     rows = knapsack_mix.mixed(df).collect()

@@ -18,6 +18,7 @@ from tillcast.llm.common import WORD, stored
 REPEATS = 3
 WEIGHTS = (1, 2, 3)
 PROGRAM = 1 << 14  # words held back for the program; if more are left, they are taken greedily
+PROGRAM_LONG = 1 << 18  # at most, where twice the longest text is above PROGRAM
 GROUP = 10_000  # documents ranked together
 
 
@@ -52,23 +53,30 @@ def targets(sizes: DataFrame, weights: tuple = WEIGHTS, most: int = REPEATS) ->
     return of.select("source", "source_size", target.cast("double").alias("target"))
 
 
+def held_back(lengths) -> int:
+    """Words left to the program: room for two texts of any length."""
+    return max(PROGRAM, min(PROGRAM_LONG, 2 * max(lengths, default=0)))
+
+
 def fitted(lengths: dict[int, int], budget: int) -> dict[int, int]:
     """How many of the documents of each length to take so that the sum is near the budget.
 
-    Largest lengths first while more than ``PROGRAM`` is left, then a subset-sum program
+    Largest lengths first while more than ``held_back`` is left, then a subset-sum program
     with one piece for each power of two of a length's count.  Bit s of ``reach`` says
     that s can be reached; ``by`` lists the sums that each piece was the first to reach.  Of the sums up to
     twice the budget the nearest is taken, the smaller one in a tie.
     """
     take = dict.fromkeys(lengths, 0)
+    hold = held_back(k for k, count in lengths.items() if count)
     for length in sorted(lengths, reverse=True):
-        if budget > PROGRAM and length:
-            take[length] = min(lengths[length], max(0, budget - PROGRAM) // length)
+        if budget > hold and length:
+            take[length] = min(lengths[length], max(0, budget - hold) // length)
             budget -= take[length] * length
     if budget <= 0:
         return take
-    most = min(2 * budget, 2 * PROGRAM)
-    goal = min(budget, PROGRAM)
+    # what is left is below the sum of hold and the shortest remaining length, or is all that remains
+    budget = min(budget, sum(k * (count - take[k]) for k, count in lengths.items()))
+    most, goal = 2 * budget, budget
     mask = (1 << (most + 1)) - 1
     reach, by = 1, []
     for length in sorted(k for k in lengths if 0 < k <= most):
@@ -100,7 +108,7 @@ def _quota(pdf: pd.DataFrame) -> pd.DataFrame:
     times = min(REPEATS, int(target // whole)) if whole else 0
     budget = round(target) - times * whole if times < REPEATS else 0
     extra, left, carry = [], {}, 0
-    share = max(0, budget - PROGRAM) / whole if whole else 0
+    share = max(0, budget - held_back(pdf["size"])) / whole if whole else 0
     for size, count in zip(pdf["size"].tolist(), pdf["count"].tolist()):
         # in proportion, and what a length can't take as a whole goes to the next, shorter one
         carry += share * size * count
