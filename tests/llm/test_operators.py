@@ -343,6 +343,13 @@ def test_quotation_counts_apart():
     assert not m.features("a kind word").any() and not m.features("").any()
 
 
+def test_rare_clear_terms_are_learned(spark):
+    rows = [(f"common{k} rest{k % 7}" + (" vilest" if k < 8 else ""), 1) for k in range(1500)]
+    rows += [(f"plain{k} rest{k % 7}", 0) for k in range(3000)]
+    terms = dict(toxic_terms.learned_terms(spark.createDataFrame(rows, "text string, toxic int")))
+    assert set(terms) == {"vilest"}
+
+
 def test_classifiers_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))

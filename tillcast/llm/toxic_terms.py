@@ -12,6 +12,8 @@ these sums into a probability.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,7 +24,7 @@ from tillcast.llm.logistic import fit, sigmoid
 
 FIT_MOST = 20_000  # labelled texts the lexicon and the weights are fitted on
 TERMS = 1000  # of the lexicon, at most
-LEAST_TEXTS, LEAST_SHARE = 3, 0.01  # of the toxic texts that hold a term
+LEAST_TEXTS = 3  # toxic texts that hold a term
 LEAST_ODDS = 3.0  # log-odds of a term between toxic and other texts
 CLOSE, CONTEXT = 4, 12  # words on each side: quotation marks, other hits
 CUT = 0.7
@@ -165,8 +167,15 @@ def learned_terms(taught: DataFrame) -> list[tuple[str, float]]:
     terms = map_arrow(taught.select("text", "toxic"), rows, "term string, clean long, toxic long")
     terms = terms.groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     odds = F.log((F.col("toxic") + 0.5) / (n1 + 1.0)) - F.log((F.col("clean") + 0.5) / ((n0 or 0) + 1.0))
-    terms = terms.withColumn("odds", odds).where(F.col("odds") >= LEAST_ODDS)
-    terms = terms.where((F.col("toxic") >= LEAST_TEXTS) & (F.col("toxic") >= LEAST_SHARE * n1))
+    terms = stored(terms.withColumn("odds", odds).where(F.col("toxic") >= LEAST_TEXTS), "terms")
+    # by the likelihood ratio, less than one of the terms tested is expected to pass by chance
+    held, share = F.col("toxic") + F.col("clean"), n1 / (n1 + (n0 or 0))
+
+    def surprise(n: str, part: float):
+        return F.when(F.col(n) > 0, F.col(n) * F.log(F.col(n) / (held * part))).otherwise(0.0)
+
+    sure = surprise("toxic", share) + (surprise("clean", 1 - share) if n0 else F.lit(0.0))
+    terms = terms.where((F.col("odds") >= LEAST_ODDS) & (sure >= math.log(max(1, terms.count()))))
     top = terms.orderBy(F.col("odds").desc(), "term").limit(TERMS).collect()
     return [(r.term, r.odds / top[0].odds) for r in top]
 
