@@ -23,10 +23,21 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates; those without an id stay."""
-    found = hyperminhash.near_duplicates(docs, width=SHINGLE)
-    ids = found.where("kept and doc_id is not null").select(F.col("doc_id").alias("kept_id")).distinct()
-    one = docs.join(ids, docs["doc_id"] == ids["kept_id"], "left_semi").dropDuplicates(["doc_id"])
+    """One document of each group of near duplicates; those without an id stay.
+
+    Where an id comes with several texts, the one with the smallest hash keeps the id as its
+    key and the others have keys of their own, so a text goes only for a near copy.
+    """
+    text = F.xxhash64(F.col("text").cast("string"))
+    least = docs.where("doc_id is not null").groupBy(F.col("doc_id").alias("twice"))
+    least = least.agg(F.min(text).alias("least"), F.max(text).alias("most")).where("least <> most").drop("most")
+    keyed = docs.join(least, docs["doc_id"] == least["twice"], "left")
+    own = F.xxhash64(docs["doc_id"], docs["text"].cast("string"))
+    key = F.when(F.col("least") != text, own).otherwise(docs["doc_id"].cast("long"))
+    keyed = keyed.select(key.alias("key"), F.struct(*(docs[c] for c in docs.columns)).alias("row")).where("key is not null")
+    found = hyperminhash.near_duplicates(keyed.select(F.col("key").alias("doc_id"), "row.text"), width=SHINGLE)
+    ids = found.where("kept").select(F.col("doc_id").alias("key")).distinct()
+    one = keyed.join(ids, "key", "left_semi").groupBy("key").agg(F.min("row").alias("row")).select("row.*")
     return one.unionByName(docs.where(docs["doc_id"].isNull()))
 
 

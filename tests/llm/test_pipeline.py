@@ -26,3 +26,11 @@ def test_stages_on_odd_rows(spark, odd, none):
         assert stage(spark, none, SF).count() == 0, name
     kept = corpus_pipeline.near_dedup(spark, odd, SF).collect()
     assert sorted(r.doc_id for r in kept if r.doc_id is not None) == [1, 4, 5, 6, 7, 8, 11]
+
+
+def test_an_id_with_two_texts_keeps_the_unique_one(spark):
+    a, b = (" ".join(f"{c}{k}" for k in range(60)) for c in "ab")
+    for rows in ([(3, a), (5, a), (5, b)], [(3, b), (5, a), (5, b)]):
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        kept = corpus_pipeline.near_dedup(spark, docs, SF).collect()
+        assert sorted(r.text for r in kept) == [a, b]
