@@ -5,20 +5,27 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillcast.llm import (
     adaptive_rules,
+    common,
     deleted_interpolation,
     flat_graph,
+    hard_negatives,
     hilbert_pack,
     hyperminhash,
     knapsack_mix,
     license_scan,
+    merkle_manifest,
     pairwise_quality,
+    secret_scan,
     toxic_terms,
     url_filter,
 )
 
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
 
 def vocabulary() -> str:
     """Path of the tokenizer's vocabulary; ``TILLCAST_VOCABULARY`` names another file."""
@@ -76,6 +83,24 @@ def op10_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hyperminhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_secret_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scanned(_table(spark, sf_dir, "documents"))
+    return found.withColumn("base_sha256", F.sha2("base", 256)).drop("base")
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    lower = F.translate("text", _UPPER, _UPPER.lower())
+    tampered = F.when(common.held_out("doc_id", 3, 0), lower).otherwise(F.col("text"))
+    rows = merkle_manifest.manifest(docs, tampered)
+    rows = rows.withColumn("proof_sha256", merkle_manifest.proof_digest(F.col("proof")))
+    return rows.drop("proof", "checked_leaf")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mined(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -89,6 +114,9 @@ QUERIES = {
         op8_pairwise_quality,
         op9_flat_graph,
         op10_hyperminhash,
+        op11_secret_novelty,
+        op12_merkle_manifest,
+        op13_hard_negatives,
     )
 }
 
@@ -187,4 +215,84 @@ WITH RECURSIVE w AS (
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(low.y, d.doc_id)) AS component_id,
   d.doc_id <= coalesce(low.y, d.doc_id) AS kept
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN low ON low.x = d.doc_id""",
+    "op12_merkle_manifest": """
+WITH RECURSIVE crc_table AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+    lambda x, step: xor(x >> 1, (x & 1) * 3988292384))) AS t
+), d AS (
+  SELECT *, coalesce(xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+      list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda crc, b: xor(crc >> 8, t[(xor(crc, b) & 255) + 1])), 4294967295) % 3 = 0, false) AS hit
+  FROM documents, crc_table
+), enc AS (
+  SELECT doc_id, lang, hit, text,
+    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+    coalesce(strlen(text) || ':' || text, '-') AS own,
+    coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-') AS low
+  FROM d
+), leaf AS (
+  SELECT doc_id, lang, sha256(head || own) AS h, sha256(head || CASE WHEN hit THEN low ELSE own END) AS other
+  FROM enc
+), tree AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, h) - 1 AS i,
+    count(*) OVER (PARTITION BY lang) AS n, dense_rank() OVER (ORDER BY lang IS NOT NULL, encode(lang)) - 1 AS t
+  FROM leaf
+), node(t, level, i, n, h) AS (
+  SELECT t, 0, i, n, h FROM tree
+  UNION ALL
+  SELECT t, level + 1, i // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY i)) FROM node WHERE n > 1 GROUP BY t, level, i // 8, n
+), sub AS (SELECT t, level AS depth, h FROM node WHERE n = 1
+), top(level, i, n, h) AS (
+  SELECT 0, t, (SELECT count(*) FROM sub), h FROM sub
+  UNION ALL
+  SELECT level + 1, i // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY i)) FROM top WHERE n > 1 GROUP BY level, i // 8, n
+), side AS (
+  SELECT x.t, x.i, x.level, coalesce(string_agg(y.h, '' ORDER BY y.i) FILTER (WHERE y.i < x.i), '') AS l,
+    coalesce(string_agg(y.h, '' ORDER BY y.i) FILTER (WHERE y.i > x.i), '') AS r
+  FROM node x JOIN node y ON x.t = y.t AND x.level = y.level AND x.i // 8 = y.i // 8 WHERE x.n > 1 GROUP BY x.t, x.i, x.level
+), top_side AS (
+  SELECT x.i, x.level, coalesce(string_agg(y.h, '' ORDER BY y.i) FILTER (WHERE y.i < x.i), '') AS l,
+    coalesce(string_agg(y.h, '' ORDER BY y.i) FILTER (WHERE y.i > x.i), '') AS r
+  FROM top x JOIN top y ON x.level = y.level AND x.i // 8 = y.i // 8 WHERE x.n > 1 GROUP BY x.i, x.level
+), step AS (
+  SELECT tree.t, tree.i, side.level AS level, l, r FROM tree JOIN side ON side.t = tree.t
+    AND side.i = tree.i // CAST(pow(8, side.level) AS BIGINT)
+  UNION ALL
+  SELECT tree.t, tree.i, sub.depth + top_side.level, l, r FROM tree JOIN sub ON sub.t = tree.t
+    JOIN top_side ON top_side.i = tree.t // CAST(pow(8, top_side.level) AS BIGINT)
+), proof AS (
+  SELECT t, i, sha256(string_agg(l || r, '' ORDER BY level)) AS p, list(l ORDER BY level) AS ls, list(r ORDER BY level) AS rs
+  FROM step GROUP BY t, i
+), fold(t, i, level, h) AS (
+  SELECT t, i, 0, other FROM tree
+  UNION ALL
+  SELECT fold.t, fold.i, level + 1, sha256(ls[level + 1] || h || rs[level + 1])
+  FROM fold JOIN proof ON proof.t = fold.t AND proof.i = fold.i WHERE level < len(ls)
+), folded AS (SELECT t, i, arg_max(h, level) AS h FROM fold GROUP BY t, i)
+SELECT tree.doc_id, tree.h AS leaf, sub.h AS subroot, top.h AS root, coalesce(p, sha256('')) AS proof_sha256,
+  folded.h AS folded_root, folded.h = top.h AS verified
+FROM tree JOIN sub ON sub.t = tree.t JOIN top ON top.n = 1 JOIN folded ON folded.t = tree.t AND folded.i = tree.i
+  LEFT JOIN proof ON proof.t = tree.t AND proof.i = tree.i""",
+    "op13_hard_negatives": """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), score AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+    CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+), positive AS (
+  SELECT anchor_id, id, score FROM score WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT p.anchor_id, p.id AS positive_id,
+  CAST(row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id) AS INT) AS rank,
+  n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positive p JOIN score n ON n.anchor_id = p.anchor_id AND NOT n.same
+  AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id) <= 3""",
 }
