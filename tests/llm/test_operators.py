@@ -7,11 +7,13 @@ import itertools
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql.functions import lit, pmod, xxhash64
 from tokenizers import Tokenizer
 
 from tillcast.llm import (
@@ -28,6 +30,7 @@ from tillcast.llm import (
     url_filter,
 )
 from tests.compare import connect, spark_rows, sql_rows
+from tests.llm.conftest import TEXT
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -313,6 +316,54 @@ def test_url_model_learns(spark):
     assert all(r.verdict == ("block" if r.page_id % 2 else "allow") for r in got)
 
 
+def test_url_model_on_urls_that_no_rule_decides(spark):
+    rng = random.Random(6)
+    plain = [w for w in TEXT.split() if len(w) > 3]
+    urls = []
+    for k in range(120):
+        kept = "".join(rng.sample(plain, 2))
+        urls.append((f"https://{rng.choice(('', 'www.', 'blog.', 'm.'))}{kept}.org/{rng.choice(('en', 'de', 'fr'))}/{k}", "allow"))
+        bad = rng.choice(("cheap-pills", "spam-farm", "casino-spins", "cheap-loans", "xxx-cams", "pills-cheap"))
+        urls.append((f"http://{rng.choice(('', 'www.'))}{bad}-{kept[:3]}.org/{rng.choice(('en', 'de', 'fr'))}/{k}", "block"))
+    pages = spark.createDataFrame([(k, u) for k, (u, _) in enumerate(urls)], "page_id long, url string")
+    got = {r.page_id: r for r in url_filter.judged(pages).collect()}
+    right = sum(got[k].verdict == v for k, (_, v) in enumerate(urls))
+    assert all(r.rule is None for r in got.values()) and right >= 0.95 * len(urls)
+
+
+def test_url_rules_and_scores_equal_plain_python(spark):
+    rng = random.Random(4)
+    hosts = ["example.com", "WWW.example.com", "a.www.example.com", "xexample.com", "b.net", "net", "com", "c.org", ""]
+    paths = ["", "/", "/en/", "/en/1", "/EN/", "/es/x?y=/fr/", "/fr/#/en/", "/de/fr/", "?/en/", "/fr/" + "k" * 5000]
+    rows = [(k, rng.choice(("http://", "x://", "http:/", "")) + rng.choice(hosts) + rng.choice(paths)) for k in range(300)]
+    df = spark.createDataFrame([(*r, "h", "p", "r", "v", 0.5, 1) for r in [*rows, (300, None)]],
+        "page_id long, url string, host string, path string, rule string, ruled string, score double, label int")
+    got = {r.page_id: r for r in url_filter.judged(df).collect()}
+    for k, url in rows:
+        rest = url.partition("://")[2] if "://" in url else ""
+        host = re.split("[/?#]", rest)[0]
+        path = re.split("[?#]", rest[len(host) :])[0]
+        host = host.lower()
+        fits = [(h + p, v) for h, p, v in url_filter.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        rule, verdict = max(fits, key=lambda x: len(x[0]), default=(None, None))
+        assert (got[k].host, got[k].path, got[k].rule) == (host, path, rule)
+        assert got[k].verdict == (verdict or ("block" if got[k].score > 0.5 else "allow"))
+    # the model by hand: distinct n-grams of host and path, hashed to columns, in one vector of length one
+    weights, bias = url_filter.trained(url_filter.labelled_urls(spark))
+    for k in (0, 1, 2, 7):
+        columns = set()
+        for part, text in enumerate((got[k].host, got[k].path)):
+            data = b"\x02" + text.encode() + b"\x03"
+            for n in url_filter.GRAMS:
+                for at in range(len(data) - n + 1):
+                    x = 1 + part
+                    for c in data[at : at + n]:
+                        x = (x ^ c) * 0x100000001B3 % (1 << 64)
+                    columns.add((x >> 20) % url_filter.COLUMNS)
+        score = sum(weights[c] for c in columns) / max(1, len(columns)) ** 0.5 + bias
+        assert got[k].score == pytest.approx(1 / (1 + math.exp(-score)))
+
+
 # -- 7 and 8: classifiers -----------------------------------------------------------
 
 
@@ -414,7 +465,7 @@ def test_dense_groups_that_are_linked_are_found():
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     ids = np.arange(len(x))
     near = [ids[r[r >= 0]] for r in flat_graph.pruned(x)]
-    graph = flat_graph.united(np.empty((len(x), 0), np.int64), ids, near)
+    graph = flat_graph.united(ids, near)
     got = {(int(u), int(v)) for p, q in flat_graph.in_range(x, graph, ids, 0.95) for u, v in zip(p, q)}
     want = {(int(u), int(v)) for u, v in np.argwhere(x @ x.T >= 0.95) if u != v}
     assert sum(u < 130 <= v for u, v in want) > 20_000
@@ -438,6 +489,56 @@ def test_recall_is_audited_and_exact_when_missed(spark, monkeypatch):
     assert got == dict(enumerate(want.tolist()))
 
 
+def test_two_levels_of_centroids_lose_nothing(spark, monkeypatch):
+    monkeypatch.setattr(flat_graph, "CENTROIDS_MOST", 2)
+    monkeypatch.setattr(flat_graph, "SHARD", 60)
+    monkeypatch.setattr(flat_graph, "SHARD_MOST", 150)
+    monkeypatch.setattr(flat_graph, "SUB_FIT", 200)
+    rng = np.random.default_rng(10)
+    x = np.repeat(rng.standard_normal((150, 16)), 4, 0) + rng.standard_normal((600, 16)) * 0.1
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = ((unit @ unit.T) >= 0.95).sum(1) - 1
+    reps = common.stored(flat_graph.nodes(df).selectExpr("vec_id as id", "1L as copies", "vec"), "reps")
+    found = flat_graph.searched(reps, 10, 2, 0.95)
+    got = dict(found.groupBy("id").agg({"links": "sum"}).collect())
+    assert all(got[k] <= want[k] for k in got) and sum(got.values()) >= 0.95 * want.sum() > 500
+
+
+def test_a_dense_group_is_searched_in_bounded_memory():
+    rng = np.random.default_rng(1)
+    x = rng.standard_normal((3500, 64))
+    x[:2000] = rng.standard_normal(64) + 0.12 * rng.standard_normal((2000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    ids = np.arange(len(x))
+    graph = flat_graph.united(ids, [r[r >= 0] for r in flat_graph.pruned(x)])
+    tracemalloc.start()
+    found = sum(len(a) for a, _ in flat_graph.in_range(x, graph, ids, 0.95))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == sum(len(a) for a, _ in flat_graph.all_in_range(x, 0.95)) > 3_000_000
+    assert peak < 200 << 20
+
+
+def test_repeated_and_null_vector_ids(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.01]), (3, [0.0, 1.0]), (None, [1.0, 0.0]), (None, None)]
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], "vec_id long, embedding array<double>, digest string, id int")
+    got = sorted(map(tuple, flat_graph.near_duplicates(df).collect()), key=repr)
+    # vector 1 of id 1 links with 2, vector 2 of id 1 with 3; without an id a vector links with nothing
+    links = {(r[0], r[1]) for r in got}
+    assert links == {(1, 1), (2, 1), (3, 1), (None, 0)}
+    assert {r[2] for r in got if r[0] in (1, 2, 3)} == {1} and all(r[3] for r in got if r[0] is None)
+
+
+def test_bounded_takes_the_same_rows_however_many_share_a_hash(spark):
+    df = spark.range(50_000).selectExpr("id", "id % 2 AS two")
+    key = xxhash64("id")
+    first = [r.id for r in common.bounded(df, key, 100, "id").collect()]
+    assert len(first) == 100 and first == [r.id for r in df.orderBy(pmod(key, lit(1 << 32)), "id").limit(100).collect()]
+    assert common.bounded(df, xxhash64("two"), 100, "id").count() == 100
+    assert common.bounded(df.limit(0), key, 100, "id").count() == 0
+
+
 # -- 10: MinHash ----------------------------------------------------------------------
 
 

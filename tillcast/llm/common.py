@@ -38,6 +38,19 @@ def partitions_for(spark: SparkSession, rows: int, per_partition: int) -> int:
     return max(spark.sparkContext.defaultParallelism, -(-rows // per_partition))
 
 
+def bounded(df: DataFrame, key: Column, most: int, *ties: str) -> DataFrame:
+    """The first ``most`` rows by a hash, then by ``ties``: every run takes the same.
+
+    Rows with a hash above twice the share wanted are left out before they are ordered, so what the
+    partitions send on together stays near twice ``most``, however many there are.
+    """
+    rows, key = df.count(), F.pmod(key, F.lit(1 << 32))
+    near = df.where(key < int(min(1.0, 2 * most / max(1, rows)) * (1 << 32)))
+    if rows > 2 * most and near.limit(most).count() < most:  # most rows share a hash
+        near = df
+    return near.orderBy(key, *ties).limit(most)
+
+
 def map_arrow(
     df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[dict]], schema: str
 ) -> DataFrame:

@@ -1,9 +1,11 @@
 """Embedding near-dedup on a robust-pruned flat graph.
 
 Identical vectors collapse to one node with a count.  Every node is dealt to its
-``overlap`` nearest centroids; each shard builds adjacency lists from its nearest
+``overlap`` nearest centroids (above ``CENTROIDS_MOST``, to the nearest of each shard's own
+centroids, so that a shard stays near the same size); each shard builds adjacency lists from its nearest
 neighbours by robust pruning (Subramanya et al., 2019) and long edges, and the lists
-of a node are united over its shards.  In each shard every node is a query: a greedy search
+of a node are united over its shards; of a united list a shard's search uses the nodes it
+holds, so no search leaves its shard and the overlap carries links between shards.  In each shard every node is a query: a greedy search
 enters at the shard's medoid and at the node itself and is then expanded through
 every vertex in range.  Cosines are exact, in double precision.
 
@@ -23,13 +25,15 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillcast.llm.common import components, map_arrow, stored
+from tillcast.llm.common import bounded, components, map_arrow, stored
 
 SHARD = 1500  # nodes for each centroid
-CENTROIDS_MOST = 4096
+CENTROIDS_MOST = 1024  # of the first level; above it each shard has centroids of its own
+SUB_FIT = 6000  # vectors of a shard that its own centroids are fitted on
+LEAVES = 1 << 32  # room for the numbers of a shard's own shards
 FIT_MOST = 20_000  # vectors that the centroids are fitted on
 SHARD_MOST = 12_000
 CANDIDATES = 48
@@ -37,6 +41,9 @@ DEGREE = 24
 ALPHA = 1.2
 RANDOM = 4  # random members of the shard beside the pruned neighbours
 BEAM = 8
+PAIRS = 1 << 20  # of queries and nodes that a task has marks for at once
+SLICE = 1 << 15  # pairs whose vectors or shards are read at once
+DENSE = 0.25  # of the shard
 SLACK = 0.1  # vertices this far below the range are still expanded
 AUDIT = 200  # queries of each kind: no, few, many links found
 FEW = 10  # links
@@ -68,22 +75,27 @@ def nodes(vectors: DataFrame) -> DataFrame:
 
 def centroids(reps: DataFrame, count: int, seed: int = 7) -> dict[int, np.ndarray]:
     """Unit centroids for each vector length, by spherical k-means on a bounded sample."""
-    sample = reps.orderBy(F.xxhash64(F.lit(seed), "id")).limit(FIT_MOST).select("vec").collect()
+    sample = bounded(reps, F.xxhash64(F.lit(seed), "id"), FIT_MOST, "id").select("vec").collect()
     out = {}
     for size in {len(r.vec) for r in sample}:
         x = np.stack([np.frombuffer(r.vec) for r in sample if len(r.vec) == size])
         k = int(min(max(1, count * len(x) // len(sample)), max(1, len(x) // 4)))
-        c = x[np.random.default_rng(seed).choice(len(x), k, replace=False)]
-        for _ in range(8):
-            near = (x @ c.T).argmax(1)
-            total = np.zeros_like(c)
-            np.add.at(total, near, x)
-            norm = np.linalg.norm(total, axis=1, keepdims=True)
-            c = np.where(norm > 1e-9, total / np.maximum(norm, 1e-9), c)
-        out[size] = c
+        out[size] = fitted_to(x, k, seed)
     return out
 
 
+def fitted_to(x: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """``k`` unit centroids by spherical k-means."""
+    c = x[np.random.default_rng(seed).choice(len(x), k, replace=False)]
+    for _ in range(8):
+        near = np.concatenate([(x[low : low + 2048] @ c.T).argmax(1) for low in range(0, len(x), 2048)])
+        total = np.zeros_like(c)
+        np.add.at(total, near, x)
+        norm = np.linalg.norm(total, axis=1, keepdims=True)
+        c = np.where(norm > 1e-9, total / np.maximum(norm, 1e-9), c)
+    return c
+
+
 def dealt(reps: DataFrame, fitted: dict[int, np.ndarray], overlap: int) -> DataFrame:
     """(shard, shards, id, copies, vec): each node in the shards of its nearest centroids."""
     first, at = {}, 0
@@ -105,6 +117,43 @@ def dealt(reps: DataFrame, fitted: dict[int, np.ndarray], overlap: int) -> DataF
     return out.withColumn("shard", F.explode("shards"))
 
 
+def refined(members: DataFrame, wide: int, seed: int = 7) -> DataFrame:
+    """The members dealt once more, inside each shard, to the ``wide`` nearest of its own centroids.
+
+    A shard has a centroid for every ``SHARD`` of its nodes, fitted in a task of its own on a
+    bounded sample by hash.  The members meet them in blocks of bounded size, so neither
+    the centroids of all shards nor a whole shard are ever in one place.
+    """
+    sizes = members.groupBy("shard").agg(F.count("*").alias("n"))
+    order = Window.partitionBy("shard").orderBy(F.xxhash64(F.lit(seed), "id"), "id")
+    sample = members.select("shard", "id", "vec").withColumn("rank", F.row_number().over(order))
+    sample = sample.where(F.col("rank") <= SUB_FIT).join(sizes, "shard")
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        x = _vectors(pdf.sort_values("rank", ignore_index=True))
+        k = int(min(-(-pdf.n.iat[0] // SHARD), max(1, len(x) // 4)))
+        return pd.DataFrame({"shard": [pdf["shard"].iat[0]], "fitted": [fitted_to(x, k, seed).tobytes()]})
+
+    centres = sample.groupBy("shard").applyInPandas(fit, "shard long, fitted binary").join(sizes, "shard")
+    blocks = F.ceil(F.col("n") / SHARD_MOST).cast("int")
+    dealt = members.select("shard", "id", "vec").join(sizes, "shard")
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
+    centres = centres.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+
+    def deal(nodes: pd.DataFrame, centre: pd.DataFrame) -> pd.DataFrame:
+        x = _vectors(nodes)
+        c = np.frombuffer(centre.fitted.iat[0]).reshape(-1, x.shape[1])
+        near = np.argsort(-(x @ c.T), axis=1, kind="stable")[:, :wide]
+        leaf = nodes["shard"].to_numpy()[:, None] * LEAVES + near
+        return pd.DataFrame({"id": nodes.id, "leaves": list(leaf)})
+
+    leaves = dealt.groupBy("shard", "block").cogroup(centres.groupBy("shard", "block"))
+    leaves = leaves.applyInPandas(deal, "id long, leaves array<long>")
+    leaves = leaves.groupBy("id").agg(F.array_sort(F.flatten(F.collect_list("leaves"))).alias("shards"))
+    nodes = members.select("id", "copies", "vec").dropDuplicates(["id"])
+    return nodes.join(leaves, "id").withColumn("shard", F.explode("shards"))
+
+
 def cells(members: DataFrame) -> DataFrame:
     """The members with a task cell (shard, i, j): one for a shard, or one for each pair of blocks."""
     blocks = members.groupBy("shard").agg(
@@ -163,82 +212,106 @@ def pruned(x: np.ndarray) -> np.ndarray:
     return out
 
 
-def in_range(x: np.ndarray, adjacency: np.ndarray, queries: np.ndarray, least: float):
-    """(query, node) positions with cosine >= least, as the search finds them."""
+Adjacency = tuple[np.ndarray, np.ndarray]  # where a node's neighbours start, and all neighbours
+
+
+def neighbours(adjacency: Adjacency, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(position in ``v``, neighbour) of all nodes in ``v``."""
+    starts, flat = adjacency
+    count = starts[v + 1] - starts[v]
+    of = np.repeat(np.arange(len(v)), count)
+    return of, flat[np.repeat(starts[v] - (np.cumsum(count) - count), count) + np.arange(len(of))]
+
+
+def cosines(x: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Of the pairs (a, b), some at a time."""
+    out = np.empty(len(a))
+    for k in range(0, len(a), SLICE):
+        out[k : k + SLICE] = np.einsum("ij,ij->i", x[a[k : k + SLICE]], x[b[k : k + SLICE]])
+    return out
+
+
+def in_range(x: np.ndarray, adjacency: Adjacency, queries: np.ndarray, least: float):
+    """(query, node) positions with cosine >= least, as the search finds them.
+
+    Queries go together while all their pairs with the shard stay below ``PAIRS``.  A query whose
+    open vertices have more neighbours than ``DENSE`` of the shard reads the rest of
+    the shard in one step, so a step never holds more than the pairs of its queries.
+    """
     n = len(x)
     medoid = int((x @ x.mean(0)).argmax())
-    safe = np.where(adjacency < 0, n, adjacency)  # n: a slot that is always seen
-    for low in range(0, len(queries), 256):
-        q = queries[low : low + 256]
+    degree = np.diff(adjacency[0])
+    tile = int(min(256, max(1, PAIRS // max(1, n))))
+    for low in range(0, len(queries), tile):
+        q = queries[low : low + tile]
         row = np.arange(len(q))
-        seen = np.zeros((len(q), n + 1), bool)
-        seen[:, n] = True
+        seen = np.zeros((len(q), n), bool)
         seen[row, q] = True
         seen[:, medoid] = True
         beam = np.stack([np.full(len(q), medoid), q], 1)
         score = np.stack([x[q] @ x[medoid], np.einsum("ij,ij->i", x[q], x[q])], 1)
         done = np.zeros(beam.shape, bool)
-        found_q, found_n = [row], [q]
+        by = row[(score[:, 0] >= least - SLACK) & (q != medoid)]
+        found_q, found_n = [row, by], [q, np.full(len(by), medoid)]
         entered = False
         while not done.all():  # greedy: the medoid, then the best open vertex of each query's beam
             best = np.where(done, -np.inf, score).argmax(1) if entered else np.zeros(len(q), np.int64)
             entered = True
-            go = ~done[row, best]
+            go = np.flatnonzero(~done[row, best])
             done[row, best] = True
-            near = np.where(go[:, None], safe[beam[row, best]], n)
-            near[np.take_along_axis(seen, near, 1)] = n
-            np.put_along_axis(seen, near, True, 1)
-            r, c = np.nonzero(near < n)
-            sim = np.full(near.shape, -np.inf)
-            sim[r, c] = np.einsum("ij,ij->i", x[q[r]], x[near[r, c]])
-            hit = sim[r, c] >= least - SLACK
+            r, v = neighbours(adjacency, beam[go, best[go]])
+            r = go[r]
+            fresh = ~seen[r, v]
+            r, v = r[fresh], v[fresh]
+            seen[r, v] = True
+            sim = cosines(x, q[r], v)
+            hit = sim >= least - SLACK
             found_q.append(r[hit])
-            found_n.append(near[r[hit], c[hit]])
-            beam = np.concatenate([beam, np.minimum(near, n - 1)], 1)
-            score = np.concatenate([score, sim], 1)
-            done = np.concatenate([done, near == n], 1)
+            found_n.append(v[hit])
+            slot = np.arange(len(r)) - np.searchsorted(r, r)  # r is sorted
+            wide = int(slot.max(initial=-1)) + 1
+            more = np.full((len(q), wide), -np.inf), np.zeros((len(q), wide), np.int64)
+            more[0][r, slot], more[1][r, slot] = sim, v
+            score, beam = np.concatenate([score, more[0]], 1), np.concatenate([beam, more[1]], 1)
+            done = np.concatenate([done, np.isneginf(more[0])], 1)
             top = np.argsort(-score, axis=1, kind="stable")[:, :BEAM]
             beam, score, done = (np.take_along_axis(a, top, 1) for a in (beam, score, done))
         r, v = np.concatenate(found_q), np.concatenate(found_n)
+        sim = cosines(x, q[r], v)
         while len(r):  # range expansion from all vertices found near the range
-            sim = np.einsum("ij,ij->i", x[q[r]], x[v])
             hit = (sim >= least) & (v != q[r])
             yield q[r[hit]], v[hit]
-            near = safe[v]
-            r2 = np.repeat(r, near.shape[1])
-            v2 = near.ravel()
-            fresh = ~seen[r2, v2]
-            r2, v2 = r2[fresh], v2[fresh]
-            code = np.unique(r2 * (n + 1) + v2)
-            r2, v2 = code // (n + 1), code % (n + 1)
-            seen[r2, v2] = True
-            close = np.concatenate(
-                [np.einsum("ij,ij->i", x[q[r2[k : k + 65536]]], x[v2[k : k + 65536]]) for k in range(0, len(r2), 65536)]
-                or [np.empty(0)]
-            ) >= least - SLACK
-            r, v = r2[close], v2[close]
-
-
-def united(local: np.ndarray, ids: np.ndarray, lists: list) -> np.ndarray:
+            wide = np.bincount(r, degree[v], len(q)) > DENSE * n
+            rest = np.flatnonzero(wide)
+            if len(rest):
+                near = x[q[rest]] @ x.T
+                at, other = np.nonzero((near >= least) & ~seen[rest])
+                yield q[rest[at]], other
+                r, v = r[~wide[r]], v[~wide[r]]
+            of, v = neighbours(adjacency, v)
+            r = r[of]
+            fresh = ~seen[r, v]
+            code = np.unique(r[fresh] * n + v[fresh])
+            r, v = code // n, code % n
+            seen[r, v] = True
+            sim = cosines(x, q[r], v)
+            close = sim >= least - SLACK
+            r, v, sim = r[close], v[close], sim[close]
+
+
+def united(ids: np.ndarray, lists: list) -> Adjacency:
     """Adjacency with the lists of all shards and the reverse edges among the ids at hand."""
     n = len(ids)
-    a, b = [np.repeat(np.arange(n), local.shape[1])], [local.ravel()]
     order = np.argsort(ids, kind="stable")
-    for k, other in enumerate(lists):
-        if other is not None and len(other):
-            at = np.searchsorted(ids[order], other)
-            at = np.minimum(at, n - 1)
-            at = order[at][ids[order[at]] == other]
-            a.append(np.full(len(at), k))
-            b.append(at)
-    a, b = np.concatenate(a), np.concatenate(b)
-    a, b = a[b >= 0], b[b >= 0]
-    code = np.unique(np.concatenate([a * n + b, b * n + a])) if n else np.empty(0, np.int64)
+    size = np.array([0 if o is None else len(o) for o in lists], np.int64)
+    other = np.concatenate([o for o in lists if o is not None and len(o)] or [np.empty(0, np.int64)])
+    a = np.repeat(np.arange(n), size)
+    at = order[np.minimum(np.searchsorted(ids[order], other), max(0, n - 1))] if n else other
+    here = ids[at] == other
+    a, b = a[here], at[here]
+    code = np.unique(np.concatenate([a * n + b, b * n + a]))
     a, b = code // max(n, 1), code % max(n, 1)
-    width = np.bincount(a, minlength=n) if len(a) else np.zeros(n, np.int64)
-    out = np.full((n, max(1, int(width.max()) if n else 1)), -1, np.int64)
-    out[a, np.arange(len(a)) - np.repeat(np.cumsum(width) - width, width)] = b
-    return out
+    return np.concatenate([[0], np.cumsum(np.bincount(a, minlength=n))]).astype(np.int64), b
 
 
 def _vectors(pdf: pd.DataFrame) -> np.ndarray:
@@ -269,11 +342,10 @@ def _search(least: float, exact: bool):
         if exact:
             pairs = all_in_range(x, least)
         else:
-            graph = united(np.empty((len(ids), 0), np.int64), ids, list(pdf.near))
-            pairs = in_range(x, graph, np.arange(len(ids)), least)
+            pairs = in_range(x, united(ids, list(pdf.near)), np.arange(len(ids)), least)
         links = np.zeros(len(ids), np.int64)
         root = np.arange(len(ids))
-        for a, b in pairs:
+        for a, b in ((a[k : k + SLICE], b[k : k + SLICE]) for a, b in pairs for k in range(0, len(a), SLICE)):
             both = (shards[a][:, :, None] == shards[b][:, None, :]).any(2)
             mine = np.where(both, shards[a], NO_SHARD).min(1) == shard
             if cross:
@@ -308,7 +380,10 @@ def _forest(root: np.ndarray, a: np.ndarray, b: np.ndarray):
 
 def searched(reps: DataFrame, count: int, overlap: int, least: float, exact: bool = False) -> DataFrame:
     """(id, links, root) of each node and cell; ``exact`` compares all pairs of a shard."""
-    members = stored(cells(dealt(reps, centroids(reps, count), overlap)), "members")
+    members = dealt(reps, centroids(reps, min(count, CENTROIDS_MOST)), overlap)
+    if count > CENTROIDS_MOST:
+        members = refined(stored(members.drop("shards"), "shards"), 1 if overlap == 1 else 2)
+    members = stored(cells(members), "members")
     if exact:
         return stored(
             members.groupBy("shard", "i", "j").applyInPandas(_search(least, True), "id long, links long, root long"),
@@ -373,16 +448,22 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, overlap: int = 4) -
     """One row per vector: vec_id, n_links, component_id, kept.
 
     Null, empty and zero vectors, and those with a null or non-finite component, link
-    with nothing.  Vectors of different lengths never link.  Rows with one vec_id are
-    separate vectors of one component; a null vec_id links with nothing and is kept.
+    with nothing.  Vectors of different lengths never link.  Rows that repeat a vec_id are
+    vectors of their own, each with its own links and component; a null vec_id links with
+    nothing and is kept.  Other columns are not read.
     """
     all_nodes = stored(nodes(vectors), "nodes")
     good = all_nodes.where("vec is not null and vec_id is not null")
-    classes = good.groupBy("digest").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"))
-    reps = good.join(classes, "digest").where("vec_id = id").dropDuplicates(["digest"])
+    classes = good.groupBy("digest").agg(F.min("vec_id").alias("low"), F.count("*").alias("copies"))
+    first = classes.groupBy("low").agg(F.min("digest").alias("first"))
+    # an id that other vectors have as well stands for the first of them; the others get ids beyond all
+    other = F.xxhash64("digest").bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)
+    classes = classes.join(first, "low").withColumn("id", F.when(F.col("digest") == F.col("first"), F.col("low")).otherwise(other))
+    classes = stored(classes.drop("first"), "classes")
+    reps = good.join(classes, "digest").where("vec_id = low").dropDuplicates(["digest"])
     reps = stored(reps.select("id", "digest", "copies", "vec"), "nodes")
     rows = reps.count()
-    count = min(CENTROIDS_MOST, max(1, -(-rows // SHARD)))
+    count = max(1, -(-rows // SHARD))
     while rows:
         found = searched(reps, count, overlap, least)
         links = found.groupBy("id").agg(F.sum("links").alias("links"))
@@ -399,11 +480,16 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, overlap: int = 4) -
     else:
         links = reps.select("id", F.lit(0).alias("links"))
         joined = reps.select("id", F.col("id").alias("component_id"))
-    out = all_nodes.join(classes, "digest", "left").join(links, "id", "left").join(joined, "id", "left")
-    component = F.coalesce("component_id", "id", "vec_id")
+    known = classes.join(links, "id", "left").join(joined, "id", "left")
+    known = known.withColumn("component_id", F.coalesce("component_id", "id"))
+    known = stored(known.select("digest", "copies", "low", "links", "component_id"), "known")
+    lowest = known.groupBy("component_id").agg(F.min("low").alias("lowest"))
+    known = known.join(lowest, "component_id").drop("component_id", "low")
+    out = all_nodes.withColumn("digest", F.when(F.col("vec_id").isNotNull(), F.col("digest"))).join(known, "digest", "left")
+    component = F.coalesce("lowest", "vec_id")
     return out.select(
         "vec_id",
-        F.coalesce(F.col("links") + F.col("copies") - 1, F.lit(0)).cast("long").alias("n_links"),
-        F.when(F.col("vec_id").isNotNull(), component).alias("component_id"),
+        F.coalesce(F.coalesce("links", F.lit(0)) + F.col("copies") - 1, F.lit(0)).cast("long").alias("n_links"),
+        component.alias("component_id"),
         F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"),
     )

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillcast.llm.common import held_out, map_arrow, text_blocks, utf8, word_hashes
+from tillcast.llm.common import bounded, held_out, map_arrow, text_blocks, utf8, word_hashes
 from tillcast.llm.logistic import fit, sigmoid
 
 FIT_MOST = 20_000  # labelled texts the pairs are drawn from
@@ -96,7 +96,7 @@ def model(docs: DataFrame, labels: DataFrame, modulus: int = 5, holdout: int = 0
     """
     teach = labels.where("quality is not null and doc_id is not null").where(~held_out("doc_id", modulus, holdout))
     teach = teach.select(F.col("doc_id").cast("long"), F.col("quality").cast("int"))
-    teach = teach.orderBy(F.xxhash64(F.lit(8), "doc_id"), "doc_id", "quality").limit(FIT_MOST)
+    teach = bounded(teach, F.xxhash64(F.lit(8), "doc_id"), FIT_MOST, "doc_id", "quality")
 
     def rows(batch: pa.RecordBatch):
         yield {"x": list(features(utf8(batch.column(0)))), "quality": batch.column(1), "doc_id": batch.column(2)}

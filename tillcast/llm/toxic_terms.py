@@ -19,11 +19,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillcast.llm.common import held_out, map_arrow, stored, utf8
+from tillcast.llm.common import bounded, held_out, map_arrow, stored, utf8
 from tillcast.llm.logistic import fit, sigmoid
 
 FIT_MOST = 20_000  # labelled texts the lexicon and the weights are fitted on
-TERMS = 1000  # of the lexicon, at most
 LEAST_TEXTS = 3  # toxic texts that hold a term
 LEAST_ODDS = 3.0  # log-odds of a term between toxic and other texts
 CLOSE, CONTEXT = 4, 12  # words on each side: quotation marks, other hits
@@ -149,7 +148,10 @@ class Matcher:
 
 
 def learned_terms(taught: DataFrame) -> list[tuple[str, float]]:
-    """The lexicon from (text, toxic): terms with their log-odds, at most ``TERMS``."""
+    """The lexicon from (text, toxic): terms with their log-odds.
+
+    The texts are at most ``FIT_MOST``, which bounds their terms.
+    """
 
     def rows(batch: pa.RecordBatch):
         counts: dict[str, list[int]] = {}
@@ -176,7 +178,7 @@ def learned_terms(taught: DataFrame) -> list[tuple[str, float]]:
 
     sure = surprise("toxic", share) + (surprise("clean", 1 - share) if n0 else F.lit(0.0))
     terms = terms.where((F.col("odds") >= LEAST_ODDS) & (sure >= math.log(max(1, terms.count()))))
-    top = terms.orderBy(F.col("odds").desc(), "term").limit(TERMS).collect()
+    top = terms.orderBy(F.col("odds").desc(), "term").collect()
     return [(r.term, r.odds / top[0].odds) for r in top]
 
 
@@ -184,13 +186,14 @@ def judged(docs: DataFrame, labels: DataFrame, modulus: int = 3, holdout: int =
     """One row per document: doc_id, held_out, score, predicted (score >= CUT).
 
     Labels come from rows whose crc32(doc_id as text) mod ``modulus`` is not ``holdout``,
-    at most ``FIT_MOST`` of them; null labels and ids teach nothing.  Texts without a hit,
+    at most ``FIT_MOST`` of them; null labels and ids teach nothing, any
+    label above 0 means toxic.  Texts without a hit,
     null and empty ones too, share one low score.  Without toxic labels every score is 0.
     """
     known = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     teach = labels.where("toxic is not null and doc_id is not null").where(~held_out("doc_id", modulus, holdout))
-    teach = teach.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int"))
-    teach = teach.orderBy(F.xxhash64(F.lit(4), "doc_id"), "doc_id", "toxic").limit(FIT_MOST)
+    teach = teach.select(F.col("doc_id").cast("long"), (F.col("toxic") > 0).cast("int").alias("toxic"))
+    teach = bounded(teach, F.xxhash64(F.lit(4), "doc_id"), FIT_MOST, "doc_id", "toxic")
     taught = stored(known.join(F.broadcast(teach), "doc_id"), "taught")  # bounded by FIT_MOST
     terms = learned_terms(taught)
 

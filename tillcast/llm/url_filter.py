@@ -1,18 +1,17 @@
 """URL filter: rules first, then logistic regression on hashed character n-grams.
 
 The n-grams are those of the host and, apart, of the path.  The model is trained
-from a small table of labelled URLs; without one, from a bounded sample of the
-URLs that the rules decide.
+from a small table of labelled URLs, by default :data:`LABELLED`.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.llm.common import map_arrow, utf8
+from tillcast.llm.common import bounded, map_arrow, utf8
 from tillcast.llm.logistic import fit_sparse
 
 #: Fixed values of the contract: (host, path, verdict).
@@ -23,6 +22,41 @@ RULES = (
     ("net", "/es/", "block"),
     ("net", "/fr/", "block"),
 )
+#: Labelled URLs by hand: what a host or path looks like that is kept, and one that is not.
+LABELLED = {
+    "allow": (
+        "https://www.daily-herald.org/en/2021/05/city-council", "https://news.riverside.net/de/artikel/881",
+        "https://blog.maria-writes.com/fr/recettes/12", "https://docs.openlibrary.org/en/guide/install.html",
+        "https://m.townradio.com/es/programas", "http://history.university.edu/courses/medieval",
+        "https://www.gardenclub.org/en/roses/pruning", "https://forum.cyclists.net/en/topic/3391",
+        "https://blog.astronomer.org/de/beobachtung/44", "http://www.museum-am-see.de/de/ausstellung/7",
+        "https://recipes.homecook.com/en/soup/lentil", "https://wiki.mathematics.org/en/theorem/fermat",
+        "https://library.cityofbridges.gov/en/hours", "https://www.weatherstation.net/fr/station/19",
+        "http://m.birdwatch.org/en/species/212.html", "https://school.northlake.edu/es/clases/3",
+        "https://blog.thingsmade.org/en/641", "https://www.hetherton.org/en/471", "http://therand.org/en/454",
+        "https://tionlake.net/de/975", "https://www.withering-heights.com/en/chapter/2", "https://ring.anderson.org/en/98",
+        "https://blog.northern.net/en/960", "https://m.rounders.com/en/25", "https://www.lyndale.org/es/87",
+        "https://eriness.example.org/en/12", "https://blog.wharton.example.org/fr/30", "https://thesis.example.org/de/5",
+        "https://www.health-advice.gov/en/vaccines", "https://pharmacy-school.edu/en/admissions",
+        "https://farm-museum.org/en/visit", "https://www.pillow-fort.net/en/sewing", "https://card-games.org/en/rules/whist",
+        "https://www.bank-history.org/en/1907", "https://lottery-of-birth.org/en/essay", "https://chess.club.org/en/openings",
+    ),
+    "block": (
+        "https://cheap-pills-online.com/en/buy-now", "http://www.pills-cheap.net/de/order/123", "https://cheap-meds.org/en/450",
+        "https://viagra-discount.biz/fr/commande", "https://www.cheap-pills-store.org/es/17", "https://spam-links.net/en/728",
+        "http://link-farm.org/en/1", "https://spamfarm.info/en/99", "https://www.spam-farm-network.com/de/12",
+        "https://casino-bonus.org/en/win", "https://www.free-casino-spins.net/es/gratis", "http://online-casino.biz/en/slots",
+        "https://hot-xxx-cams.com/en/live", "https://xxx-videos.net/fr/1", "https://adult-dating-hookup.org/en/join",
+        "https://payday-loans-fast.com/en/apply", "https://instant-loans.biz/en/cash", "http://cheap-replica-watches.org/en/rolex",
+        "https://replica-handbags-outlet.net/de/sale", "https://buy-followers-cheap.com/en/likes",
+        "https://crack-keygen-download.net/en/serial", "https://free-warez.org/en/download", "http://click-here-win-prize.info/en/claim",
+        "https://www.seo-backlinks-cheap.biz/en/order", "https://cheap-essays-online.org/en/buy",
+        "https://sports-bets-free.net/en/33", "https://www.best-bets.example.org/en/5", "http://free-bets-today.com/es/70",
+        "https://casino-wins.example.net/de/61", "https://blog.win-casino.org/fr/812", "https://free-spins-casino.example.org/en/4",
+        "https://www.spam-links.example.net/en/55", "https://blog.link-farm.example.org/de/7", "https://spamfarm.example.net/es/941",
+        "https://cheap-meds.example.org/fr/230", "http://buy-pills.example.net/en/18", "https://m.free-prize.example.org/en/602",
+    ),
+}
 GRAMS = (3, 4, 5)
 COLUMNS = 1 << 16
 FIT_MOST = 20_000  # labelled URLs the model is fitted on
@@ -74,7 +108,7 @@ def features(hosts: list[bytes], paths: list[bytes]) -> tuple[np.ndarray, np.nda
 def trained(labelled: DataFrame, most: int = FIT_MOST) -> tuple[np.ndarray, float]:
     """Weights and bias from distinct (host, path, label), at most ``most`` of them."""
     rows = labelled.select("host", "path", "label").distinct()
-    rows = rows.orderBy(F.xxhash64(F.lit(5), "host", "path"), "host", "path", "label").limit(most).collect()
+    rows = bounded(rows, F.xxhash64(F.lit(5), "host", "path"), most, "host", "path", "label").collect()
     y = np.array([r.label == "block" for r in rows], float)
     if not len(y) or y.min() == y.max():
         return np.zeros(COLUMNS), 1.0 if len(y) and y[0] else -1.0
@@ -84,16 +118,24 @@ def trained(labelled: DataFrame, most: int = FIT_MOST) -> tuple[np.ndarray, floa
     return w[:COLUMNS] * 0.7, float(w[COLUMNS] * 0.7)
 
 
+def labelled_urls(spark: SparkSession, urls: dict[str, tuple[str, ...]] = LABELLED) -> DataFrame:
+    """(host, path, label) of URLs by label."""
+    rows = [(url, label) for label, some in urls.items() for url in some]
+    df = spark.createDataFrame(rows, "url string, page_id string")
+    return parsed(df).withColumnRenamed("page_id", "label")
+
+
 def judged(pages: DataFrame, rules: tuple = RULES, labelled: DataFrame | None = None) -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict, score (probability of block).
 
     A null URL has an empty host and path, no rule, and the model's verdict on nothing.
     Without labelled URLs of both verdicts the model gives the only one it knows, or allow.
-    Repeated URLs get equal verdicts; ``labelled`` has host, path and label.
+    Repeated URLs get equal verdicts, very long ones are read whole, other columns are not read.
+    ``labelled`` has host, path and label; at most ``FIT_MOST`` of its rows teach.
     """
     urls = ruled(parsed(pages), rules)
     if labelled is None:
-        labelled = urls.where("ruled is not null").withColumn("label", F.col("ruled"))
+        labelled = labelled_urls(pages.sparkSession)
     weights, bias = trained(labelled)
 
     def rows(batch: pa.RecordBatch):
