@@ -39,6 +39,12 @@ LABELLED = {
         "https://eriness.example.org/en/12", "https://blog.wharton.example.org/fr/30", "https://thesis.example.org/de/5",
         "https://www.health-advice.gov/en/vaccines", "https://pharmacy-school.edu/en/admissions",
         "https://farm-museum.org/en/visit", "https://www.pillow-fort.net/en/sewing", "https://card-games.org/en/rules/whist",
+        "https://thorium.example.net/en/91", "http://blog.another.example.net/en/960", "https://m.therefore.example.net/en/25",
+        "https://www.nations.example.net/de/1502.html", "https://bleriot.example.net/en/77/", "https://shipyard.example.net/de/3120",
+        "https://rangers.example.org/es/978", "https://www.inland.example.org/en/328", "http://erlang.example.org/de/217",
+        "https://blog.ondine.example.org/en/777", "https://m.station.example.org/fr/533", "https://wheat.example.net/en/18",
+        "https://entire.example.net/de/874", "https://blog.hearth.example.net/en/33102", "https://www.anthem.example.org/en/618",
+        "https://redwood.example.org/en/20455/", "https://author.example.net/en/47", "https://sheriff.example.org/de/65.html",
         "https://www.bank-history.org/en/1907", "https://lottery-of-birth.org/en/essay", "https://chess.club.org/en/openings",
     ),
     "block": (
