@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalog.forecasts import Documents, _latest, all_limits, k01, k02
+from catalog.forecasts import FLAVOURS, Documents, _latest, all_limits, k01, k02
 from catalog.registry import query
 from catalog.views import (
     AS_OF,
@@ -407,10 +407,6 @@ def _(v):
 # -- documents -----------------------------------------------------------------------
 
 _ITEM, _INGREDIENT = str(STAPLE_ITEM), str(STAPLE_INGREDIENT)
-V["all_doc_metrics"] = "SELECT * FROM doc_metrics UNION ALL SELECT * FROM doc_deferred_metrics"
-V["all_doc_items"] = "SELECT * FROM doc_items UNION ALL SELECT * FROM doc_deferred_items"
-
-
 def _flat_sql(rows: str, value: str, name: str, where: str = "true") -> str:
     return f"""(SELECT location_num, business_date,
       CASE WHEN count(*) = 2 AND arg_max(n, seen) = 65 THEN 1 ELSE 0 END {name}
@@ -420,17 +416,6 @@ def _flat_sql(rows: str, value: str, name: str, where: str = "true") -> str:
 
 
 _KEY = "USING (location_num, business_date)"
-V["flat_flags"] = f"""
-  SELECT location_num, business_date,
-    coalesce(dollarsales_flat, 0) dollarsales_flat, coalesce(transcount_flat, 0) transcount_flat,
-    coalesce(itemcount_flat, 0) itemcount_flat, coalesce(ingredient_flat, 0) ingredient_flat
-  FROM doc_header
-  LEFT JOIN {_flat_sql("all_doc_metrics", "sales", "dollarsales_flat")} {_KEY}
-  LEFT JOIN {_flat_sql("all_doc_metrics", "transactioncount", "transcount_flat")} {_KEY}
-  LEFT JOIN {_flat_sql("all_doc_items", "transactioncount", "itemcount_flat",
-                       f"code = '{_ITEM}'")} {_KEY}
-  LEFT JOIN {_flat_sql("doc_ingredients", "transactioncount", "ingredient_flat",
-                       f"code = '{_INGREDIENT}'")} {_KEY}"""
 
 
 def _total_sql(rows: str, metric: str, measure: str, checked: str = "true") -> str:
@@ -439,15 +424,39 @@ def _total_sql(rows: str, metric: str, measure: str, checked: str = "true") -> s
       CAST(sum({measure}) AS DOUBLE) sunday_total FROM {rows} GROUP BY 1, 2"""
 
 
-V["document_totals"] = " UNION ALL ".join(
-    [
-        _total_sql("all_doc_metrics", "dollarsales", "sales"),
-        _total_sql("all_doc_metrics", "transcount", "transactioncount"),
-        _total_sql("all_doc_items", "itemcount", "transactioncount", f"code = '{_ITEM}'"),
-        _total_sql("doc_ingredients", "ingredient", "transactioncount", f"code = '{_INGREDIENT}'"),
-    ]
-)
-V["limit_flags"] = """
+_NAMES = [
+    "generated_successfully",
+    "sunday_zeros",
+    "less_than_min",
+    "less_than_90_min",
+    "greater_than_max",
+    "greater_than_15_max",
+]
+_MEASURED = {"val": "total", "min_limit": "min_limit", "max_limit": "max_limit"}
+def _check_views(tag: str) -> None:
+    """Flags, totals, limits and alerts over the documents of one flavour."""
+    metrics, items, ingredients = f"all_doc_metrics{tag}", f"all_doc_items{tag}", f"doc_ingredients{tag}"
+    V[metrics] = f"SELECT * FROM doc_metrics{tag} UNION ALL SELECT * FROM doc_deferred_metrics{tag}"
+    V[items] = f"SELECT * FROM doc_items{tag} UNION ALL SELECT * FROM doc_deferred_items{tag}"
+    item, ingredient = f"code = '{_ITEM}'", f"code = '{_INGREDIENT}'"
+    V[f"flat_flags{tag}"] = f"""
+  SELECT location_num, business_date,
+    coalesce(dollarsales_flat, 0) dollarsales_flat, coalesce(transcount_flat, 0) transcount_flat,
+    coalesce(itemcount_flat, 0) itemcount_flat, coalesce(ingredient_flat, 0) ingredient_flat
+  FROM doc_header{tag}
+  LEFT JOIN {_flat_sql(metrics, "sales", "dollarsales_flat")} {_KEY}
+  LEFT JOIN {_flat_sql(metrics, "transactioncount", "transcount_flat")} {_KEY}
+  LEFT JOIN {_flat_sql(items, "transactioncount", "itemcount_flat", item)} {_KEY}
+  LEFT JOIN {_flat_sql(ingredients, "transactioncount", "ingredient_flat", ingredient)} {_KEY}"""
+    V[f"document_totals{tag}"] = " UNION ALL ".join(
+        [
+            _total_sql(metrics, "dollarsales", "sales"),
+            _total_sql(metrics, "transcount", "transactioncount"),
+            _total_sql(items, "itemcount", "transactioncount", item),
+            _total_sql(ingredients, "ingredient", "transactioncount", ingredient),
+        ]
+    )
+    V[f"limit_flags{tag}"] = f"""
   SELECT location_num, business_date, metric, total, min_limit, max_limit,
     CASE WHEN sunday THEN 0 ELSE 1 END generated_successfully,
     CASE WHEN sunday AND sunday_total <> 0 THEN 0 ELSE 1 END sunday_zeros,
@@ -463,36 +472,31 @@ V["limit_flags"] = """
       total <= greatest(0e0, min_limit * 0.9e0) far_under,
       NOT total <= greatest(0e0, min_limit) AND total >= max_limit above,
       total >= max_limit * 1.5e0 far_above
-    FROM document_totals t LEFT JOIN (SELECT location_num l, weekday, metric m,
+    FROM document_totals{tag} t LEFT JOIN (SELECT location_num l, weekday, metric m,
         median - 0.35e0 * median min_limit, median + 0.35e0 * median max_limit FROM limits_all)
       ON l = location_num AND weekday = isodow(business_date) - 1 AND m = metric)"""
-_NAMES = [
-    "generated_successfully",
-    "sunday_zeros",
-    "less_than_min",
-    "less_than_90_min",
-    "greater_than_max",
-    "greater_than_15_max",
-]
-_MEASURED = {"val": "total", "min_limit": "min_limit", "max_limit": "max_limit"}
-V["alerts"] = f"""
+    V[f"alerts{tag}"] = f"""
   SELECT f.*, {", ".join(f"{m}_{n}" for m in D.METRICS for n in [*_NAMES, *_MEASURED])},
     {", ".join(f"CASE WHEN {m}_val IS NULL THEN 0 ELSE 1 END {m}_forecast_generated"
                for m in D.METRICS)},
     coalesce(warned, 0) warning,
     CASE WHEN coalesce(fails, 0) + dollarsales_flat + transcount_flat + itemcount_flat
       + ingredient_flat + 4 - coalesce(n, 0) > 0 THEN 'Failed' ELSE 'Success' END status
-  FROM flat_flags f LEFT JOIN (SELECT location_num, business_date, {", ".join(
+  FROM flat_flags{tag} f LEFT JOIN (SELECT location_num, business_date, {", ".join(
       f"max({n}) FILTER (metric = '{m}') {m}_{n}" for m in D.METRICS for n in _NAMES
   )}, {", ".join(
       f"max({src}) FILTER (metric = '{m}') {m}_{n}"
       for m in D.METRICS for n, src in _MEASURED.items()
-  )}, sum(failed) fails, max(warned) warned, count(*) n FROM limit_flags GROUP BY 1, 2) {_KEY}"""
+  )}, sum(failed) fails, max(warned) warned, count(*) n FROM limit_flags{tag} GROUP BY 1, 2) {_KEY}"""
+
+
+for _tag in FLAVOURS.values():
+    _check_views(_tag)
 
 
 class DocumentChecks:
-    def __init__(self, v: Views):
-        docs = Documents(v, stored=True)
+    def __init__(self, v: Views, flavour: str = "short"):
+        docs = Documents(v, flavour, stored=True)
         metrics = docs.metrics.unionByName(docs.deferred_metrics)
         items = docs.items.unionByName(docs.deferred_items)
         parts = (metrics, items, docs.ingredients, _ITEM, _INGREDIENT)
@@ -502,19 +506,11 @@ class DocumentChecks:
         self.alerts = D.alert_rows(self.flats, self.limits)
 
 
-@query("q11_flat_flags", "SELECT * FROM flat_flags")
-def _(v):
-    return DocumentChecks(v).flats
+_VALUES = [f"{m}_{n}" for m in D.METRICS for n in _MEASURED]
 
 
-@query(
-    "q12_limit_flags",
-    "SELECT * REPLACE (round(total, 4) AS total, round(min_limit, 8) AS min_limit, "
-    "round(max_limit, 8) AS max_limit) FROM limit_flags",
-)
-def _(v):
-    out = DocumentChecks(v).limits
-    return out.withColumns(
+def _limits(v: Views, flavour: str) -> DataFrame:
+    return DocumentChecks(v, flavour).limits.withColumns(
         {
             "total": F.round("total", 4),
             "min_limit": F.round("min_limit", 8),
@@ -523,20 +519,42 @@ def _(v):
     )
 
 
-@query("q13_document_status", "SELECT location_num, business_date, status, warning FROM alerts")
-def _(v):
-    return DocumentChecks(v).alerts.select(LOC, DAY, "status", "warning")
-
-
-_VALUES = [f"{m}_{n}" for m in D.METRICS for n in _MEASURED]
-
-
-@query(
-    "q13_alert_rows",
-    f"SELECT * REPLACE ({', '.join(f'round({c}, 8) AS {c}' for c in _VALUES)}) FROM alerts",
-)
-def _(v):
-    return DocumentChecks(v).alerts.withColumns({c: F.round(c, 8) for c in _VALUES})
+def _alerts(v: Views, flavour: str) -> DataFrame:
+    return DocumentChecks(v, flavour).alerts.withColumns({c: F.round(c, 8) for c in _VALUES})
+
+
+def _status(v: Views, flavour: str) -> DataFrame:
+    return DocumentChecks(v, flavour).alerts.select(LOC, DAY, "status", "warning")
+
+
+for _flavour, _tag in FLAVOURS.items():
+    for _check, _sql, _fn in (
+        (
+            "q11_flat_flags",
+            "SELECT * FROM flat_flags{tag}",
+            lambda v, flavour: DocumentChecks(v, flavour).flats,
+        ),
+        (
+            "q12_limit_flags",
+            "SELECT * REPLACE (round(total, 4) AS total, round(min_limit, 8) AS min_limit, "
+            "round(max_limit, 8) AS max_limit) FROM limit_flags{tag}",
+            _limits,
+        ),
+        (
+            "q13_document_status",
+            "SELECT location_num, business_date, status, warning FROM alerts{tag}",
+            _status,
+        ),
+        (
+            "q13_alert_rows",
+            f"SELECT * REPLACE ({', '.join(f'round({c}, 8) AS {c}' for c in _VALUES)}) "
+            "FROM alerts{tag}",
+            _alerts,
+        ),
+    ):
+        query(f"{_check}{_tag}", _sql.replace("{tag}", _tag))(
+            lambda v, fn=_fn, flavour=_flavour: fn(v, flavour)
+        )
 
 
 def _summary_sql(flags: dict[str, str]) -> str:
@@ -592,11 +610,13 @@ V["expected_documents"] = f"""
   FROM stores, range(16, 25) r(i) WHERE i <> 20 AND isodow({TODAY} + CAST(i AS INTEGER)) <> 7
     AND NOT (isodow({TODAY} + CAST(i AS INTEGER)) = 6
       AND location_num IN (SELECT location_num FROM saturday_off))"""
-V["missing_documents"] = f"SELECT * FROM expected_documents ANTI JOIN doc_header {_KEY}"
+V["missing_documents"] = f"""SELECT * FROM expected_documents
+  ANTI JOIN (SELECT * FROM doc_header UNION ALL SELECT * FROM doc_header_long) {_KEY}"""
 
 
 def missing(v: Views) -> DataFrame:
-    return D.missing_documents(v.stores, _WEEK, Documents(v, stored=True).header, v.saturday_off)
+    delivered = [Documents(v, horizon, stored=True).header for horizon in ("short", "long")]
+    return D.missing_documents(v.stores, _WEEK, delivered[0].unionByName(delivered[1]), v.saturday_off)
 
 
 query("q15_missing_documents", "SELECT * FROM missing_documents")(missing)

@@ -203,21 +203,26 @@ def _(v):
     return products_per_store(k04(v))
 
 
-@query(
-    "k05_baseline_ingredients",
-    f"""SELECT i.location_num, r.ingredient_id, business_date, "interval", unit_of_measure,
-      CAST(round(sum(CAST(CAST(forecast_sum_daily_quantity * coalesce(y.ycf, 1e0)
-        * ingredient_quantity AS VARCHAR) AS DECIMAL(28,9))), 2) AS DOUBLE) sumingredient, {TODAY} generation_date
-    FROM baseline_items i JOIN recipe r ON r.pin = i.product
-    LEFT JOIN (SELECT location_num, ingredient_id, avg(ycf) ycf FROM ycf GROUP BY 1, 2) y
-      ON y.location_num = i.location_num AND y.ingredient_id = r.ingredient_id
-    GROUP BY ALL""",
-)
-def _(v):
+V["baseline_ingredients"] = f"""
+  SELECT i.location_num, r.ingredient_id, business_date, "interval", unit_of_measure,
+    CAST(round(sum(CAST(CAST(forecast_sum_daily_quantity * coalesce(y.ycf, 1e0)
+      * ingredient_quantity AS VARCHAR) AS DECIMAL(28,9))), 2) AS DOUBLE) sumingredient, {TODAY} generation_date
+  FROM baseline_items i JOIN recipe r ON r.pin = i.product
+  LEFT JOIN (SELECT location_num, ingredient_id, avg(ycf) ycf FROM ycf GROUP BY 1, 2) y
+    ON y.location_num = i.location_num AND y.ingredient_id = r.ingredient_id
+  GROUP BY ALL"""
+
+
+def k05(v: Views) -> DataFrame:
     items = v.stored("baseline_items", lambda: k04(v), LOC, DAY)
     return baseline.baseline_ingredients(items, v.recipe, v.ycf, AS_OF)
 
 
+@query("k05_baseline_ingredients", "SELECT * FROM baseline_ingredients")
+def _(v):
+    return k05(v)
+
+
 # -- breakdown -------------------------------------------------------------------
 
 _MASK = """(isodow({d}) = 7 OR (isodow({d}) = 6
@@ -891,28 +896,89 @@ def _all_limits(v: Views) -> DataFrame:
 
 # -- documents -------------------------------------------------------------------------
 
-V["doc_dates"] = f"""
-  SELECT *, {last_year("business_date")} ly_date
-  FROM (SELECT DISTINCT location_num, business_date FROM {_latest("forecast_15min_short")} f)"""
+#: Flavour of a document set -> suffix of its views; each has the same parts.
+FLAVOURS = {"short": "", "long": "_long", "redundancy": "_redundancy", "fallback": "_fallback"}
+V["fallback_pairs"] = """
+  SELECT DISTINCT location_num, business_date + 364 business_date, forecast_type
+  FROM deferred_sales_15min JOIN location_list USING (location_num)"""
+
+
+def _routed_sql(modelled: str, baseline_rows: str) -> str:
+    """The forecast of each pair, out of the table of its store's type."""
+
+    def of(kind: str) -> str:
+        return (
+            f"SEMI JOIN (SELECT * FROM fallback_pairs WHERE forecast_type = '{kind}') "
+            "USING (location_num, business_date)"
+        )
+
+    return f"SELECT * FROM {modelled} {of('LSTM')} UNION ALL {baseline_rows} {of('baseline')}"
+
+
+V["fallback_15min"] = _routed_sql(
+    "forecast_15min_short",
+    """SELECT location_num, business_date, "interval" interval_start_time,
+      forecast_sales_sub_total forecast, forecast_trans_count forecast_tx, generation_date
+    FROM baseline_metrics""",
+)
+V["fallback_items_15min"] = _routed_sql(
+    "forecast_items_15min_short",
+    """SELECT location_num, business_date, product item_id, "interval" interval_start_time,
+      forecast_sum_daily_quantity forecast, generation_date FROM baseline_items""",
+)
+V["fallback_ingredients_15min"] = _routed_sql(
+    "forecast_ingredients_15min_short",
+    """SELECT location_num, business_date, ingredient_id, "interval" interval_start_time,
+      sumingredient forecast, generation_date FROM baseline_ingredients""",
+)
+
+
+def _forecast_view(flavour: str, part: str = "") -> str:
+    return f"fallback_{part}15min" if flavour == "fallback" else f"forecast_{part}15min_{flavour}"
 
 
-def _newest_sql(table: str) -> str:
+def _newest_sql(table: str, dates: str) -> str:
     return (
-        f"(SELECT * FROM (SELECT * FROM {table} SEMI JOIN doc_dates "
+        f"(SELECT * FROM (SELECT * FROM {table} SEMI JOIN {dates} "
         "USING (location_num, business_date)) QUALIFY generation_date = max(generation_date) "
         "OVER (PARTITION BY location_num, business_date))"
     )
 
 
-def _ly_sql(table: str, columns: str) -> str:
+def _ly_sql(table: str, columns: str, dates: str) -> str:
     return (
-        f"(SELECT d.location_num, d.business_date, {columns} FROM {table} t JOIN doc_dates d "
+        f"(SELECT d.location_num, d.business_date, {columns} FROM {table} t JOIN {dates} d "
         "ON d.location_num = t.location_num AND d.ly_date = t.business_date)"
     )
 
 
 _TIME = "strftime(t.timequarter, '%H:%M:%S')"
-V["doc_header"] = f"""
+
+
+def _codes_sql(forecast: str, code: str, facts: str, fact_code: str, amount: str, dates: str) -> str:
+    return f"""
+  SELECT DISTINCT location_num, business_date, CAST({code} AS VARCHAR) code,
+    concat(CAST(business_date AS VARCHAR), 'T', time) intervalstart, '3' servicetype,
+    {dec2("coalesce(forecast, 0e0)")} transactioncount, amount lastyearcount
+  FROM (SELECT DISTINCT location_num, business_date, {code}, time, coalesce(amount, 0) amount
+    FROM (SELECT DISTINCT location_num, business_date, {code}, g."interval" AS time
+      FROM {forecast} SEMI JOIN {dates} USING (location_num, business_date), time_grid g)
+    LEFT JOIN {_ly_sql(facts, f"t.{fact_code} AS {code}, {_TIME} AS time, {amount} amount", dates)} l
+      USING (location_num, business_date, {code}, time))
+  LEFT JOIN (SELECT location_num, business_date, {code}, interval_start_time AS time, forecast
+    FROM {_newest_sql(forecast, dates)} f) USING (location_num, business_date, {code}, time)
+  WHERE NOT coalesce(forecast = 0 AND amount = 0, false)"""
+
+
+def _document_views(flavour: str, tag: str) -> None:
+    dates, metrics = f"doc_dates{tag}", _forecast_view(flavour)
+    pairs = (
+        "(SELECT DISTINCT location_num, business_date FROM fallback_pairs)"
+        if flavour == "fallback"
+        else f"(SELECT DISTINCT location_num, business_date FROM {_latest(metrics)} f)"
+    )
+    V[dates] = f"SELECT *, {last_year('CAST(business_date AS DATE)')} ly_date FROM {pairs}"
+    V[f"doc_header{tag}"] = f"""
   SELECT DISTINCT location_num, business_date,
     lpad(CAST(location_num AS VARCHAR), 5, '0') storenumber,
     concat(CAST(business_date AS VARCHAR), 'T00:00:00') businessday, 'true' readonly,
@@ -921,88 +987,108 @@ V["doc_header"] = f"""
     CAST(coalesce(sales_sub_total, 0) AS DECIMAL(18,2)) lastyearsales,
     CAST(coalesce(trans_count, 0) AS DECIMAL(18,2)) lastyeartransactioncount
   FROM (SELECT location_num, business_date, round(sum(forecast), 4) forecast,
-      sum(forecast_tx) forecast_tx FROM {_newest_sql("forecast_15min_short")} f GROUP BY 1, 2)
-  FULL JOIN {_ly_sql("latest_sales_daily", "t.sales_sub_total, t.trans_count")} l
+      sum(forecast_tx) forecast_tx FROM {_newest_sql(metrics, dates)} f GROUP BY 1, 2)
+  FULL JOIN {_ly_sql("latest_sales_daily", "t.sales_sub_total, t.trans_count", dates)} l
     USING (location_num, business_date)"""
-V["doc_metrics"] = f"""
+    V[f"doc_metrics{tag}"] = f"""
   SELECT DISTINCT location_num, business_date,
     concat(CAST(business_date AS VARCHAR), 'T', time) intervalstart, '3' servicetype,
     {dec2("coalesce(forecast, 0e0)")} sales, {dec2("coalesce(forecast_tx, 0e0)")} transactioncount,
     CAST(coalesce(sales_sub_total, 0) AS DECIMAL(18,2)) lastyearsales,
     CAST(coalesce(trans_count, 0) AS DECIMAL(18,2)) lastyeartransactioncount
-  FROM (SELECT *, interval_start_time AS time FROM {_newest_sql("forecast_15min_short")} f)
-  FULL JOIN {_ly_sql("sales_15min", f"{_TIME} AS time, t.sales_sub_total, t.trans_count")} l
+  FROM (SELECT *, interval_start_time AS time FROM {_newest_sql(metrics, dates)} f)
+  FULL JOIN {_ly_sql("sales_15min", f"{_TIME} AS time, t.sales_sub_total, t.trans_count", dates)} l
     USING (location_num, business_date, time)
   WHERE NOT coalesce(forecast = 0 AND forecast_tx = 0 AND sales_sub_total = 0
     AND trans_count = 0, false)"""
-V["doc_deferred_metrics"] = f"""
+    V[f"doc_deferred_metrics{tag}"] = f"""
   SELECT location_num, business_date,
     concat(CAST(business_date AS VARCHAR), 'T', time) intervalstart, '2' servicetype,
     CAST(0 AS DECIMAL(18,2)) sales, CAST(0 AS DECIMAL(18,2)) transactioncount,
     sales_sub_total lastyearsales, trans_count lastyeartransactioncount
-  FROM {_ly_sql("deferred_sales_15min", f"{_TIME} AS time, t.sales_sub_total, t.trans_count")} l
+  FROM {_ly_sql("deferred_sales_15min", f"{_TIME} AS time, t.sales_sub_total, t.trans_count", dates)} l
   WHERE NOT (sales_sub_total = 0 AND trans_count = 0)"""
-
-
-def _codes_sql(forecast: str, code: str, facts: str, fact_code: str, amount: str) -> str:
-    return f"""
-  SELECT DISTINCT location_num, business_date, CAST({code} AS VARCHAR) code,
-    concat(CAST(business_date AS VARCHAR), 'T', time) intervalstart, '3' servicetype,
-    {dec2("coalesce(forecast, 0e0)")} transactioncount, amount lastyearcount
-  FROM (SELECT DISTINCT location_num, business_date, {code}, time, coalesce(amount, 0) amount
-    FROM (SELECT DISTINCT location_num, business_date, {code}, g."interval" AS time
-      FROM {forecast} SEMI JOIN doc_dates USING (location_num, business_date), time_grid g)
-    LEFT JOIN {_ly_sql(facts, f"t.{fact_code} AS {code}, {_TIME} AS time, {amount} amount")} l
-      USING (location_num, business_date, {code}, time))
-  LEFT JOIN (SELECT location_num, business_date, {code}, interval_start_time AS time, forecast
-    FROM {_newest_sql(forecast)} f) USING (location_num, business_date, {code}, time)
-  WHERE NOT coalesce(forecast = 0 AND amount = 0, false)"""
-
-
-V["doc_items"] = _codes_sql(
-    "forecast_items_15min_short", "item_id", "items_15min", "product", "t.sum_daily_quantity"
-)
-V["doc_ingredients"] = _codes_sql(
-    "forecast_ingredients_15min_short",
-    "ingredient_id",
-    "ingredients_15min",
-    "ingredient_id",
-    dec2("t.ingredient_quantity"),
-)
-V["doc_deferred_items"] = f"""
+    V[f"doc_items{tag}"] = _codes_sql(
+        _forecast_view(flavour, "items_"), "item_id", "items_15min", "product", "t.sum_daily_quantity", dates
+    )
+    V[f"doc_ingredients{tag}"] = _codes_sql(
+        _forecast_view(flavour, "ingredients_"),
+        "ingredient_id",
+        "ingredients_15min",
+        "ingredient_id",
+        dec2("t.ingredient_quantity"),
+        dates,
+    )
+    V[f"doc_deferred_items{tag}"] = f"""
   SELECT location_num, business_date, CAST(product AS VARCHAR) code,
     concat(CAST(business_date AS VARCHAR), 'T', time) intervalstart, '2' servicetype,
     CAST(0 AS DECIMAL(18,2)) transactioncount, sum_daily_quantity lastyearcount
-  FROM {_ly_sql("deferred_items_15min", f"t.product, {_TIME} AS time, t.sum_daily_quantity")} l
+  FROM {_ly_sql("deferred_items_15min", f"t.product, {_TIME} AS time, t.sum_daily_quantity", dates)} l
   WHERE sum_daily_quantity <> 0"""
 
 
+for _flavour, _tag in FLAVOURS.items():
+    _document_views(_flavour, _tag)
+
+
+def fallback_pairs(v: Views) -> DataFrame:
+    """The pairs asked for, each with its store's forecast type."""
+    asked = v.deferred_sales_15min.select(LOC, F.date_add(DAY, 364).alias(DAY)).distinct()
+    return asked.join(v.location_list, LOC)
+
+
 class Documents:
-    """The parts of the short-horizon documents; ``stored`` reads them as tables."""
+    """The parts of one flavour's documents; ``stored`` reads them as tables."""
+
+    def __init__(self, v: Views, flavour: str = "short", stored: bool = False):
+        self.v, self.flavour, self.stored = v, flavour, stored
 
-    def __init__(self, v: Views, stored: bool = False):
-        self.v, self.stored = v, stored
+    def _table(self, name: str, build) -> DataFrame:
+        return self.v.stored(f"{name}{FLAVOURS[self.flavour]}", build, LOC, DAY)
+
+    def _forecast(self, part: str = "") -> DataFrame:
+        v = self.v
+        if self.flavour != "fallback":
+            return getattr(v, f"forecast_{part}15min")(self.flavour)
+        time = F.col("interval").alias("interval_start_time")
+        if part == "items_":
+            rows = v.stored("baseline_items", lambda: k04(v), LOC, DAY)
+            codes = [F.col("product").alias("item_id")]
+            values = [F.col("forecast_sum_daily_quantity").alias("forecast")]
+        elif part == "ingredients_":
+            rows = v.stored("baseline_ingredients", lambda: k05(v), LOC, DAY)
+            codes, values = ["ingredient_id"], [F.col("sumingredient").alias("forecast")]
+        else:
+            rows, codes = v.stored("baseline_metrics", lambda: k03(v), LOC, DAY), []
+            values = [
+                F.col("forecast_sales_sub_total").alias("forecast"),
+                F.col("forecast_trans_count").alias("forecast_tx"),
+            ]
+        by_type = {
+            "LSTM": getattr(v, f"forecast_{part}15min")("short"),
+            "baseline": rows.select(LOC, DAY, *codes, time, *values, GEN),
+        }
+        return delivery.routed(self._table("pairs", lambda: fallback_pairs(v)), by_type)
 
     def _part(self, name: str) -> DataFrame:
         v = self.v
         if self.stored:
-            return v.stored(f"doc_{name}", lambda: getattr(Documents(v), name), LOC, DAY)
-        dates = v.stored(
-            "delivery_dates", lambda: delivery.delivery_dates(v.forecast_15min("short"))
-        )
+            return self._table(f"doc_{name}", lambda: getattr(Documents(v, self.flavour), name))
+        if self.flavour == "fallback":
+            dates = self._table("delivery_dates", lambda: delivery.fallback_dates(fallback_pairs(v)))
+        else:
+            dates = self._table("delivery_dates", lambda: delivery.delivery_dates(self._forecast()))
         if name == "header":
-            return delivery.doc_header(v.forecast_15min("short"), v.latest_sales_daily, dates)
+            return delivery.doc_header(self._forecast(), v.latest_sales_daily, dates)
         if name == "metrics":
-            return delivery.doc_metrics(v.forecast_15min("short"), v.sales_15min, dates)
+            return delivery.doc_metrics(self._forecast(), v.sales_15min, dates)
         if name == "deferred_metrics":
             return delivery.doc_deferred_metrics(v.deferred_sales_15min, dates)
         if name == "items":
-            return delivery.doc_items(v.forecast_items_15min("short"), v.items_15min, dates)
+            return delivery.doc_items(self._forecast("items_"), v.items_15min, dates)
         if name == "deferred_items":
             return delivery.doc_deferred_items(v.deferred_items_15min, dates)
-        return delivery.doc_ingredients(
-            v.forecast_ingredients_15min("short"), v.ingredients_15min, dates
-        )
+        return delivery.doc_ingredients(self._forecast("ingredients_"), v.ingredients_15min, dates)
 
     header = property(lambda self: self._part("header"))
     metrics = property(lambda self: self._part("metrics"))
@@ -1011,7 +1097,7 @@ class Documents:
     deferred_items = property(lambda self: self._part("deferred_items"))
     ingredients = property(lambda self: self._part("ingredients"))
 
-    def build(self, summary: bool = False, only: DataFrame | None = None) -> DataFrame:
+    def build(self, summary: bool = False) -> DataFrame:
         return delivery.build_documents(
             self.header,
             self.metrics.unionByName(self.deferred_metrics),
@@ -1019,7 +1105,6 @@ class Documents:
             self.ingredients,
             f"{AS_OF}T00:00:00.000Z",
             summary,
-            only,
         )
 
 
@@ -1047,29 +1132,28 @@ def _nested(rows: str, columns: dict[str, str], order: str, name: str) -> str:
     )
 
 
-V["document_lines"] = f"""
+def _lines_view(tag: str) -> None:
+    metrics = _nested(
+        f"SELECT * FROM doc_metrics{tag} UNION ALL SELECT * FROM doc_deferred_metrics{tag}",
+        delivery._METRIC,
+        "servicetype, intervalstart, sales, transactioncount, lastyearsales, lastyeartransactioncount",
+        "metric_lines",
+    )
+    order = "servicetype, code, intervalstart, transactioncount, lastyearcount"
+    counts = {"code": "code", **delivery._COUNTS}
+    items = f"SELECT * FROM doc_items{tag} UNION ALL SELECT * FROM doc_deferred_items{tag}"
+    V[f"document_lines{tag}"] = f"""
   SELECT h.*, coalesce(metric_lines, '') metric_lines, coalesce(item_lines, '') item_lines,
     coalesce(ingredient_lines, '') ingredient_lines
-  FROM doc_header h
-  LEFT JOIN ({_nested(
-      "SELECT * FROM doc_metrics UNION ALL SELECT * FROM doc_deferred_metrics",
-      delivery._METRIC,
-      "servicetype, intervalstart, sales, transactioncount, lastyearsales, "
-      "lastyeartransactioncount",
-      "metric_lines",
-  )}) m USING (location_num, business_date)
-  LEFT JOIN ({_nested(
-      "SELECT * FROM doc_items UNION ALL SELECT * FROM doc_deferred_items",
-      {"code": "code", **delivery._COUNTS},
-      "servicetype, code, intervalstart, transactioncount, lastyearcount",
-      "item_lines",
-  )}) i USING (location_num, business_date)
-  LEFT JOIN ({_nested(
-      "SELECT * FROM doc_ingredients",
-      {"code": "code", **delivery._COUNTS},
-      "servicetype, code, intervalstart, transactioncount, lastyearcount",
-      "ingredient_lines",
-  )}) g USING (location_num, business_date)"""
+  FROM doc_header{tag} h
+  LEFT JOIN ({metrics}) m USING (location_num, business_date)
+  LEFT JOIN ({_nested(items, counts, order, "item_lines")}) i USING (location_num, business_date)
+  LEFT JOIN ({_nested(f"SELECT * FROM doc_ingredients{tag}", counts, order, "ingredient_lines")}) g
+    USING (location_num, business_date)"""
+
+
+for _tag in FLAVOURS.values():
+    _lines_view(_tag)
 
 
 def flat_document(documents: DataFrame) -> DataFrame:
@@ -1105,9 +1189,13 @@ _DOC_TEXT = ", ".join(
 )
 
 
-@query("k31_documents", f"SELECT * REPLACE ({_DOC_TEXT}) FROM document_lines")
-def _(v):
-    return flat_document(Documents(v, stored=True).build())
+for _flavour, _tag in FLAVOURS.items():
+
+    def _whole(v: Views, flavour: str = _flavour) -> DataFrame:
+        return flat_document(Documents(v, flavour, stored=True).build())
+
+    _name = "k31_documents" if _flavour == "short" else f"k31_{_flavour}_documents"
+    query(_name, f"SELECT * REPLACE ({_DOC_TEXT}) FROM document_lines{_tag}")(_whole)
 
 
 @query(
@@ -1119,17 +1207,6 @@ def _(v):
     return flat_document(Documents(v, stored=True).build(summary=True))
 
 
-@query(
-    "k31_fallback_documents",
-    f"SELECT * REPLACE ({_DOC_TEXT}) FROM document_lines "
-    "SEMI JOIN (SELECT DISTINCT location_num, business_date + 364 business_date "
-    "FROM deferred_sales_15min) USING (location_num, business_date)",
-)
-def _(v):
-    pairs = v.deferred_sales_15min.select(LOC, F.date_add(DAY, 364).alias(DAY))
-    return flat_document(Documents(v, stored=True).build(only=pairs))
-
-
 @query(
     "k31_fallback_dates",
     f"""SELECT DISTINCT location_num, business_date + 364 business_date,

@@ -231,16 +231,14 @@ def build_documents(
     ingredients: DataFrame,
     generated_at: str,
     summary: bool = False,
-    only: DataFrame | None = None,
 ) -> DataFrame:
-    """One nested record per store and date.
+    """One nested record per store and date of the header.
 
-    The summary twin has empty item arrays.  ``only`` limits the documents to
-    listed store-date pairs, as the fallback flavour does.
+    The summary twin has empty item arrays.  The flavours (2 weeks, 3 weeks, redundancy,
+    fallback) differ in the dates and forecasts that their parts were built from.
     """
-    wanted = header if only is None else header.join(only.select(*KEY).distinct(), KEY, "left_semi")
     order = ["servicetype", "code", "intervalstart"]
-    docs = wanted.join(_details(metrics, _METRIC, order, "MetricDetail"), KEY, "left")
+    docs = header.join(_details(metrics, _METRIC, order, "MetricDetail"), KEY, "left")
     for name, rows, code in (
         ("SalesItemDetail", items, "SalesItemCode"),
         ("InventoryItemDetail", ingredients, "ItemCode"),
@@ -276,3 +274,18 @@ def fallback_dates(pairs: DataFrame) -> DataFrame:
     """Delivery dates for an explicit list of store-date pairs."""
     return pairs.select(*KEY).distinct().withColumn("ly_date", last_year_date(F.col(DAY)))
 
+
+def routed(pairs: DataFrame, by_type: dict[str, DataFrame]) -> DataFrame:
+    """Each listed pair's rows out of the forecast table of its ``forecast_type``.
+
+    A pair listed with several types takes the first of them by name.  The tables, which
+    have the same columns, are each cut to their own pairs in one equality join; pairs
+    that no table holds have no rows here and are documents of last year's facts alone.
+    """
+    typed = pairs.groupBy(*KEY).agg(F.min("forecast_type").alias("forecast_type"))
+    out = None
+    for kind, forecast in by_type.items():
+        mine = typed.where(F.col("forecast_type") == kind).select(*KEY)
+        rows = not_before(forecast, DAY, mine, DAY).join(mine, KEY, "left_semi")
+        out = rows if out is None else out.unionByName(rows)
+    return out
