@@ -6,6 +6,8 @@ the operator under test, and returns what reads back from there.
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +20,7 @@ from catalog.views import AS_OF, DAY, GEN, LOC, Views, days
 from catalog.views_sql import AS_OF as TODAY
 from tillcast import schemas
 from tillcast.functions.calendar import HORIZONS, horizon_dates, is_closed_holiday
+from tillcast.functions.text import document_date
 from tillcast.operators.predicates import closed_day, with_saturday_off
 from tillcast.plans import scoring
 from tillcast.session import new_path
@@ -162,6 +165,26 @@ def _(v):
     return S.compact(v.spark, source, out, rows.schema, "short", AS_OF)
 
 
+@query(
+    "s11_rejected_values",
+    """SELECT regexp_replace(location_num, '^0+', '') store_num, 'location_num' column_name,
+      concat('store ', location_num) AS value, 'not a int' reason, count(*) rows_count
+    FROM (SELECT lpad(CAST(location_num AS VARCHAR), 5, '0') location_num FROM alerts
+      WHERE status <> 'Success') GROUP BY ALL""",
+)
+def _(v):
+    source, out, rejected = _path(v, "s11r"), _path(v, "s11r-table"), _path(v, "s11r-rejected")
+    rows = DocumentChecks(v).alerts.select(LOC, DAY, "dollarsales_flat", "status")
+    store = F.lpad(F.col(LOC).cast("string"), 5, "0")
+    bad = F.when(F.col("status") != "Success", F.concat(F.lit("store "), store)).otherwise(store)
+    written = rows.withColumn("store_num", F.col(LOC)).withColumn(LOC, bad)
+    written.write.partitionBy("store_num").option("header", True).csv(source)
+    S.compact(v.spark, source, out, rows.schema, "short", AS_OF, rejected=rejected)
+    found = v.spark.read.schema(S.REJECTS).parquet(rejected)
+    store = F.regexp_extract("path", r"store_num=(\d+)", 1).alias("store_num")
+    return found.groupBy(store, "column_name", "value", "reason").agg(F.count("*").alias("rows_count"))
+
+
 @query(
     "s12_latest_partition",
     "SELECT max(business_date) business_date FROM latest_sales_daily",
@@ -174,10 +197,26 @@ def _(v):
 
 @query(
     "s13_recent_documents",
-    "SELECT storenumber store_number, business_date FROM doc_header",
+    """SELECT storenumber store_number, business_date FROM doc_header
+    WHERE business_date > (SELECT min(business_date) FROM doc_header)""",
 )
 def _(v):
-    return D.list_documents(v.spark, _written_documents(v), AS_OF)
+    path = _written_documents(v)
+    oldest = Documents(v, stored=True).header.agg(F.min(DAY)).first()[0]
+    # Just outside and just inside the 12 days before the run date.
+    _set_changed(v, f"{path}/*/*/*.json", datetime(2001, 6, 19, 0, 0, 1, tzinfo=timezone.utc))
+    if oldest is not None:
+        old = f"{path}/*/demand={oldest:%m-%d-%Y}/*.json"
+        _set_changed(v, old, datetime(2001, 6, 18, 23, 59, 59, tzinfo=timezone.utc))
+    return D.list_documents(v.spark, path, AS_OF)
+
+
+def _set_changed(v: Views, files: str, when: datetime) -> None:
+    """Gives the files a modification time, through the file system that Spark reads."""
+    pattern = v.spark._jvm.org.apache.hadoop.fs.Path(files)
+    fs = pattern.getFileSystem(v.spark._jsc.hadoopConfiguration())
+    for status in fs.globStatus(pattern) or ():
+        fs.setTimes(status.getPath(), int(when.timestamp() * 1000), -1)
 
 
 @query(
@@ -204,12 +243,10 @@ def _(v):
 
 @query("s16_routed_sink", "SELECT location_num, business_date, status FROM alerts")
 def _(v):
-    ok, bad = _path(v, "s16-ok"), _path(v, "s16-bad")
     rows = DocumentChecks(v).alerts.select(LOC, DAY, "status")
-    S.route(rows, ok, bad)
-    read = v.spark.read.schema(rows.schema)
-    passed = read.parquet(ok).withColumn("status", F.lit("Success"))
-    return passed.unionByName(read.parquet(bad).withColumn("status", F.lit("Failed")))
+    passed, held = S.route(rows, _path(v, "s16"))
+    passed = passed.withColumn("status", F.lit("Success"))
+    return passed.unionByName(held.withColumn("status", F.lit("Failed")))
 
 
 @query("o03_sorted_store_files", "SELECT *, location_num store_num FROM sales_daily")
@@ -239,33 +276,77 @@ def _(v):
     )
 
 
+_STAMP = "yyyy-MM-dd HH:mm:ss"
+
+
 @query(
     "t02_arrival_registry",
-    """SELECT concat(storenumber, '/demand-', strftime(business_date, '%m-%d-%Y'), '.json')
-      file_name, '2001-07-01' generation_date, true live FROM doc_header""",
+    """SELECT concat(storenumber, '/demand-', strftime(business_date, '%m-%d-%Y'), '.json') file_name,
+      CASE WHEN business_date = newest THEN '2001-07-02' ELSE '2001-07-01' END generation_date,
+      concat(CAST(CAST(business_date AS DATE) AS VARCHAR), ' 06:00:00') arrived_at,
+      strftime(business_date + INTERVAL 66 HOURS, '%Y-%m-%d %H:%M:%S') expires_at
+    FROM (SELECT *, max(business_date) OVER () newest FROM doc_header)
+    WHERE business_date + INTERVAL 60 HOURS > newest""",
 )
 def _(v):
-    registry = arrivals.stream_registry(
-        v.spark, _written_documents(v), _path(v, "t02"), _path(v, "t02-checkpoint")
-    )
-    arrived = F.col("arrived_at") + F.expr("INTERVAL 59 HOURS")
+    """Documents arrive at six on their business date; the newest date's come once more."""
+    documents = Documents(v, stored=True).build()
+    dates = [r[0] for r in documents.select(DAY).distinct().orderBy(DAY).collect()]
+    source, out, mark = _path(v, "t02-docs"), _path(v, "t02"), _path(v, "t02-checkpoint")
+    arrived = document_date(F.col("_path")).cast("timestamp") + F.expr("INTERVAL 6 HOURS")
+    again = documents.withColumn("GenerationDate", F.lit("2001-07-02T00:00:00.000Z"))
+    batches = [documents.where(F.col(DAY) == d) for d in dates] + [
+        again.where(F.col(DAY) == d) for d in dates[-1:]
+    ]
+    registry = None
+    for batch in batches:  # one run of the stream for each delivery, from the same checkpoint
+        D.write_documents(batch, source, "append")
+        registry = arrivals.stream_registry(v.spark, source, out, mark, arrived_at=arrived)
     return registry.select(
-        "file_name", "generation_date", (F.col("expires_at") > arrived).alias("live")
+        "file_name",
+        "generation_date",
+        F.date_format("arrived_at", _STAMP).alias("arrived_at"),
+        F.date_format("expires_at", _STAMP).alias("expires_at"),
     )
 
 
-@query("t02_first_arrivals", "SELECT DISTINCT user_id FROM events")
+@query(
+    "t02_first_arrivals",
+    """SELECT user_id, event_type, strftime(max(ts) FILTER (starts), '%Y-%m-%d %H:%M:%S') first_at,
+      strftime(max(ts), '%Y-%m-%d %H:%M:%S') last_at
+    FROM (SELECT user_id, event_type, ts, max(ts) OVER () clock, coalesce(ts >= lag(ts)
+        OVER (PARTITION BY user_id, event_type ORDER BY ts) + INTERVAL 60 HOURS, true) starts
+      FROM events)
+    GROUP BY 1, 2 HAVING max(ts) + INTERVAL 60 HOURS > any_value(clock)""",
+)
 def _(v):
-    source, out = _path(v, "t02-events"), _path(v, "t02-first")
-    events = v.table("events").withColumn("ts", F.col("ts").cast("timestamp"))
-    events.repartitionByRange(4, "ts").sortWithinPartitions("ts").write.parquet(source)
-    stream = v.spark.readStream.schema(events.schema).parquet(source)
-    arrivals.run_append(
-        arrivals.first_arrivals(stream, "user_id", "ts").select("user_id", "ts"),
-        out,
-        _path(v, "t02-first-checkpoint"),
+    """Events as arrivals: per user and type, since when the live entry has not expired.
+
+    Four deliveries by time, the third of them twice.
+    """
+    source, out, mark = _path(v, "t02-events"), _path(v, "t02-first"), _path(v, "t02-first-mark")
+    events = v.table("events").select("user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    bounds = events.agg(F.min("ts"), F.max("ts")).first()
+    quarter = F.floor(
+        4 * (F.col("ts").cast("double") - F.lit(bounds[0]).cast("double"))
+        / (F.lit(bounds[1]).cast("double") - F.lit(bounds[0]).cast("double") + 1)
+    )
+    registry = None
+    for part in (0, 1, 2, 2, 3):
+        events.where(quarter == part).write.mode("append").parquet(source)
+        entries = v.spark.readStream.schema(events.schema).parquet(source).select(
+            F.concat_ws("/", "user_id", "event_type").alias("file_name"),
+            F.lit("").alias("generation_date"),
+            F.col("ts").alias("arrived_at"),
+        )
+        registry = arrivals.stream_entries(entries, out, mark)
+    key = F.split("file_name", "/")
+    return registry.select(
+        key[0].cast("long").alias("user_id"),
+        key[1].alias("event_type"),
+        F.date_format("first_at", _STAMP).alias("first_at"),
+        F.date_format("arrived_at", _STAMP).alias("last_at"),
     )
-    return v.spark.read.parquet(out).select("user_id").distinct()
 
 
 @query(

@@ -93,10 +93,11 @@ def reload(df: DataFrame, table_path: str) -> DataFrame:
 
 # One CSV field: quoted with doubled quotes inside, or plain; it follows a comma or the start.
 _FIELD = r'(?<=^|,)("(?:[^"]|"")*"|[^,]*)'
+REJECTS = "path string, column_name string, value string, reason string"
 
 
 def _fields(line: Column) -> Column:
-    """Fields of one CSV line, unquoted."""
+    """Fields of a header line, unquoted."""
     raw = F.regexp_extract_all(line, F.lit(_FIELD), 1)
 
     def unquote(x: Column) -> Column:
@@ -106,32 +107,102 @@ def _fields(line: Column) -> Column:
     return F.transform(raw, unquote)
 
 
-def read_small_files(spark: SparkSession, source: str, schema: T.StructType) -> DataFrame:
-    """CSV files of a few rows each, whose headers may differ.
+def _small_files(spark: SparkSession, source: str):
+    found = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
+    return found.option("ignoreMissingFiles", True).option("ignoreCorruptFiles", True)
 
-    Columns are matched by the name in each file's own header; those a file
-    lacks are NULL.  A file is one input row, so this is for small files only.
+
+def _headers(spark: SparkSession, source: str, names: list[str]) -> DataFrame:
+    """(path, names, known): the header of every file; ``known`` if it has a wanted column.
+
+    A file's first line is told by its place in the scan; files are small and not split.
     """
-    whole = (
-        spark.read.option("ignoreMissingFiles", True)
-        .option("ignoreCorruptFiles", True)
-        .text(source, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.csv")
+    lines = _small_files(spark, source).text(source).select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_at"),
+        F.regexp_replace("value", "[\r\ufeff]", "").alias("_line"),
     )
-    parsed = (
-        whole.select(F.split("value", "\r?\n").alias("_lines"))
-        .select(
-            _fields(F.col("_lines")[0]).alias("_names"),
-            F.explode(F.slice("_lines", F.lit(2), F.size("_lines"))).alias("_line"),
-        )
-        .where(F.trim("_line") != "")
-        .select(F.map_from_entries(F.arrays_zip("_names", _fields(F.col("_line")))).alias("_row"))
+    first = lines.where("_block = 0").groupBy("path").agg(F.min_by("_line", "_at").alias("_line"))
+    fields = first.select("path", _fields(F.col("_line")).alias("names"))
+    return fields.withColumn("known", F.arrays_overlap("names", F.array(*map(F.lit, names))))
+
+
+def read_small_files(
+    spark: SparkSession, source: str, schema: T.StructType
+) -> tuple[DataFrame, DataFrame]:
+    """CSV files of a few rows each, whose headers may differ: their rows, and what was rejected.
+
+    The CSV reader parses quotes and line breaks inside them, all files in one scan; a
+    file's own header, joined by its path, then says which column a field belongs to.  Of a
+    name that a header repeats the first column counts; columns a file lacks are NULL.
+
+    The second frame is :data:`REJECTS`: files that cannot be read or have no wanted
+    column; repeated columns; values that are not of their column's type; fields beyond
+    the header.  Files of no bytes hold nothing and are in neither.
+    """
+    headers = _headers(spark, source, schema.names)
+    width = headers.where("known").agg(F.max(F.size("names"))).first()[0] or 1
+    cells = [f"_c{k}" for k in range(width + 1)]  # one more than the widest header
+    raw = (
+        _small_files(spark, source)
+        .schema(", ".join(f"{c} string" for c in cells))
+        .option("header", True)
+        .option("enforceSchema", True)
+        .option("multiLine", True)
+        .option("escape", '"')
+        .csv(source)
+        .select(F.col("_metadata.file_path").alias("path"), F.array(*cells).alias("_cells"))
+        .where(F.exists("_cells", lambda c: F.trim(F.coalesce(c, F.lit(""))) != ""))
     )
+    rows = raw.join(headers.where("known").drop("known"), "path")
 
-    def column(field: T.StructField) -> Column:
-        text = F.col("_row")[field.name]
-        return F.when(text != "", text).try_cast(field.dataType).alias(field.name)
+    def text(field: T.StructField) -> Column:
+        value = F.get("_cells", F.array_position("names", F.lit(field.name)).cast("int") - 1)
+        return F.when(F.array_contains("names", field.name) & (value != ""), value)
 
-    return parsed.select(*[column(f) for f in schema])
+    good = rows.select(*[text(f).try_cast(f.dataType).alias(f.name) for f in schema])
+
+    def reject(name: Column, value: Column, reason: str) -> Column:
+        return F.struct(
+            name.alias("column_name"), value.alias("value"), F.lit(reason).alias("reason")
+        )
+
+    bad = [
+        F.when(
+            text(f).isNotNull() & text(f).try_cast(f.dataType).isNull(),
+            reject(F.lit(f.name), text(f), f"not a {f.dataType.simpleString()}"),
+        )
+        for f in schema
+    ]
+    beyond = F.slice("_cells", F.size("names") + 1, len(cells))
+    beyond = F.transform(
+        F.filter(beyond, lambda c: c.isNotNull()),
+        lambda c: reject(F.lit(None).cast("string"), c, "beyond the header"),
+    )
+    values = rows.select("path", F.explode(F.concat(F.array_compact(F.array(*bad)), beyond)).alias("_r"))
+    repeated = F.filter(
+        F.array_distinct("names"), lambda n: F.size(F.filter("names", lambda m: m == n)) > 1
+    )
+    columns = headers.where("known").select(
+        "path",
+        F.explode(
+            F.transform(repeated, lambda n: reject(n, F.lit(None).cast("string"), "repeated column"))
+        ).alias("_r"),
+    )
+    listed = _small_files(spark, source).format("binaryFile").load(source)
+    listed = listed.select(F.col("_metadata.file_path").alias("path"))  # no content is read
+    why = F.when(F.col("known").isNull(), "unreadable")
+    files = listed.join(headers, "path", "left").where("not coalesce(known, false)")
+    nothing = F.lit(None).cast("string")
+    files = files.select(
+        "path",
+        nothing.alias("column_name"),
+        nothing.alias("value"),
+        why.otherwise("no wanted column").alias("reason"),
+    )
+    rejects = values.unionByName(columns).select("path", "_r.*").unionByName(files)
+    return good, rejects
 
 
 def compact(
@@ -142,13 +213,16 @@ def compact(
     forecast_type: str,
     generation_date,
     rows_per_file: int = 5_000_000,
+    rejected: str | None = None,
 ) -> DataFrame:
     """Many small alert CSVs to Parquet under forecast type and generation date.
 
-    Unreadable files are skipped and columns a file lacks are NULL.  The number
-    of files follows the number of rows, not the number of inputs.
+    Columns a file lacks are NULL.  Files and values that cannot be used are written to
+    the ``rejected`` folder, if one is given.  The number of files follows the number of
+    rows, not the number of inputs.
     """
-    stamped = read_small_files(spark, source, schema).withColumns(
+    rows, rejects = read_small_files(spark, source, schema)
+    stamped = rows.withColumns(
         {"forecast_type": F.lit(forecast_type), "run_date": F.lit(generation_date)}
     )
     # A rebalance hint lets adaptive execution size the output files.
@@ -159,6 +233,8 @@ def compact(
         .mode("append")
         .parquet(out)
     )
+    if rejected is not None:
+        rejects.write.mode("append").parquet(rejected)
     return spark.read.schema(stamped.schema).parquet(out)
 
 
@@ -179,8 +255,15 @@ def restore_if_needed(live: DataFrame, history: DataFrame, col: str = GENERATION
     return live.unionByName(backup.select(*live.columns))
 
 
-def route(df: DataFrame, ok_path: str, bad_path: str, verdict: str = "status") -> None:
-    """Passing rows to the delivery folder, all others to quarantine."""
+def route(df: DataFrame, path: str, verdict: str = "status") -> tuple[DataFrame, DataFrame]:
+    """Passing rows to ``path/delivered=true``, all others to ``path/delivered=false``.
+
+    Returns both as read back.  The rows are computed once and written by one job, which
+    publishes both folders together when it commits, so a row is in exactly one of them
+    even if its verdict would come out differently a second time.
+    """
     passed = F.coalesce(F.col(verdict) == "Success", F.lit(False))
-    df.where(passed).write.mode("overwrite").parquet(ok_path)
-    df.where(~passed).write.mode("overwrite").parquet(bad_path)
+    routed = df.withColumn("delivered", passed)
+    routed.write.partitionBy("delivered").mode("overwrite").parquet(path)
+    back = df.sparkSession.read.schema(routed.schema).parquet(path)
+    return back.where("delivered").drop("delivered"), back.where("not delivered").drop("delivered")

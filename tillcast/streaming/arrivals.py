@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -78,17 +79,29 @@ def stream_arrivals(
 
 
 REGISTRY_HOURS = 60  # fixed value: how long an entry is kept
+REGISTRY = "file_name string, generation_date string, first_at timestamp, arrived_at timestamp, batch long"
+
+
+def _life() -> Column:
+    return F.make_dt_interval(hours=F.lit(REGISTRY_HOURS))
 
 
 def stream_registry(
-    spark: SparkSession, path: str, out: str, checkpoint: str, files_per_batch: int = 10_000
+    spark: SparkSession,
+    path: str,
+    out: str,
+    checkpoint: str,
+    files_per_batch: int = 10_000,
+    arrived_at: Column | None = None,
 ) -> DataFrame:
-    """Newest arrival per file name, each with its expiry.
+    """Registry of delivered documents by file name; see :func:`stream_entries`.
 
-    Every batch appends its own newest row per name; the read side keeps the
-    newest overall, as a later put replaces an earlier one.
+    A document arrives when its file was last changed, unless ``arrived_at`` says otherwise.
     """
-    rows = _documents(spark, path, files_per_batch).select(
+    rows = _documents(spark, path, files_per_batch)
+    if arrived_at is not None:
+        rows = rows.withColumn("arrived_at", arrived_at)
+    entries = rows.select(
         F.concat(
             document_store(F.col("_path")),
             F.lit("/demand-"),
@@ -98,38 +111,82 @@ def stream_registry(
         F.substring("GenerationDate", 1, 10).alias("generation_date"),
         "arrived_at",
     )
+    return stream_entries(entries, out, checkpoint)
+
+
+def stream_entries(entries: DataFrame, out: str, checkpoint: str) -> DataFrame:
+    """Live entries after all that arrived: file_name, generation_date, first_at, arrived_at, expires_at.
+
+    ``entries`` is a stream of (file_name, generation_date, arrived_at).  A later arrival
+    replaces an earlier one and renews its expiry; one that comes after the expiry starts a
+    new entry with its own ``first_at``.  The clock is the newest arrival so far.
+
+    Every batch merges with what the batch before it left and drops what expired by then.
+    Batches write to two folders by turns, so a batch that is repeated after a failure reads
+    the same state again, and the disk holds two states of at most the live entries and one
+    batch each.  ``out`` belongs to ``checkpoint``.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        _newest_arrival(batch).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        known = _state(batch.sparkSession, out).where(F.col("batch") == batch_id - 1)
+        known = live_entries(known, _clock(known)).select("file_name", "generation_date", "first_at", "arrived_at")
+        new = batch.select(
+            "file_name", "generation_date", F.lit(None).cast("timestamp").alias("first_at"), "arrived_at"
+        )
+        merged = _newest_arrival(known.unionByName(new)).withColumn("batch", F.lit(batch_id).cast("long"))
+        merged.write.mode("overwrite").parquet(f"{out}/slot={batch_id % 2}")
 
-    _run(rows, checkpoint, write)
-    return _newest_arrival(spark.read.parquet(out).drop("batch")).withColumn(
-        "expires_at", F.col("arrived_at") + F.expr(f"INTERVAL {REGISTRY_HOURS} HOURS")
-    )
+    _run(entries, checkpoint, write)
+    return registry(entries.sparkSession, out)
 
 
-def _newest_arrival(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("file_name").agg(
-        F.max_by("generation_date", F.struct("arrived_at", "generation_date")).alias(
-            "generation_date"
-        ),
-        F.max("arrived_at").alias("arrived_at"),
-    )
+def registry(spark: SparkSession, out: str) -> DataFrame:
+    """The live entries of the newest state."""
+    state = _state(spark, out)
+    newest = state.where(F.col("batch") == state.agg(F.max("batch")).first()[0])
+    return live_entries(newest, _clock(newest)).drop("batch")
+
+
+def _state(spark: SparkSession, out: str) -> DataFrame:
+    """Both states with their expiry; none before the first batch."""
+    try:
+        rows = spark.read.schema(REGISTRY).parquet(out)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = spark.createDataFrame([], REGISTRY)
+    columns = [f.split()[0] for f in REGISTRY.split(", ")]
+    return rows.select(*columns, (F.col("arrived_at") + _life()).alias("expires_at"))
 
 
-def first_arrivals(stream: DataFrame, key: str, event_time: str) -> DataFrame:
-    """First arrival per key within the 60 hours, as a stateful stream.
+def _clock(entries: DataFrame) -> Column:
+    return F.lit(entries.agg(F.max("arrived_at")).first()[0]).cast("timestamp")
 
-    State holds one entry per key and is dropped once the watermark passes its
-    expiry, so it stays bounded however long the stream runs.
+
+def _newest_arrival(rows: DataFrame) -> DataFrame:
+    """Per file name the newest arrival and where its unbroken run of lives starts.
+
+    A row is a life from its first to its newest arrival; lives that overlap or follow
+    each other within the hours are one.
     """
-    delay = f"{REGISTRY_HOURS} hours"
-    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
+    begins = F.coalesce("first_at", "arrived_at")
+    earlier = Window.partitionBy("file_name").orderBy(begins, "arrived_at")
+    reached = F.max("arrived_at").over(earlier.rowsBetween(Window.unboundedPreceding, -1))
+    starts = F.when(reached.isNull() | (begins >= reached + _life()), begins)
+    return (
+        rows.withColumn("_start", starts)
+        .groupBy("file_name")
+        .agg(
+            F.max_by("generation_date", F.struct("arrived_at", "generation_date")).alias("generation_date"),
+            F.max("_start").alias("first_at"),
+            F.max("arrived_at").alias("arrived_at"),
+        )
+    )
 
 
-def live_entries(registry: DataFrame, now) -> DataFrame:
+def live_entries(entries: DataFrame, now) -> DataFrame:
     """Registry entries that have not expired."""
-    return registry.where(F.col("expires_at") > now)
+    return entries.where(F.col("expires_at") > now)
 
 
 def stream_ycf(
