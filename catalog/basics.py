@@ -16,13 +16,14 @@ from catalog.views_sql import closed_holiday, dec2, last_year
 from tillcast.functions import calendar as C
 from tillcast.functions import numeric as N
 from tillcast.functions import text as T
-from tillcast.functions.series import recursive_median
+from tillcast.functions.series import recursive_median, trailing_days
 from tillcast.operators import aggregates as A
 from tillcast.operators import joins as J
 from tillcast.operators import predicates as P
 from tillcast.operators import sets as U
 from tillcast.operators import snapshot as S
 from tillcast.operators import windows as W
+from tillcast.operators.segments import exact_quantiles
 from tillcast.plans import limits as L
 
 _IN_SAT_OFF = "location_num IN (SELECT location_num FROM saturday_off)"
@@ -565,7 +566,7 @@ query(
     lambda v: _round(
         A.repair_medians(
             A.weekday_stats(
-                L.daily_demand(v.sales_daily, v.calendar_daily, "trans_count", 35)
+                L.daily_demand(v.sales_daily, v.calendar_daily, "trans_count", 35), bounded=True
             )
         ).select(LOC, "weekday", "median"),
         "median",
@@ -736,32 +737,29 @@ query(
     )
 )
 V["median_series"] = """
-  SELECT location_num, 0 n, list(CAST(sales_sub_total AS DOUBLE) ORDER BY business_date) series
-  FROM (SELECT * FROM past_sales_daily QUALIFY row_number()
-    OVER (PARTITION BY location_num ORDER BY business_date DESC) <= 30)
-  GROUP BY 1 HAVING count(*) = 30
+  SELECT location_num, 0 n, list(coalesce(x, 0e0) ORDER BY day) series
+  FROM (SELECT location_num, CAST(unnest(range(last - INTERVAL 29 DAYS, last + INTERVAL 1 DAY, INTERVAL 1 DAY))
+      AS DATE) AS day FROM (SELECT location_num, max(business_date) last FROM past_sales_daily GROUP BY 1))
+  LEFT JOIN (SELECT location_num, business_date AS day, CAST(sum(sales_sub_total) AS DOUBLE) x
+    FROM past_sales_daily GROUP BY 1, 2) USING (location_num, day)
+  GROUP BY 1
   UNION ALL
   SELECT location_num, n + 1, list_append(series, list_median(series[-30:]))
   FROM median_series WHERE n < 34"""
+
+
+def _recursive(v: Views) -> DataFrame:
+    history = trailing_days(v.past(v.latest_sales_daily), [LOC], "sales_sub_total", 30)
+    ahead = F.slice(recursive_median(F.col("history")), 31, 34)
+    steps = history.select(LOC, F.posexplode(ahead).alias("step", "forecast"))
+    return steps.select(LOC, (F.col("step") + 1).alias("step"), F.round("forecast", 6).alias("forecast"))
+
+
 query(
     "w09_recursive_median",
     """SELECT location_num, CAST(step AS INTEGER) step, round(series[30 + step], 6) forecast
     FROM median_series, (SELECT unnest(range(1, 35)) step) WHERE n = 34""",
-)(
-    lambda v: S.top_n_by(
-        v.past(v.latest_sales_daily).select(LOC, DAY, "sales_sub_total"), [LOC], [F.desc(DAY)], 30
-    )
-    .groupBy(LOC)
-    .agg(F.array_sort(F.collect_list(F.struct(DAY, "sales_sub_total"))).alias("h"))
-    .where(F.size("h") == 30)
-    .select(
-        LOC,
-        F.posexplode(
-            F.slice(recursive_median(F.col("h.sales_sub_total")), 31, 34)
-        ).alias("step", "forecast"),
-    )
-    .select(LOC, (F.col("step") + 1).alias("step"), F.round("forecast", 6).alias("forecast"))
-)
+)(_recursive)
 
 # -- O and U: order and sets -----------------------------------------------------------
 
@@ -1028,11 +1026,9 @@ def _band(v: Views) -> DataFrame:
 def _scaled(v: Views) -> DataFrame:
     x = F.col("sales_sub_total").cast("double")
     shown = F.when(F.col(LOC) % 5 == 0, F.lit(1.0)).otherwise(x)
-    scales = v.latest_sales_daily.groupBy(LOC).agg(
-        F.median(shown).alias("m"),
-        F.percentile(shown, F.array(F.lit(0.25), F.lit(0.75))).alias("q"),
-    )
-    m, i = F.col("m"), F.col("q")[1] - F.col("q")[0]
+    shares = {"q1": 0.25, "m": 0.5, "q3": 0.75}
+    scales = exact_quantiles(v.latest_sales_daily.select(LOC, shown.alias("x")), [LOC], "x", shares)
+    m, i = F.col("m"), F.col("q3") - F.col("q1")
     scaled = v.latest_sales_daily.join(scales, LOC).withColumn("s", N.robust_scale(x, m, i))
     return scaled.select(
         LOC,

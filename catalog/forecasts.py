@@ -641,7 +641,7 @@ def _(v):
 
 _SERIES_ITEMS = [LOC, "product"]
 V["heads"] = """
-  SELECT location_num, product, business_date, dayofweek, holiday, sunday,
+  SELECT location_num, product, business_date, dayofweek, holiday, sunday, federalholiday,
     CAST(sum_daily_quantity AS DOUBLE) x,
     row_number() OVER (PARTITION BY location_num, product ORDER BY business_date) <= 56 head,
     dayofweek <> 7 AND aroundchristmas = 0 AND onedaypriorchristmas_and_new_year = 0
@@ -738,19 +738,24 @@ def _(v):
     return rounded(k21(v)[1], *names)
 
 
+V["backfilled"] = """
+  SELECT s.location_num, s.product, s.business_date, s.dayofweek, s.holiday, s.federalholiday,
+    CASE WHEN gap > 0 AND s.business_date <= target_end
+        AND s.business_date > target_end - CAST(least(gap, 25) AS INTEGER)
+      THEN c.x ELSE s.x END x
+  FROM (SELECT *, count(*) OVER p - 88 gap, max(business_date) OVER p - 32 target_end
+      FROM weekday_imputed WINDOW p AS (PARTITION BY location_num, product)) s
+  LEFT JOIN (SELECT location_num, product, max(business_date) source_end
+    FROM (SELECT *, max(business_date) OVER (PARTITION BY location_num, product) - 32 target_end
+      FROM weekday_imputed) WHERE head AND isodow(business_date) = isodow(target_end) GROUP BY 1, 2) e
+    USING (location_num, product)
+  LEFT JOIN weekday_imputed c ON c.location_num = s.location_num AND c.product = s.product
+    AND c.business_date = s.business_date - CAST(target_end - source_end AS INTEGER)"""
+
+
 @query(
     "k22_backfill_gap",
-    """WITH s AS (SELECT *, count(*) OVER p - 88 gap, max(business_date) OVER p - 32 target_end
-        FROM weekday_imputed WINDOW p AS (PARTITION BY location_num, product)),
-      e AS (SELECT location_num, product, max(business_date) source_end FROM s
-        WHERE head AND isodow(business_date) = isodow(target_end) GROUP BY 1, 2)
-    SELECT s.location_num, s.product, s.business_date,
-      round(CASE WHEN gap > 0 AND s.business_date <= target_end
-          AND s.business_date > target_end - CAST(least(gap, 25) AS INTEGER)
-        THEN c.x ELSE s.x END, 6) quantity
-    FROM s LEFT JOIN e USING (location_num, product)
-    LEFT JOIN weekday_imputed c ON c.location_num = s.location_num AND c.product = s.product
-      AND c.business_date = s.business_date - CAST(target_end - source_end AS INTEGER)""",
+    "SELECT location_num, product, business_date, round(x, 6) quantity FROM backfilled",
 )
 def _(v):
     return _series_out(
@@ -764,19 +769,81 @@ def mean_model(row: np.ndarray) -> float:
     return float(np.dot(row, weights) / weights.sum())
 
 
-@query("k23_score_recursive")
-def _(v):
-    scored = scoring.score_recursive(
-        imputation.backfill_gap(k21(v)[0], _SERIES_ITEMS, "sum_daily_quantity"),
+# Weights and scales of the stand-in model: 15 past rows of three columns, 10 of two.
+_CELLS = 3 * scoring.LOOKBACK + 2 * scoring.HORIZON
+_MEDIAN, _IQR = [10.0, 4.0, 0.0], [8.0, 3.0, 0.0]
+V["score_input"] = f"""
+  SELECT b.* FROM backfilled b JOIN locations USING (location_num)
+  WHERE remodelreopendate > {TODAY} OR business_date >= remodelreopendate"""
+V["gated"] = f"""
+  SELECT location_num, product, count(*) rows_count, CASE WHEN count(*) < 57 THEN 'short'
+    WHEN {TODAY} - (max(business_date) - 31) > 6 THEN 'stale' END gate
+  FROM score_input GROUP BY 1, 2"""
+V["scored_series"] = """
+  SELECT location_num, product, count(*) n, list(x ORDER BY business_date) xs,
+    list((dayofweek - 4e0) / 3e0 ORDER BY business_date) ds,
+    list(CAST(federalholiday AS DOUBLE) ORDER BY business_date) fs,
+    list(business_date ORDER BY business_date) dates, list(holiday = 1 ORDER BY business_date) off,
+    list(dayofweek = 7 OR (dayofweek = 6 AND location_num IN (SELECT location_num FROM saturday_off))
+      ORDER BY business_date) shut
+  FROM score_input SEMI JOIN (SELECT * FROM gated WHERE gate IS NULL) USING (location_num, product)
+  GROUP BY 1, 2"""
+# The weight of cell c (from 0) is 0.5 + c / (cells - 1); t is the row (from 1) that is predicted.
+_W = f"(0.5e0 + ({{c}}) / {_CELLS - 1}e0)"
+V["scoring"] = f"""
+  SELECT location_num, product, n, xs, ds, fs, shut, 0 step FROM scored_series
+  UNION ALL
+  SELECT location_num, product, n, list_concat(list_concat(xs[:t - 1], [
+      CASE WHEN shut[t] THEN 0e0 ELSE 10 + 8 * (
+        list_sum(list_transform(range(0, 15), lambda i:
+          {_W.format(c="3 * i")} * (xs[t - 24 + i] - 10) / 8
+          + {_W.format(c="3 * i + 1")} * ds[t - 24 + i] + {_W.format(c="3 * i + 2")} * fs[t - 24 + i]))
+        + list_sum(list_transform(range(0, 10), lambda i:
+          {_W.format(c="45 + 2 * i")} * ds[t - 9 + i] + {_W.format(c="46 + 2 * i")} * fs[t - 9 + i]))
+        ) / {_CELLS}e0 END]), xs[t + 1:]), ds, fs, shut, step + 1
+  FROM (SELECT *, n - 31 + step AS t FROM scoring) WHERE step < 32"""
+
+
+def _scores(v: Views) -> tuple[DataFrame, DataFrame]:
+    """Of a store that was rebuilt, only the days since it opened again count as history."""
+    rows = imputation.backfill_gap(k21(v)[0], _SERIES_ITEMS, "sum_daily_quantity")
+    opened = v.locations.select(LOC, F.col("remodelreopendate").alias("_opened"))
+    since = (F.col("_opened") > F.lit(AS_OF)) | (F.col(DAY) >= F.col("_opened"))
+    return scoring.score_gated(
+        rows.join(opened, LOC).where(since).drop("_opened"),
         _SERIES_ITEMS,
         "sum_daily_quantity",
         ["dayofweek", "federalholiday"],
         mean_model,
-        median=[10.0, 4.0, 0.0],
-        iqr=[8.0, 3.0, 0.0],
+        median=_MEDIAN,
+        iqr=_IQR,
         sat_off=v.saturday_off,
+        as_of=AS_OF,
     )
-    return rounded(scored, "forecast")
+
+
+@query(
+    "k23_score_recursive",
+    """SELECT location_num, product, dates[n - 32 + k] business_date,
+      round(CASE WHEN off[n - 32 + k] THEN 0e0 ELSE greatest(done.xs[n - 32 + k], 0e0) END, 6) forecast
+    FROM (SELECT * FROM scoring WHERE step = 32) done
+    JOIN (SELECT location_num, product, dates, off FROM scored_series) USING (location_num, product),
+      (SELECT unnest(range(1, 33)) k)
+    UNION ALL
+    SELECT location_num, product, business_date, 0e0 FROM score_input
+    SEMI JOIN (SELECT * FROM gated WHERE gate = 'stale') USING (location_num, product)
+    QUALIFY row_number() OVER (PARTITION BY location_num, product ORDER BY business_date DESC) <= 32""",
+)
+def _(v):
+    return rounded(_scores(v)[0], "forecast")
+
+
+@query(
+    "k23_gated_series",
+    "SELECT location_num, product, rows_count, gate reason FROM gated WHERE gate = 'short'",
+)
+def _(v):
+    return _scores(v)[1]
 
 
 @query(

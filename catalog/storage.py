@@ -22,7 +22,7 @@ from tillcast import schemas
 from tillcast.functions.calendar import HORIZONS, horizon_dates, is_closed_holiday
 from tillcast.functions.text import document_date
 from tillcast.operators.predicates import closed_day, with_saturday_off
-from tillcast.plans import scoring
+from tillcast.operators.segments import scan_by_key
 from tillcast.session import new_path
 from tillcast.sources import documents as D
 from tillcast.sources import files as S
@@ -397,9 +397,9 @@ def _(v):
     )
 
 
-def _running(group: pd.DataFrame) -> pd.DataFrame:
-    group = group.sort_values("business_date")
-    return group.assign(running=group["quantity"].cumsum()).drop(columns="quantity")
+def _running(segment: pd.DataFrame) -> pd.DataFrame:
+    before = segment["before"].fillna(0.0)
+    return segment.assign(running=before + segment["quantity"].cumsum()).drop(columns=["quantity", "before"])
 
 
 @query(
@@ -413,7 +413,8 @@ def _(v):
         LOC, "product", DAY, F.col("sum_daily_quantity").cast("double").alias("quantity")
     )
     schema = f"{LOC} int, product int, {DAY} date, running double"
-    out = scoring.apply_by_key(rows, [LOC, "product"], _running, schema)
+    sums = {"before": (F.sum("quantity"), F.sum)}
+    out = scan_by_key(rows, [LOC, "product"], [DAY], sums, _running, schema)
     return out.withColumn("running", F.round("running", 2))
 
 

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from tillcast.functions import calendar as C
 from tillcast.functions import numeric as N
 from tillcast.functions import text as T
-from tillcast.functions.series import recursive_median
+from tillcast.functions.series import recursive_median, trailing_days
 from tillcast.operators import aggregates as A
 from tillcast.operators import joins as J
 from tillcast.operators import predicates as P
@@ -108,6 +109,24 @@ def test_document_paths(spark):
         assert one(spark, T.document_date(F.lit(path))) == D(2001, 7, 19)
 
 
+def test_trailing_days_fill_missing_days_with_zero(spark):
+    day = date(2001, 3, 30)
+    rows = [(1, day - timedelta(k), float(k)) for k in (0, 1, 5, 29, 30, 90)] + [(1, day, 2.0), (2, day, 7.0)]
+    df = spark.createDataFrame(rows, "location_num int, business_date date, x double")
+    got = {r.location_num: r.history for r in trailing_days(df, ["location_num"], "x").collect()}
+    want = [0.0] * 30
+    want[29], want[28], want[24], want[0] = 2.0, 1.0, 5.0, 29.0
+    assert got == {1: want, 2: [0.0] * 29 + [7.0]}
+
+
+def test_more_weeks_than_the_bound_fail(spark):
+    rows = [(1, date(2001, 1, 1) + timedelta(7 * k), weeks) for k in range(20) for weeks in (12,)]
+    df = spark.createDataFrame(rows, "k int, business_date date, lookup_weeks int")
+    assert W.recent_same_weekday(df, ["k"], most_weeks=12).count() == 11
+    with pytest.raises(Exception, match="lookup_weeks above 9: 12"):
+        W.recent_same_weekday(df, ["k"]).count()
+
+
 def test_recursive_median_matches_a_plain_loop(spark):
     history = [float((i * 7) % 11) for i in range(30)]
     seen = list(history)

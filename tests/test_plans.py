@@ -141,6 +141,31 @@ def test_short_series_are_not_scored(spark):
     assert got.count() == 0
 
 
+def test_every_series_is_scored_or_gated(spark):
+    def named(n, last, store):
+        start = last - timedelta(n - 1)
+        return series(spark, [float(5 + i % 9) for i in range(n)], start).withColumn("location_num", F.lit(store))
+
+    as_of = D(2001, 7, 1)
+    df = named(56, D(2001, 8, 1), 1).unionByName(named(57, D(2001, 8, 1), 2))
+    # first days to forecast 6 and 7 days before the run date
+    df = df.unionByName(named(88, D(2001, 7, 26), 3)).unionByName(named(88, D(2001, 7, 25), 4))
+    df = df.unionByName(named(10, D(2001, 1, 1), 5))
+    args = (["location_num"], "x", ["dayofweek"], linear, [9.0, 4.0], [3.0, 0.0], no_saturdays(spark))
+    scored, gated = scoring.score_gated(df, *args, as_of)
+    assert sorted(map(tuple, gated.collect())) == [(1, 56, "short"), (5, 10, "short")]
+    got = {}
+    for r in scored.collect():
+        got.setdefault(r.location_num, {})[r.business_date] = r.forecast
+    assert {k: len(v) for k, v in got.items()} == {2: 32, 3: 32, 4: 32}
+    assert max(got[4]) == D(2001, 7, 25) and set(got[4].values()) == {0.0}
+    assert any(got[2].values()) and any(got[3].values())
+    plain = scoring.score_recursive(df.where("location_num in (2, 3)"), *args)
+    assert {(r.location_num, r.business_date): r.forecast for r in plain.collect()} == {
+        (k, d): x for k in (2, 3) for d, x in got[k].items()
+    }
+
+
 def test_items_without_ratio_are_spread_evenly(spark):
     forecast = spark.createDataFrame(
         [(1, D(2001, 7, 18), 5, 130.0, D(2001, 7, 1)), (1, D(2001, 7, 18), 6, 50.0, D(2001, 7, 1))],

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillcast.operators.segments import exact_quantiles, matched
+
 LOC = "location_num"
 
 
@@ -32,22 +34,30 @@ def flag_counts(
     )
 
 
-def weekday_stats(df: DataFrame, demand: str = "demand") -> DataFrame:
-    """Min, max, mean, median, sample deviation and IQR per store and weekday."""
-    value = F.col(demand).cast("double")
-    quartiles = F.percentile(value, F.array(F.lit(0.25), F.lit(0.75)))
-    return (
-        df.groupBy(LOC, "weekday")
-        .agg(
-            F.min(value).alias("min_value"),
-            F.max(value).alias("max_value"),
-            F.avg(value).alias("mean"),
-            F.median(value).alias("median"),
-            F.stddev_samp(value).alias("std"),
-            quartiles.alias("_q"),
-        )
-        .withColumn("iqr", F.col("_q")[1] - F.col("_q")[0])
-        .drop("_q")
+def weekday_stats(df: DataFrame, demand: str = "demand", bounded: bool = False) -> DataFrame:
+    """Min, max, mean, median, sample deviation and IQR per store and weekday.
+
+    The quartiles are selected by running totals of counted values, so no store's values
+    are gathered, however many there are.  ``bounded`` says that the caller's dates leave
+    a few weeks per store; a buffer of these is cheaper then.
+    """
+    keys, value = [LOC, "weekday"], F.col(demand).cast("double")
+    plain = [
+        F.min(value).alias("min_value"),
+        F.max(value).alias("max_value"),
+        F.avg(value).alias("mean"),
+        F.stddev_samp(value).alias("std"),
+    ]
+    if bounded:
+        quartiles = F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+        both = df.groupBy(*keys).agg(*plain, quartiles.alias("_q"))
+        both = both.select("*", *(F.col("_q")[k].alias(n) for k, n in enumerate(("_q1", "median", "_q3"))))
+    else:
+        shares = {"_q1": 0.25, "median": 0.5, "_q3": 0.75}
+        found = exact_quantiles(df.select(*keys, value.alias("_x")), keys, "_x", shares)
+        both = matched(df.groupBy(*keys).agg(*plain), found, keys)
+    return both.select(
+        *keys, "min_value", "max_value", "mean", "median", "std", (F.col("_q3") - F.col("_q1")).alias("iqr")
     )
 
 
@@ -103,12 +113,8 @@ def all_passed(checks: DataFrame, flag: str = "forecast_qc") -> DataFrame:
 
 
 def weekday_quantiles(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    x = F.col(value).cast("double")
-    return df.groupBy(*keys, "dayofweek").agg(
-        F.percentile(x, F.lit(0.25)).alias("q1"),
-        F.percentile(x, F.lit(0.75)).alias("q3"),
-        F.median(x).alias("median"),
-    )
+    x = df.select(*keys, "dayofweek", F.col(value).cast("double").alias("_x"))
+    return exact_quantiles(x, [*keys, "dayofweek"], "_x", {"q1": 0.25, "q3": 0.75, "median": 0.5})
 
 
 def distinct_days(dates: DataFrame) -> DataFrame:

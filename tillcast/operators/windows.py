@@ -6,19 +6,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-MOST_WEEKS = 9  # the setting is one digit
-
-
-def recent_same_weekday(df: DataFrame, keys: list[str], weeks: str = "lookup_weeks") -> DataFrame:
+def recent_same_weekday(
+    df: DataFrame, keys: list[str], weeks: str = "lookup_weeks", most_weeks: int = 9
+) -> DataFrame:
     """The most recent days per key, one fewer than the lookup weeks (rank, ties kept).
 
-    The literal bound is planned before the shuffle; the setting's is a column.
+    ``most_weeks`` bounds the column, nine as the setting has one digit; it is planned
+    before the shuffle.  A row with more weeks fails the query rather than lose days.
     """
     newest_first = Window.partitionBy(*keys).orderBy(F.desc("business_date"))
+    over = F.raise_error(F.concat(F.lit(f"{weeks} above {most_weeks}: "), F.col(weeks).cast("string")))
+    checked = F.when(F.col(weeks) > most_weeks, over.cast("int")).otherwise(F.col(weeks))
     return (
         df.withColumn("_rank", F.rank().over(newest_first))
-        .where(F.col("_rank") < MOST_WEEKS)
-        .where(F.col("_rank") < F.col(weeks))
+        .where(F.col("_rank") < most_weeks)
+        .where(F.col("_rank") < checked)
         .drop("_rank")
     )
 

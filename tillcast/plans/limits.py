@@ -61,4 +61,4 @@ def ingredient_demand(
 
 
 def weekday_limits(demand: DataFrame) -> DataFrame:
-    return repair_medians(weekday_stats(demand))
+    return repair_medians(weekday_stats(demand, bounded=True))

@@ -8,16 +8,19 @@ at most a few hundred rows; Spark shuffles and schedules the series.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillcast.operators.predicates import with_saturday_off
+from tillcast.operators.snapshot import top_n_by
 
 LOOKBACK, HORIZON, STEPS = 15, 10, 32
+MIN_ROWS = 57  # fixed value: series with fewer days are not scored
 
 Model = Callable[[np.ndarray], float]
 
@@ -73,7 +76,7 @@ def score_recursive(
     """Predictions for the last ``steps`` days of every series; holidays are 0.
 
     ``features`` follow the metric as model columns.  Series too short for one
-    window give no rows.
+    window give no rows here: see :func:`score_gated`.
     """
     med, spread = np.asarray(median, "float64"), np.asarray(iqr, "float64")
     columns = [metric, *features]
@@ -109,6 +112,54 @@ def score_recursive(
     return prepared.groupBy(*keys).applyInPandas(score, schema)
 
 
+def gates(
+    df: DataFrame, keys: list[str], as_of: date, rows: int = MIN_ROWS, steps: int = STEPS, limit: int = 6
+) -> DataFrame:
+    """Per series its rows and the gate that it meets: ``short``, ``stale``, or null to be scored.
+
+    A short series has fewer than ``rows`` days; of a stale one the first day to forecast
+    lies more than ``limit`` days before the run date.
+    """
+    first = F.date_sub(F.max("business_date"), steps - 1)
+    series = df.groupBy(*keys).agg(F.count("*").alias("rows_count"), first.alias("first_forecast_date"))
+    short = F.when(F.col("rows_count") < rows, "short")
+    stale = F.when(F.datediff(F.lit(as_of), "first_forecast_date") > limit, "stale")
+    return series.withColumn("gate", F.coalesce(short, stale))
+
+
+def score_gated(
+    df: DataFrame,
+    keys: list[str],
+    metric: str,
+    features: list[str],
+    model: Model,
+    median: list[float],
+    iqr: list[float],
+    sat_off: DataFrame,
+    as_of: date,
+    rows: int = MIN_ROWS,
+    steps: int = STEPS,
+    **window: int,
+) -> tuple[DataFrame, DataFrame]:
+    """Two outputs: forecasts of the last ``steps`` days, and the short series with the reason.
+
+    Short series are left to the naive forecast; stale ones are forecast as 0 on each of
+    their days; all others are scored.  Every series is in one of the two outputs.
+    """
+    known = gates(df, keys, as_of, rows, steps)
+
+    def of(gate: Column) -> DataFrame:
+        return df.join(known.where(gate).select(*keys), keys, "left_semi")
+
+    scored = score_recursive(
+        of(F.col("gate").isNull()), keys, metric, features, model, median, iqr, sat_off, steps=steps, **window
+    )
+    zeros = top_n_by(of(F.col("gate") == "stale"), keys, [F.desc("business_date")], steps)
+    zeros = zeros.select(*keys, "business_date", F.lit(0.0).alias("forecast"))
+    gated = known.where("gate = 'short'").select(*keys, "rows_count", F.col("gate").alias("reason"))
+    return scored.unionByName(zeros), gated
+
+
 def apply_by_key(
     df: DataFrame, keys: list[str], fn: Callable[[pd.DataFrame], pd.DataFrame], schema
 ) -> DataFrame:
