@@ -46,12 +46,35 @@ query(
     "(SELECT max(generation_date) FROM recipe_history)",
 )(lambda v: S.latest_snapshot(v.recipe_history))
 query("p02_latest_snapshot_per_store", f"SELECT * FROM {_latest('sales_15min')}")(
-    lambda v: S.latest_snapshot(v.sales_15min, keys=[LOC])
+    lambda v: S.latest_snapshot(
+        v.sales_15min, keys=[LOC], control=v.versions("sales_15min", v.sales_15min)
+    )
 )
+
+
+@query(
+    "p02_newest_versions",
+    "SELECT location_num, max(generation_date) generation_date FROM sales_15min GROUP BY 1",
+)
+def _(v):
+    """The control table kept from load to load: three by version, the second one twice."""
+    loads = v.sales_15min.select(LOC, GEN)
+    a, b = F.lit(days(-2000)), F.lit(days(-1200))
+    parts = [loads.where(F.col(GEN) < a), loads.where(F.col(GEN).between(a, b)), loads.where(F.col(GEN) > b)]
+    control = None
+    for part in (parts[1], parts[0], parts[1], parts[2]):
+        control = S.newest_versions(part, [LOC], control=control)
+    return control
+
+
 query(
     "p03_latest_snapshot_per_store_date",
     f"SELECT * FROM {_latest('items_daily', 'location_num, business_date')}",
-)(lambda v: S.latest_snapshot(v.items_daily, keys=[LOC, DAY]))
+)(
+    lambda v: S.latest_snapshot(
+        v.items_daily, keys=[LOC, DAY], control=v.versions("items_daily", v.items_daily, LOC, DAY)
+    )
+)
 query(
     "p04_latest_version_per_key",
     """SELECT DISTINCT location_num, timequarter, flag, price, generation_date FROM (

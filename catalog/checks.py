@@ -76,6 +76,7 @@ def q01(v: Views) -> DataFrame:
         v.sales_15min,
         v.control_sales(v.sales_15min),
         AS_OF,
+        (v.versions("sales_daily", v.sales_daily), v.versions("sales_15min", v.sales_15min)),
     )
 
 
@@ -86,6 +87,7 @@ def q02(v: Views) -> DataFrame:
         v.items_15min,
         v.control_items(v.items_15min),
         AS_OF,
+        (v.versions("items_daily", v.items_daily), v.versions("items_15min", v.items_15min)),
     )
 
 
@@ -215,13 +217,22 @@ V["check_items_redundancy"] = _q07_sql("forecast_items_redundancy", "redundancy"
 
 
 def check_metrics(v: Views, h: str) -> DataFrame:
+    sales, trans = v.forecast_sales(h), v.forecast_trans(h)
     return C.forecast_check_metrics(
-        v.forecast_sales(h), v.forecast_trans(h), runs(v), h, AS_OF, redundancy=h == "redundancy"
+        sales,
+        trans,
+        runs(v),
+        h,
+        AS_OF,
+        redundancy=h == "redundancy",
+        versions=(v.versions(f"forecast_sales_{h}", sales), v.versions(f"forecast_trans_{h}", trans)),
     )
 
 
 def check_items(v: Views, h: str) -> DataFrame:
-    return C.forecast_check_items(v.forecast_items(h), v.expected_products, runs(v), h, AS_OF)
+    items = v.forecast_items(h)
+    versions = v.versions(f"forecast_items_{h}", items)
+    return C.forecast_check_items(items, v.expected_products, runs(v), h, AS_OF, versions=versions)
 
 
 for _h in HORIZONS:
@@ -383,23 +394,23 @@ def _(v):
     return C.passed_stores(*_check_tables(v))
 
 
+_PASSED_REDUNDANCY = f"""{_PADDED} FROM ({_flagged(["check_items_redundancy"], 1)})
+      JOIN ({_flagged(["check_metrics_redundancy"], 1)}) USING (location_num)
+      WHERE location_num NOT IN ({_flagged(["check_items_redundancy"], 0)} UNION
+        {_flagged(["check_metrics_redundancy"], 0, "coalesce(location_num, 0)")})"""
+
+
 @query(
     "q10_passed_stores_baseline",
-    f"""{_PADDED} FROM passed_both WHERE location_num NOT IN (SELECT location_num FROM failed_stores
-      UNION SELECT location_num FROM location_list WHERE forecast_type = 'LSTM')""",
+    f"""{_PASSED_REDUNDANCY} AND location_num NOT IN
+      (SELECT location_num FROM location_list WHERE forecast_type = 'LSTM')""",
 )
 def _(v):
     modelled = v.location_list.where("forecast_type = 'LSTM'")
-    return C.passed_stores(*_check_tables(v), modelled=modelled)
+    return C.passed_stores(*_stored_checks(v, "redundancy"), modelled=modelled)
 
 
-@query(
-    "q10_passed_stores_redundancy",
-    f"""{_PADDED} FROM ({_flagged(["check_items_redundancy"], 1)})
-      JOIN ({_flagged(["check_metrics_redundancy"], 1)}) USING (location_num)
-      WHERE location_num NOT IN ({_flagged(["check_items_redundancy"], 0)} UNION
-        {_flagged(["check_metrics_redundancy"], 0, "coalesce(location_num, 0)")})""",
-)
+@query("q10_passed_stores_redundancy", _PASSED_REDUNDANCY)
 def _(v):
     return C.passed_stores(*_stored_checks(v, "redundancy"))
 
@@ -557,14 +568,14 @@ for _flavour, _tag in FLAVOURS.items():
         )
 
 
-def _summary_sql(flags: dict[str, str]) -> str:
+def _summary_sql(flags: dict[str, str], alerts: str = "alerts") -> str:
     return (
         "SELECT business_date, "
         + ", ".join(
             f"CAST(count(DISTINCT location_num) FILTER ({c}) AS BIGINT) {n}"
             for n, c in flags.items()
         )
-        + " FROM alerts GROUP BY 1"
+        + f" FROM {alerts} GROUP BY 1"
     )
 
 
@@ -593,13 +604,17 @@ def _(v):
     return D.reported(D.alert_summary(DocumentChecks(v).alerts, "limits"), 25)
 
 
+V["summary_zero_fallback"] = _summary_sql(_FLAGS["zero"], "alerts_fallback")
+
+
 @query(
     "q14_zero_summary",
-    "SELECT * FROM summary_zero WHERE "
+    "SELECT * FROM summary_zero_fallback WHERE "
     + " OR ".join(f"{n} <> 0" for n in _FLAGS["zero"]),
 )
 def _(v):
-    return D.reported(D.alert_summary(DocumentChecks(v).alerts, "zero"))
+    """Over the fallback documents, which Sundays are among."""
+    return D.reported(D.alert_summary(DocumentChecks(v, "fallback").alerts, "zero"))
 
 
 # -- missing documents -----------------------------------------------------------------

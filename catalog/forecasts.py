@@ -531,7 +531,7 @@ def input_metrics(v: Views) -> DataFrame:
         facts,
         facts.select(LOC),
         v.calendar_daily,
-        last_good(v),
+        v.stored("last_good", lambda: last_good(v), LOC),
         v.saturday_off,
         PAST_METRICS,
         AS_OF,
@@ -550,7 +550,7 @@ def _input_items(v: Views) -> DataFrame:
         facts,
         model_input.modelled_pairs(facts, v.combinations),
         v.calendar_daily,
-        last_good(v),
+        v.stored("last_good", lambda: last_good(v), LOC),
         v.saturday_off,
         PAST_ITEMS,
         AS_OF,

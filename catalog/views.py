@@ -23,7 +23,7 @@ from tillcast.functions.calendar import (
 from tillcast.functions.numeric import dec2
 from tillcast.operators.aggregates import rollup_daily
 from tillcast.operators.predicates import NO_DATE
-from tillcast.operators.snapshot import dedupe_latest
+from tillcast.operators.snapshot import dedupe_latest, newest_versions
 from tillcast.session import new_path
 
 AS_OF = date(2001, 7, 1)
@@ -70,6 +70,12 @@ class Views:
         path, schema = _LOADED[key]
         return self.spark.read.schema(schema).parquet(path)
 
+    def versions(self, name: str, facts: DataFrame, *keys: str) -> DataFrame:
+        """Control table of a stored table's newest version per key, kept with it."""
+        keys = keys or (LOC,)
+        stem = "_".join(("versions", name, *keys))
+        return self.stored(stem, lambda: newest_versions(facts, list(keys)))
+
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 GENERATION = "generation_date"
+LAGGING = 100  # keys that a scan may name
 
 
 def not_before(df: DataFrame, col: str, bounds: DataFrame, bound: str) -> DataFrame:
@@ -21,21 +22,63 @@ def not_before(df: DataFrame, col: str, bounds: DataFrame, bound: str) -> DataFr
 
 
 def latest_snapshot(
-    df: DataFrame, col: str = GENERATION, keys: list[str] | None = None
+    df: DataFrame,
+    col: str = GENERATION,
+    keys: list[str] | None = None,
+    control: DataFrame | None = None,
 ) -> DataFrame:
     """Rows of the newest version, over the table or per key.
 
     The maximum is a partially aggregated group-by of two or three columns,
     and the table is filtered with it by a scalar sub-query or a semi join.
     No row of the table enters a window, so one store with a third of the rows
-    does not end up in one task.
+    does not end up in one task.  With a ``control`` table (:func:`newest_versions`)
+    the table is read once, and only where its keys say.
     """
     if not keys:
         return df.where(F.col(col) == df.agg(F.max(col)).scalar())
+    if control is not None:
+        return current(df, control, col, keys)
     newest = df.groupBy(*keys).agg(F.max(col).alias(col))
     return not_before(df, col, newest, col).join(newest, [*keys, col], "left_semi")
 
 
+def newest_versions(
+    loads: DataFrame, keys: list[str], col: str = GENERATION, control: DataFrame | None = None
+) -> DataFrame:
+    """Control table: each key's newest version, from new ``loads`` and the one before.
+
+    Only the loads are read, so keeping it up to date costs as much as a load, however
+    long the history is.  A load that arrives late or twice changes nothing.
+    """
+    newest = loads.groupBy(*keys).agg(F.max(col).alias(col))
+    if control is None:
+        return newest
+    both = control.select(*keys, col).unionByName(newest)
+    return both.groupBy(*keys).agg(F.max(col).alias(col))
+
+
+def current(
+    df: DataFrame, control: DataFrame, col: str = GENERATION, keys: list[str] | None = None
+) -> DataFrame:
+    """Rows of the versions that a control table lists, in one scan of the table.
+
+    The scan is bounded by the oldest of the newest versions.  The first ``LAGGING`` keys
+    of the first column, by their newest version, are left out of that bound and named in
+    the filter instead: a store closed for years reads its own row groups only, and all others
+    from where they are.
+    """
+    keys = keys or [c for c in control.columns if c != col]
+    first = keys[0]
+    stores = control.groupBy(first).agg(F.min(col).alias(col)).where(F.col(first).isNotNull())
+    oldest = stores.orderBy(col, first).limit(LAGGING + 1).collect()
+    if oldest:
+        bound = F.col(col) >= F.lit(oldest[-1][col])
+        named = [r[first] for r in oldest if r[col] is not None and r[col] < oldest[-1][col]]
+        df = df.where((bound | F.col(first).isin(named)) if named else bound)
+    return df.join(control.select(*keys, col), [*keys, col], "left_semi")
+
+
 def dedupe_latest(
     df: DataFrame, keys: list[str], values: list[str], col: str = GENERATION
 ) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillcast.functions.calendar import HORIZONS, horizon_dates, is_closed_holiday
@@ -13,7 +13,7 @@ from tillcast.operators.aggregates import all_passed, distinct_days
 from tillcast.operators.joins import not_in, scaffold
 from tillcast.operators.predicates import closed_day, with_saturday_off
 from tillcast.operators.sets import union_all
-from tillcast.operators.snapshot import GENERATION, latest_snapshot
+from tillcast.operators.snapshot import GENERATION, current, latest_snapshot
 
 LOC = "location_num"
 DAY = "business_date"
@@ -23,12 +23,22 @@ def _differs(a: Column, b: Column) -> Column:
     return F.coalesce(a != b, F.lit(False))
 
 
-def _newest(df: DataFrame) -> DataFrame:
-    return latest_snapshot(df, keys=[LOC])
+def _newest(df: DataFrame, control: DataFrame | None = None) -> DataFrame:
+    return latest_snapshot(df, keys=[LOC], control=control)
 
 
-def _bound(df: DataFrame, agg, name: str) -> DataFrame:
-    return _newest(df).groupBy(LOC).agg(agg(DAY).alias(name))
+def _pruned(df: DataFrame, control: DataFrame | None) -> DataFrame:
+    """The rows to look for newest versions in: all, or those a control table lists."""
+    known = df.where(F.col(LOC).isNotNull() & F.col(GENERATION).isNotNull())
+    return known if control is None else current(known, control, GENERATION, [LOC])
+
+
+def _bounded_days(per_day: DataFrame) -> DataFrame:
+    """Days of each store's newest version with its first and last day, from rows per day."""
+    store = Window.partitionBy(LOC)  # a few dates each
+    newest = per_day.withColumn("_newest", F.max(GENERATION).over(store))
+    newest = newest.where(F.col(GENERATION) == F.col("_newest")).drop("_newest")
+    return newest.withColumns({"_low": F.min(DAY).over(store), "_high": F.max(DAY).over(store)})
 
 
 def run_dates(short_daily: DataFrame) -> DataFrame:
@@ -44,34 +54,49 @@ def forecast_check_metrics(
     as_of: date,
     rows_per_day: int = 1,
     redundancy: bool = False,
+    versions: tuple[DataFrame | None, DataFrame | None] = (None, None),
 ) -> DataFrame:
     """First and last date and rows per day of both metric forecasts.
 
     A date found only on the transaction side reports NULL store and date.
-    The redundancy flavour joins inner and takes both bounds from sales.
+    The redundancy flavour joins inner and takes both bounds from sales.  Each table is
+    read once and counted per day; bounds and runs come from these few rows.  ``versions``
+    are the control tables of both.
     """
     first, last = HORIZONS[horizon]
-    newest = sales.groupBy(LOC).agg(F.max(GENERATION).alias(GENERATION))
-    a = (
-        _newest(sales)
-        .groupBy(LOC, GENERATION, DAY)
-        .agg(F.count(F.lit(1)).alias("sales_rows"))
-        .withColumn("_in_sales", F.lit(True))
-    )
-    c = (
-        trans.join(newest, [LOC, GENERATION], "left_semi")
-        .groupBy(LOC, GENERATION, DAY)
-        .agg(F.count(F.lit(1)).alias("trans_rows"))
+    key = [LOC, GENERATION, DAY]
+
+    def counted(df: DataFrame, control: DataFrame | None, name: str) -> DataFrame:
+        return _pruned(df, control).groupBy(*key).agg(F.count(F.lit(1)).alias(name))
+
+    trans_versions = versions[1]
+    if trans_versions is not None:  # transactions are also read at the version of the sales
+        trans_versions = trans_versions.unionByName(versions[0]).distinct()
+    both = counted(sales, versions[0], "sales_rows").unionByName(
+        counted(trans, trans_versions, "trans_rows"), allowMissingColumns=True
     )
-    how = "inner" if redundancy else "full_outer"
-    low = _bound(sales, F.min, "_low")
-    high = _bound(sales if redundancy else trans, F.max, "_high")
-    joined = (
-        a.join(c, [LOC, GENERATION, DAY], how)
-        .join(low, LOC, "left")
-        .join(high, LOC, "left")
-        .join(runs, LOC, "left")
+    store = Window.partitionBy(LOC)  # a few dates each
+    days = (
+        both.groupBy(*key)
+        .agg(F.max("sales_rows").alias("sales_rows"), F.max("trans_rows").alias("trans_rows"))
+        .withColumn("_in_sales", F.col("sales_rows").isNotNull())
+        .withColumns(
+            {
+                "_sales_run": F.max(F.when(F.col("_in_sales"), F.col(GENERATION))).over(store),
+                "_trans_run": F.max(
+                    F.when(F.col("trans_rows").isNotNull(), F.col(GENERATION))
+                ).over(store),
+            }
+        )
     )
+    of_run = F.when(F.col("_in_sales") & (F.col(GENERATION) == F.col("_sales_run")), F.col(DAY))
+    of_trans = F.col("trans_rows").isNotNull() & (F.col(GENERATION) == F.col("_trans_run"))
+    last_day = of_run if redundancy else F.when(of_trans, F.col(DAY))
+    days = days.withColumns({"_low": F.min(of_run).over(store), "_high": F.max(last_day).over(store)})
+    compared = days.where(F.col(GENERATION) == F.col("_sales_run"))
+    if redundancy:
+        compared = compared.where(F.col("_in_sales") & F.col("trans_rows").isNotNull())
+    joined = compared.join(runs, LOC, "left")
     wrong = (
         _differs(F.col("_low"), F.date_add("run_date", first))
         | _differs(F.col("_high"), F.date_add("run_date", last))
@@ -92,21 +117,24 @@ def forecast_check_metrics(
 
 
 def forecast_check_15min(
-    intervals: DataFrame, runs: DataFrame, horizon: str, as_of: date, rows_per_day: int = 96
+    intervals: DataFrame,
+    runs: DataFrame,
+    horizon: str,
+    as_of: date,
+    rows_per_day: int = 96,
+    versions: DataFrame | None = None,
 ) -> DataFrame:
     """Same for one table that holds both metrics."""
     first, last = HORIZONS[horizon]
-    newest = _newest(intervals)
-    bounds = newest.groupBy(LOC).agg(F.min(DAY).alias("_low"), F.max(DAY).alias("_high"))
-    per_day = newest.groupBy(LOC, GENERATION, DAY).agg(F.count(F.lit(1)).alias("_rows"))
+    counted = _pruned(intervals, versions).groupBy(LOC, GENERATION, DAY)
+    per_day = _bounded_days(counted.agg(F.count(F.lit(1)).alias("_rows")))
     wrong = (
         _differs(F.col("_low"), F.date_add("run_date", first))
         | _differs(F.col("_high"), F.date_add("run_date", last))
         | _differs(F.col("_rows"), F.lit(rows_per_day))
     )
     return (
-        per_day.join(bounds, LOC)
-        .join(runs, LOC, "left")
+        per_day.join(runs, LOC, "left")
         .select(
             F.col(GENERATION).alias("forecast_generation_date"),
             DAY,
@@ -124,14 +152,14 @@ def forecast_check_items(
     horizon: str,
     as_of: date,
     rows_per_item: int = 1,
+    versions: DataFrame | None = None,
 ) -> DataFrame:
     """Enough distinct items per date, the right dates and rows per item."""
     first, last = HORIZONS[horizon]
-    newest = _newest(items)
-    bounds = newest.groupBy(LOC).agg(F.min(DAY).alias("_low"), F.max(DAY).alias("_high"))
-    per_day = newest.groupBy(LOC, GENERATION, DAY).agg(
+    per_day = _newest(items, versions).groupBy(LOC, GENERATION, DAY).agg(
         F.countDistinct("item_id").alias("actual_items"), F.count(F.lit(1)).alias("_rows")
     )
+    per_day = _bounded_days(per_day)
     wanted = expected.select(LOC, F.col("products").alias("expected_items")).distinct()
     wrong = (
         F.coalesce(F.col("actual_items") < F.col("expected_items"), F.lit(False))
@@ -140,8 +168,7 @@ def forecast_check_items(
         | _differs(F.col("actual_items") * rows_per_item, F.col("_rows"))
     )
     return (
-        per_day.join(bounds, LOC)
-        .join(runs, LOC, "left")
+        per_day.join(runs, LOC, "left")
         .join(wanted, LOC, "left")
         .select(
             F.col(GENERATION).alias("forecast_generation_date"),

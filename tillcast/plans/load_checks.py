@@ -14,6 +14,7 @@ from tillcast.operators.sets import key_difference, key_intersection
 from tillcast.operators.snapshot import GENERATION, gap_stores, latest_snapshot, not_before
 
 LOC = "location_num"
+DAY = "business_date"
 
 
 def any_differs(pairs: list[tuple[Column, Column]]) -> Column:
@@ -35,27 +36,59 @@ def _newest(df: DataFrame) -> DataFrame:
     return latest_snapshot(df, keys=[LOC])
 
 
-def _loaded(df: DataFrame, measures: dict[str, str]) -> DataFrame:
-    extra = [
-        F.max("business_date").alias("business_date_max"),
+Part = tuple[DataFrame, "DataFrame | None", dict[str, str], bool]
+
+
+def _folded(parts: list[Part]) -> DataFrame:
+    """Totals of several tables' newest loads side by side, in one grouped pass.
+
+    Every part is (table, its control table if there is one, total -> measure, cast first).
+    Rows of all parts go into one shuffle by store, already summed per part; a store counts
+    if every table has it.  The first table also gives its newest date and version.
+    """
+    tagged, sums, present = None, [], []
+    for k, (df, control, measures, cast_first) in enumerate(parts):
+        newest = latest_snapshot(df, keys=[LOC], control=control)
+        rows = newest.select(
+            F.lit(k).alias("_part"),
+            LOC,
+            *[F.col(m).alias(name) for name, m in measures.items()],
+            *([DAY, GENERATION] if k == 0 else []),
+        )
+        tagged = rows if tagged is None else tagged.unionByName(rows, allowMissingColumns=True)
+        sums += [dsum(F.col(name), cast_first).alias(name) for name in measures]
+        present.append(F.max(F.col("_part") == k))
+    every = present[0]
+    for one in present[1:]:
+        every = every & one
+    loaded = [
+        F.max(DAY).alias("business_date_max"),
         F.max(GENERATION).alias("dataprep_generation_date"),
     ]
-    return _totals(_newest(df), measures, False, extra)
+    totals = tagged.groupBy(LOC).agg(*sums, *loaded, every.alias("_every"))
+    return totals.where("_every").drop("_every")
 
 
 def reconcile_metrics(
-    daily: DataFrame, control_daily: DataFrame, m15: DataFrame, control_15: DataFrame, as_of: date
+    daily: DataFrame,
+    control_daily: DataFrame,
+    m15: DataFrame,
+    control_15: DataFrame,
+    as_of: date,
+    versions: tuple[DataFrame | None, DataFrame | None] = (None, None),
 ) -> DataFrame:
-    """Totals of each table's newest load per store against control totals."""
+    """Totals of each table's newest load per store against control totals.
+
+    ``versions`` are the control tables of newest versions of both grains.
+    """
     sales, trans = "sales_sub_total", "trans_count"
-    joined = side_by_side(
+    by_day, by_interval = versions
+    joined = _folded(
         [
-            _loaded(daily, {"sales_daily": sales, "trans_daily": trans}),
-            _totals(
-                _newest(control_daily), {"sales_daily_qc": sales, "trans_daily_qc": trans}, True
-            ),
-            _totals(_newest(m15), {"sales_15min": sales, "trans_15min": trans}, False),
-            _totals(_newest(control_15), {"sales_15min_qc": sales, "trans_15min_qc": trans}, True),
+            (daily, by_day, {"sales_daily": sales, "trans_daily": trans}, False),
+            (control_daily, by_day, {"sales_daily_qc": sales, "trans_daily_qc": trans}, True),
+            (m15, by_interval, {"sales_15min": sales, "trans_15min": trans}, False),
+            (control_15, by_interval, {"sales_15min_qc": sales, "trans_15min_qc": trans}, True),
         ]
     )
     pairs = [
@@ -69,16 +102,22 @@ def reconcile_metrics(
 
 
 def reconcile_items(
-    daily: DataFrame, control_daily: DataFrame, i15: DataFrame, control_15: DataFrame, as_of: date
+    daily: DataFrame,
+    control_daily: DataFrame,
+    i15: DataFrame,
+    control_15: DataFrame,
+    as_of: date,
+    versions: tuple[DataFrame | None, DataFrame | None] = (None, None),
 ) -> DataFrame:
     """Same for items; each grain is compared with the control of the other."""
     qty = "sum_daily_quantity"
-    joined = side_by_side(
+    by_day, by_interval = versions
+    joined = _folded(
         [
-            _loaded(daily, {"quantity_daily": qty}),
-            _totals(_newest(control_daily), {"quantity_daily_qc": qty}, False),
-            _totals(_newest(i15), {"quantity_15min": qty}, False),
-            _totals(_newest(control_15), {"quantity_15min_qc": qty}, False),
+            (daily, by_day, {"quantity_daily": qty}, False),
+            (control_daily, by_day, {"quantity_daily_qc": qty}, False),
+            (i15, by_interval, {"quantity_15min": qty}, False),
+            (control_15, by_interval, {"quantity_15min_qc": qty}, False),
         ]
     )
     pairs = [

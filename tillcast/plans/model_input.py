@@ -51,7 +51,7 @@ def _calendar_rows(
     days = series.where(first <= last).withColumn(
         "business_date", F.explode(F.sequence(first, last))
     )
-    return days.join(calendar.select("business_date", *columns), "business_date")
+    return days.join(calendar.select("business_date", *columns).distinct(), "business_date")
 
 
 def model_input(
@@ -71,6 +71,7 @@ def model_input(
     Actuals count up to the store's last good date; later past days and all
     future days are 0.  ``series`` lists the keys: a store, or a store and
     product.  ``prepared_on`` is a check table whose newest version is stamped.
+    ``last_good`` is used several times: a stored control table.
     """
     keys = series.columns
     today = F.lit(as_of - timedelta(days=DELAY))
@@ -79,9 +80,10 @@ def model_input(
         dated, calendar, F.date_sub("max_date", past - 1), today, FEATURES
     )
     starts = last_good.select(F.date_sub("max_date", past - 1).alias("_start"))
+    # Copies are dropped here, before the grid is built, which has no others.
     actuals = not_before(
         final.select(*keys, "business_date", *measures), "business_date", starts, "_start"
-    )
+    ).distinct()
     # Only days up to the last good date may match, so the bound is part of the key.
     bounded = (
         actuals.join(last_good.select(LOC, "max_date"), LOC)
@@ -105,7 +107,7 @@ def model_input(
     ).withColumns({m: zero for m in measures})
     stamp = prepared_on.agg(F.max("generation_date")).scalar()
     return (
-        observed.unionByName(ahead).distinct().withColumn("dataprep_generation_date", stamp)
+        observed.unionByName(ahead).withColumn("dataprep_generation_date", stamp)
     )
 
 
