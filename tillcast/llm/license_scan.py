@@ -1,25 +1,38 @@
-"""License scan: MinHash over windows retrieves templates, containment in the window verifies.
-
-A template is a notice of one sentence or a whole license text.  Its band keys are hashes
-of windows of three words, or of five for a template of ``LONG`` shingles; of a text of
-``SAMPLED`` shingles each run of ``RUN`` windows gives only its smallest hash.  A document's
-windows, one at every word, are looked up among all band keys at once, and a collision
-says which template should start where.  A template counts if its own window of the
-document, as long as the template with some room, holds at least ``LEAST`` of its distinct
-two-word shingles.  Of two templates found in one place the one with more shingles counts,
-so the LGPL is not the GPL, and a notice inside a license text is not named apart.  Column
-functions only, inside the row: no text is shuffled.
+"""License scan: MinHash bands over overlapping windows retrieve templates, containment verifies.
+
+A template is a notice of one sentence or a whole license text: L two-word shingles, n of
+them distinct.  Templates of one L share a class.  A text is covered by overlapping
+windows of each class, ``ROOM`` times L places and a step, which is L / ``STEPS``; so every
+stretch of up to ``ROOM`` times L places lies in one of them whole.  A window's
+signature is the minima, under ``BANDS`` times ``BAND`` hash functions, of the shingles that
+any template of the class holds; other words cannot change what a template shares with
+the window.  Windows and templates that agree on a band of ``BAND`` minima meet.
+
+A window that holds 80 % of a template shares 0.8 n shingles with it.  What else counts in it is
+no more than the class holds, u in all, nor than the window's other places: the Jaccard
+similarity is at least 0.8 n / min(u, 0.2 n + 1.375 L), which for each template here is 0.5
+or more (:func:`worst`).  With 24 bands of two the window is retrieved with a probability of
+at least 1 - (1 - 0.5 ** 2) ** 24 = 0.999 (:func:`retrieval`).  Retrieved windows are verified exactly: the template counts if the
+window holds at least ``LEAST`` of its shingles.  Of two templates found in one place the
+one with more shingles counts, so the LGPL is not the GPL, and a notice inside a license
+text is not named apart.
+
+Built-in functions only.  The text is read once; what goes on from there are the places of
+words that some template holds, keyed by text, class and window.  The tables of the
+templates, which are a parameter and small, are broadcast.
 """
 
 from __future__ import annotations
 
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-LONG = 40  # shingles
-SAMPLED, RUN = 400, 8
+from tillcast.llm.common import stored
+
+BANDS, BAND = 24, 2
+ROOM, STEPS = 1.25, 8
 LEAST = 0.8
 #: Short statements by which licenses are named in texts.
 NOTICES = (
@@ -65,97 +78,104 @@ def shingles(text: Column) -> Column:
     return F.filter(F.zip_with(hashed, follow, lambda a, b: F.when(b.isNotNull(), F.xxhash64(a, b))), lambda x: x.isNotNull())
 
 
-def windows(hashes: str, step: int) -> Column:
-    """A hash of each element and the one ``step`` after it; null at the end."""
-    follow = F.slice(hashes, step + 1, F.greatest(F.size(hashes) - step, F.lit(0)))
-    return F.zip_with(hashes, follow, lambda a, b: F.when(b.isNotNull(), F.xxhash64(a, b)))
+def retrieval(similarity: float, bands: int = BANDS, band: int = BAND) -> float:
+    """Probability that a window and a template of this Jaccard similarity share a band."""
+    return 1 - (1 - similarity**band) ** bands
 
 
-def windowed(df: DataFrame) -> DataFrame:
-    """With ``three`` and ``five``: hashes of the windows of so many words at each shingle of ``s``."""
-    return df.withColumn("three", windows("s", 1)).withColumn("five", windows("three", 2))
+def worst(length: int, distinct: int, held: int) -> float:
+    """The least Jaccard similarity of a window with ``LEAST`` of a template, its class holding so many."""
+    other = (1 - LEAST) * distinct + (ROOM + 1 / STEPS) * length
+    return LEAST * distinct / min(max(held, distinct), other)
 
 
-def sampled(keys: list) -> list[int]:
-    """Positions of a template's band keys."""
-    at = [k for k, x in enumerate(keys) if x is not None]
-    if len(at) < SAMPLED:
-        return at
-    return sorted({min(at[k : k + RUN], key=lambda p: keys[p]) for k in range(len(at) - RUN + 1)})
+MARK = 0  # stands in every text, so that none is lost
 
 
-def longs(values) -> Column:
-    """A constant array; one string goes to the JVM instead of a call for each value."""
-    return F.split(F.lit(" ".join(map(str, values))), " ").cast("array<bigint>")
+def known_templates(spark: SparkSession, templates: tuple = TEMPLATES) -> list[tuple[str, list[int]]]:
+    """(name, shingle hashes in the text's order), sorted by name."""
+    table = spark.createDataFrame(list(templates), "name string, text string")
+    known = table.select("name", shingles(F.col("text")).alias("s")).collect()
+    if any(len(r.s) < 2 for r in known):
+        raise ValueError("a template needs three words")
+    return sorted((r.name, list(r.s)) for r in known)
 
 
-def _starts(band: list, steps: Column):
-    """(template, start) of all band keys equal to a hit's; starts are rounded down to steps."""
-    key, of, at = (longs(x) for x in zip(*sorted(band)))
+def _minima() -> list[Column]:
+    return [F.min(F.xxhash64("key", F.lit(i))).alias(f"m{i}") for i in range(BANDS * BAND)]
 
-    def starts(hit: Column) -> Column:
-        same = F.array_compact(F.transform(key, lambda k, n: F.when(k == hit["key"], n + 1)))
 
-        def start(n: Column) -> Column:
-            t = F.element_at(of, n)
-            step = F.element_at(steps, (t + 1).cast("int"))
-            return F.struct(t.alias("t"), (F.floor((hit["at"] - F.element_at(at, n)) / step) * step).alias("start"))
+def _bands(signed: DataFrame, *keep: str) -> DataFrame:
+    """(keep, band): a hash for each band of a signature ``m0``, ``m1``, ..."""
+    keys = [F.xxhash64(F.lit(b), *(f"m{b * BAND + r}" for r in range(BAND))) for b in range(BANDS)]
+    return signed.select(*keep, F.explode(F.array(*keys)).alias("band"))
 
-        return F.transform(same, start)
 
-    return starts
+def _windows(places: DataFrame) -> DataFrame:
+    """Each place in all windows of its class that hold it, by the windows' numbers."""
+    last = F.floor(F.col("at") / F.col("step"))
+    first = F.greatest(F.floor((F.col("at") - F.col("width")) / F.col("step")) + 1, F.lit(0))
+    return places.withColumn("window", F.explode(F.sequence(first.cast("int"), last.cast("int"))))
 
 
 def scanned(docs: DataFrame, templates: tuple = TEMPLATES) -> DataFrame:
     """One row per document: doc_id, licenses (names in order, joined by commas), n_licenses.
 
     Null, empty and short texts hold none.  Repeated rows are documents of their own, and
-    equal texts get equal results.  The templates, (name, text) of three words or more, are
-    a parameter; several may share a name.
+    equal texts get equal results.  Long texts cost in proportion to their words.  The
+    templates, (name, text) of three words or more, are a parameter; several may share a
+    name.  Other columns are not read.
     """
-    table = docs.sparkSession.createDataFrame(list(templates), "name string, text string")
-    known = windowed(table.select("name", shingles(F.col("text")).alias("s")))
-    known = sorted((r.name, r.s, r.three, r.five) for r in known.collect())
-    if any(len(s) < 2 for _, s, _, _ in known):
-        raise ValueError("a template needs three words")
-    bands = {"three": [], "five": []}
-    for t, (_, s, three, five) in enumerate(known):
-        width, keys = ("five", five) if len(s) >= LONG else ("three", three)
-        bands[width] += [(keys[p], t, p) for p in sampled(keys)]
-    size = [len(s) for _, s, _, _ in known]
-    names = F.array(*(F.lit(n) for n, *_ in known))
-    sizes, steps, room = longs(size), longs(max(1, n // 16) for n in size), longs(max(2, n // 4) for n in size)
-    needed = longs(-int(-LEAST * len(set(s)) // 1) for _, s, _, _ in known)
-    content = F.array(*(longs(dict.fromkeys(s)) for _, s, _, _ in known))
-
+    spark = docs.sparkSession
+    known = known_templates(spark, templates)
+    content, classes = [], {}
+    for t, (_, found) in enumerate(known):
+        size, least = len(found), -int(-LEAST * len(set(found)) // 1)
+        content += [(t, size, least, x) for x in dict.fromkeys(found)]
+        step = max(1, size // STEPS)
+        classes[size] = (size, step, -int(-ROOM * size // 1) + step, min(least, classes.get(size, (least,))[-1]))
+    contents = spark.createDataFrame(content, "template int, size int, least int, key long")
+    classes = spark.createDataFrame(list(classes.values()), "size int, step int, width int, enough int")
+    keys = contents.select("key").union(spark.createDataFrame([(MARK,)], "key long")).distinct()
+
+    # the places of templates' shingles in the texts
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    df = windowed(docs.select("doc_id", shingles(text).alias("s")))
-    found = []
-    for width, band in bands.items():
-        if band:
-            values = sorted({key for key, _, _ in band})
-            hit = lambda x, n: F.when(x.isin(values), F.struct(n.alias("at"), x.alias("key")))  # noqa: B023, E731
-            found.append(F.flatten(F.transform(F.array_compact(F.transform(width, hit)), _starts(band, steps))))
-    df = df.select("s", "doc_id", F.array_distinct(F.concat(*found)).alias("found"))
-
-    def verified(c: Column) -> Column:
-        t = (c["t"] + 1).cast("int")
-        spare = F.element_at(room, t)
-        low = F.greatest(c["start"] - spare, F.lit(0))
-        high = c["start"] + F.element_at(sizes, t) + F.element_at(steps, t) + spare
-        held = F.size(F.array_intersect(F.slice("s", (low + 1).cast("int"), F.greatest(high - low, F.lit(0)).cast("int")), F.element_at(content, t)))
-        middle = c["start"] + F.floor(F.element_at(sizes, t) / 2)
-        end = c["start"] + F.element_at(sizes, t)
-        return F.when(
-            held >= F.element_at(needed, t),
-            F.struct(c["t"].alias("t"), c["start"].alias("start"), middle.alias("middle"), end.alias("end"), held.alias("held")),
-        )
-
-    df = df.select("doc_id", F.array_compact(F.transform("found", verified)).alias("sure"))
-
-    def beaten(c: Column) -> Column:
-        return F.exists("sure", lambda o: (o["held"] > c["held"]) & (o["start"] <= c["middle"]) & (c["middle"] < o["end"]))
-
-    left = F.transform(F.filter("sure", lambda c: ~beaten(c)), lambda c: F.element_at(names, (c["t"] + 1).cast("int")))
-    df = df.select("doc_id", F.array_sort(F.array_distinct(left)).alias("names"))
-    return df.select("doc_id", F.array_join("names", ",").alias("licenses"), F.size("names").cast("long").alias("n_licenses"))
+    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), shingles(text).alias("s"))
+    marked = F.concat("s", F.array(F.lit(MARK).cast("long")))
+    places = rows.select("doc_id", "row", F.posexplode(marked).alias("at", "key"))
+    places = stored(places.join(F.broadcast(keys), "key"), "places")
+    held = F.broadcast(contents.select("size", "key").distinct().join(classes, "size"))
+    places_of = places.where(F.col("key") != MARK).select("row", "at", "key").join(held, "key")
+
+    # windows of texts that hold enough of a class at all
+    enough = places_of.groupBy("row", "size", "enough", "key").agg(F.lit(1)).groupBy("row", "size", "enough")
+    enough = enough.agg(F.count("*").alias("held")).where("held >= enough").select("row", "size")
+    members = stored(_windows(places_of.join(enough, ["row", "size"], "left_semi")), "windows")
+    signed = members.groupBy("row", "size", "window", "enough").agg(F.count("*").alias("held"), *_minima())
+    met = _bands(signed.where("held >= enough"), "row", "size", "window")
+    own = contents.groupBy("template", "size").agg(*_minima())
+    found = met.join(F.broadcast(_bands(own, "template", "size")), ["size", "band"])
+    found = found.select("row", "size", "window", "template").distinct()
+
+    # exact containment in the window that was retrieved
+    shared = members.select("row", "size", "window", "at", "key").join(found, ["row", "size", "window"])
+    shared = shared.join(F.broadcast(contents), ["template", "size", "key"])
+    once = shared.groupBy("row", "template", "window", "least", "key").agg(F.min("at").alias("at"), F.max("at").alias("to"))
+    sure = once.groupBy("row", "template", "window", "least").agg(
+        F.count("*").alias("held"), F.min("at").alias("start"), F.max("to").alias("end")
+    )
+    sure = stored(sure.where("held >= least").drop("least"), "sure")
+
+    # a place belongs to the template of which it holds most
+    covered = sure.select("row", "held", F.explode(F.sequence("start", "end")).alias("at"))
+    owner = covered.groupBy("row", "at").agg(F.max("held").alias("most"))
+    middle = F.floor((F.col("start") + F.col("end")) / 2).cast("int")
+    left = sure.withColumn("at", middle).join(owner, ["row", "at"]).where("held = most")
+    names = spark.createDataFrame([(t, name) for t, (name, _) in enumerate(known)], "template int, name string")
+    named = left.select("row", "template").distinct().join(F.broadcast(names), "template")
+    named = named.groupBy("row").agg(F.array_sort(F.collect_set("name")).alias("names"))
+    out = places.where(F.col("key") == MARK).select("doc_id", "row").join(named, "row", "left")
+    found = F.coalesce("names", F.array().cast("array<string>"))
+    return out.select(
+        "doc_id", F.array_join(found, ",").alias("licenses"), F.size(found).cast("long").alias("n_licenses")
+    )
