@@ -24,6 +24,7 @@ templates, which are a parameter and small, are broadcast.
 
 from __future__ import annotations
 
+import json
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -92,9 +93,17 @@ def worst(length: int, distinct: int, held: int) -> float:
 MARK = 0  # stands in every text, so that none is lost
 
 
+def _table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A small table out of one JSON literal, which the JVM reads without Python."""
+    names = [part.split()[0] for part in schema.split(", ")]
+    text = json.dumps([dict(zip(names, row)) for row in rows])
+    array = F.from_json(F.lit(text), f"array<struct<{schema.replace(' ', ':')}>>".replace(",:", ","))
+    return spark.range(1).select(F.explode(array).alias("r")).select("r.*")
+
+
 def known_templates(spark: SparkSession, templates: tuple = TEMPLATES) -> list[tuple[str, list[int]]]:
     """(name, shingle hashes in the text's order), sorted by name."""
-    table = spark.createDataFrame(list(templates), "name string, text string")
+    table = _table(spark, list(templates), "name string, text string")
     known = table.select("name", shingles(F.col("text")).alias("s")).collect()
     if any(len(r.s) < 2 for r in known):
         raise ValueError("a template needs three words")
@@ -134,9 +143,9 @@ def scanned(docs: DataFrame, templates: tuple = TEMPLATES) -> DataFrame:
         content += [(t, size, least, x) for x in dict.fromkeys(found)]
         step = max(1, size // STEPS)
         classes[size] = (size, step, -int(-ROOM * size // 1) + step, min(least, classes.get(size, (least,))[-1]))
-    contents = spark.createDataFrame(content, "template int, size int, least int, key long")
-    classes = spark.createDataFrame(list(classes.values()), "size int, step int, width int, enough int")
-    keys = contents.select("key").union(spark.createDataFrame([(MARK,)], "key long")).distinct()
+    contents = stored(_table(spark, content, "template int, size int, least int, key long"), "templates")
+    classes = _table(spark, list(classes.values()), "size int, step int, width int, enough int")
+    keys = contents.select("key").union(_table(spark, [(MARK,)], "key long")).distinct()
 
     # the places of templates' shingles in the texts
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -171,7 +180,7 @@ def scanned(docs: DataFrame, templates: tuple = TEMPLATES) -> DataFrame:
     owner = covered.groupBy("row", "at").agg(F.max("held").alias("most"))
     middle = F.floor((F.col("start") + F.col("end")) / 2).cast("int")
     left = sure.withColumn("at", middle).join(owner, ["row", "at"]).where("held = most")
-    names = spark.createDataFrame([(t, name) for t, (name, _) in enumerate(known)], "template int, name string")
+    names = _table(spark, [(t, name) for t, (name, _) in enumerate(known)], "template int, name string")
     named = left.select("row", "template").distinct().join(F.broadcast(names), "template")
     named = named.groupBy("row").agg(F.array_sort(F.collect_set("name")).alias("names"))
     out = places.where(F.col("key") == MARK).select("doc_id", "row").join(named, "row", "left")
