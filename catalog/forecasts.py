@@ -753,14 +753,18 @@ V["backfilled"] = """
     AND c.business_date = s.business_date - CAST(target_end - source_end AS INTEGER)"""
 
 
+def repaired_items(v: Views) -> DataFrame:
+    return imputation.repair_series(
+        input_items(v), _SERIES_ITEMS, "sum_daily_quantity", v.saturday_off
+    )
+
+
 @query(
     "k22_backfill_gap",
     "SELECT location_num, product, business_date, round(x, 6) quantity FROM backfilled",
 )
 def _(v):
-    return _series_out(
-        imputation.backfill_gap(k21(v)[0], _SERIES_ITEMS, "sum_daily_quantity")
-    )
+    return _series_out(repaired_items(v))
 
 
 def mean_model(row: np.ndarray) -> float:
@@ -806,7 +810,7 @@ V["scoring"] = f"""
 
 def _scores(v: Views) -> tuple[DataFrame, DataFrame]:
     """Of a store that was rebuilt, only the days since it opened again count as history."""
-    rows = imputation.backfill_gap(k21(v)[0], _SERIES_ITEMS, "sum_daily_quantity")
+    rows = repaired_items(v)
     opened = v.locations.select(LOC, F.col("remodelreopendate").alias("_opened"))
     since = (F.col("_opened") > F.lit(AS_OF)) | (F.col(DAY) >= F.col("_opened"))
     return scoring.score_gated(

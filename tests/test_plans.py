@@ -106,6 +106,35 @@ def test_gap_backfill_lengths(spark):
         assert values_of(got) == brute_backfill(raw, start), n
 
 
+def test_one_pass_equals_the_steps(spark):
+    rng = np.random.default_rng(4)
+    parts = []
+    for store, n in ((1, 88), (2, 95), (3, 130), (4, 40), (5, 57), (6, 90)):
+        raw = np.where(rng.random(n) < 0.25, 0.0, np.round(rng.gamma(2, 5, n), 2))
+        raw[rng.integers(0, n, 4)] *= 40
+        if store == 6:
+            raw[:] = 0
+        part = series(spark, raw.tolist(), D(2000, 11, 20), store)
+        holiday = F.when(F.dayofmonth("business_date") == 25, 1).otherwise(0)
+        parts.append(part.withColumn("holiday", holiday).withColumn("aroundchristmas", holiday))
+    df = parts[0]
+    for part in parts[1:]:
+        df = df.unionByName(part)
+    off = spark.createDataFrame([(2,)], SAT_OFF)
+    keys = ["location_num"]
+    steps = imputation.impute_zeros(df, keys, "x")
+    steps = imputation.backfill_gap(
+        imputation.impute_outliers_by_weekday(steps, keys, "x", off)[0], keys, "x"
+    )
+    once = imputation.repair_series(df, keys, "x", off)
+    assert once.columns == df.columns
+    got, want = ({(r.location_num, r.business_date): r.x for r in d.collect()} for d in (once, steps))
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    plan = once._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+    assert imputation.repair_series(df.limit(0), keys, "x", off).count() == 0
+
+
 def linear(row):
     return float(row.sum() / len(row))
 

@@ -166,3 +166,152 @@ def backfill_gap(
         )
         .select(*df.columns)
     )
+
+
+# -- the whole repair in one pass ---------------------------------------------------------
+
+
+def _let(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, not again wherever it is named."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _share_of(values: Column, share: float) -> Column:
+    """Interpolated quantile of a short array without nulls; null if it is empty."""
+    at = (F.size(values) - 1) * F.lit(share)
+    below, above = F.floor(at), F.ceil(at)
+
+    def between(ordered: Column) -> Column:  # in the order of the built-in percentile
+        low, high = (F.get(ordered, i.cast("int")) for i in (below, above))
+        return F.when(below == above, low).otherwise((above - at) * low + (at - below) * high)
+
+    return F.when(F.size(values) > 0, _let(F.array_sort(values), between))
+
+
+def _per_weekday(values: Column, share: float) -> Column:
+    """A quantile for each weekday 1 to 7 of an array of (dayofweek, x); null x do not count."""
+
+    def of(day: Column) -> Column:
+        mine = F.filter(values, lambda v: (v["dayofweek"] == day) & v["x"].isNotNull())
+        return _let(F.transform(mine, lambda v: v["x"]), lambda xs: _share_of(xs, share))
+
+    return F.transform(F.sequence(F.lit(1), F.lit(7)), of)
+
+
+def repair_series(
+    df: DataFrame,
+    keys: list[str],
+    metric: str,
+    sat_off: DataFrame,
+    head: int = HEAD,
+    future: int = FUTURE,
+    block: int = BLOCK,
+) -> DataFrame:
+    """Zeros, outliers by weekday and the gap of a rebuilt store, in one pass per series.
+
+    The same rows as :func:`impute_zeros`, :func:`impute_outliers_by_weekday` and
+    :func:`backfill_gap` one after the other.  A series is at most a few hundred calendar
+    days, one row per day; it is gathered and sorted once, and every step is an
+    expression over its array.  There is no window and no self join.
+    """
+    columns = [c for c in df.columns if c not in keys]
+    own = F.struct("business_date", *[c for c in columns if c != "business_date"], "_regular")
+    flagged = regular_history(df, sat_off)
+    series = flagged.groupBy(*keys).agg(F.array_sort(F.collect_list(own)).alias("_rows"))
+    rows = F.col("_rows")
+
+    def given(r: Column) -> Column:
+        return r[metric].cast("double")
+
+    def open_day(r: Column, i: Column) -> Column:
+        return (i < head) & (r["dayofweek"] != 7) & (r["holiday"] == 0)
+
+    def paired(value) -> Column:
+        """(dayofweek, x) of every row, x from the row and its 0-based place."""
+        pair = lambda r, i: F.struct(r["dayofweek"].alias("dayofweek"), value(r, i).alias("x"))
+        return F.transform(rows, pair)
+
+    def weekday_of(seven: Column, r: Column) -> Column:
+        return F.get(seven, r["dayofweek"].cast("int") - 1)
+
+    def filled(typical: Column) -> Column:
+        """The values, zeros of open days as the weekday's median of positive days."""
+
+        def value(r: Column, i: Column) -> Column:
+            zero = open_day(r, i) & (given(r) < SOLD)
+            return F.coalesce(F.when(zero, weekday_of(typical, r)).otherwise(given(r)), F.lit(0.0))
+
+        return F.transform(rows, value)
+
+    def cleaned(values: Column) -> Column:
+        """The values, outliers among regular past days as a median of inliers."""
+        past = paired(lambda r, i: F.when((i < head) & r["_regular"], F.get(values, i)))
+        return _let(past, lambda p: _without_outliers(p, values))
+
+    def _without_outliers(past: Column, values: Column) -> Column:
+        fences = F.struct(
+            (F.array_max(F.transform(past, lambda p: p["x"])) > SOLD).alias("any"),
+            _per_weekday(past, 0.25).alias("q1"),
+            _per_weekday(past, 0.75).alias("q3"),
+        )
+
+        def outside(p: Column, f: Column) -> Column:
+            q1, q3 = weekday_of(f["q1"], p), weekday_of(f["q3"], p)
+            far = (p["x"] < q1 - FENCE * (q3 - q1)) | (p["x"] > q3 + FENCE * (q3 - q1))
+            return F.coalesce(f["any"] & far, F.lit(False))
+
+        def medians(f: Column) -> Column:
+            inliers = F.filter(past, lambda p: p["x"].isNotNull() & ~outside(p, f))
+            return _let(
+                inliers,
+                lambda found: F.struct(
+                    _per_weekday(found, 0.5).alias("by_day"),
+                    _let(F.transform(found, lambda p: p["x"]), lambda xs: _share_of(xs, 0.5)).alias("all"),
+                ),
+            )
+
+        def replaced(f: Column, m: Column) -> Column:
+            return F.transform(
+                past,
+                lambda p, i: F.when(
+                    outside(p, f), F.coalesce(weekday_of(m["by_day"], p), m["all"])
+                ).otherwise(F.get(values, i)),
+            )
+
+        return _let(fences, lambda f: _let(medians(f), lambda m: replaced(f, m)))
+
+    def backfilled(clean: Column) -> Column:
+        """The values, the days of a gap copied from the end of the history."""
+        dates = F.transform(rows, lambda r: r["business_date"])
+        gap = F.least(F.size(rows) - (head + future), F.lit(block))
+
+        def copied(days: Column, end: Column, back: Column) -> Column:
+            def value(r: Column, i: Column) -> Column:
+                d = r["business_date"]
+                inside = (gap > 0) & (d <= end) & (d > F.date_sub(end, gap))
+                at = F.array_position(days, F.date_sub(d, back)).cast("int")
+                return F.struct(
+                    r.alias("row"),
+                    F.when(inside, F.when(at > 0, F.get(clean, at - 1))).otherwise(F.get(clean, i)).alias("x"),
+                )
+
+            return F.transform(rows, value)
+
+        def ended(days: Column) -> Column:
+            end = F.date_sub(F.array_max(days), future)
+            same = F.filter(days, lambda d, i: (i < head) & (F.weekday(d) == F.weekday(end)))
+            bounds = F.struct(end.alias("end"), F.datediff(end, F.array_max(same)).alias("back"))
+            return _let(bounds, lambda b: copied(days, b["end"], b["back"]))
+
+        return _let(dates, ended)
+
+    sold = paired(lambda r, i: F.when(open_day(r, i) & (given(r) > SOLD), given(r)))
+    typical = _let(sold, lambda pairs: _per_weekday(pairs, 0.5))
+    result = _let(typical, lambda t: _let(filled(t), lambda f: _let(cleaned(f), backfilled)))
+    out = series.select(*keys, F.explode(result).alias("_r"))
+    return out.select(
+        *[
+            F.col(c) if c in keys else F.col("_r.x").alias(c) if c == metric else F.col(f"_r.row.{c}").alias(c)
+            for c in df.columns
+        ]
+    )
