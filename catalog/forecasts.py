@@ -252,11 +252,10 @@ def _k06_sql(horizon: str, snapshot: bool) -> str:
       AND q.time = r.time"""
 
 
-@query("k06_breakdown_metrics", _k06_sql("short", True))
-def _(v):
+def _k06(v: Views, horizon: str) -> DataFrame:
     return breakdown.breakdown_metrics(
-        v.forecast_sales("short"),
-        v.forecast_trans("short"),
+        v.forecast_sales(horizon),
+        v.forecast_trans(horizon),
         v.metric_ratios("sales_sub_total"),
         v.metric_ratios("trans_count"),
         v.saturday_off,
@@ -264,6 +263,10 @@ def _(v):
     )
 
 
+query("k06_breakdown_metrics", _k06_sql("short", True))(lambda v: _k06(v, "short"))
+query("k06_breakdown_metrics_long", _k06_sql("long", True))(lambda v: _k06(v, "long"))
+
+
 @query("k06_breakdown_metrics_redundancy", _k06_sql("redundancy", False))
 def _(v):
     return breakdown.breakdown_metrics(
@@ -297,18 +300,14 @@ def _k07_sql(horizon: str) -> str:
     WHERE NOT EXISTS (SELECT 1 FROM item_ratios r WHERE {pair})"""
 
 
-@query("k07_breakdown_items", _k07_sql("short"))
-def _(v):
-    return breakdown.breakdown_items(
-        v.forecast_items("short"), v.item_ratios(), v.saturday_off, AS_OF
-    )
+for _horizon in ("short", "long", "redundancy"):
 
+    def _spread(v: Views, horizon: str = _horizon) -> DataFrame:
+        return breakdown.breakdown_items(
+            v.forecast_items(horizon), v.item_ratios(), v.saturday_off, AS_OF
+        )
 
-@query("k07_breakdown_items_redundancy", _k07_sql("redundancy"))
-def _(v):
-    return breakdown.breakdown_items(
-        v.forecast_items("redundancy"), v.item_ratios(), v.saturday_off, AS_OF
-    )
+    query("k07_breakdown_items" + ("" if _horizon == "short" else f"_{_horizon}"), _k07_sql(_horizon))(_spread)
 
 
 def _k08_sql(horizon: str, redundancy: bool) -> str:
@@ -353,6 +352,11 @@ def _(v):
     return _k08(v, "short", False)
 
 
+@query("k08_breakdown_ingredients_long", _k08_sql("long", False))
+def _(v):
+    return _k08(v, "long", False)
+
+
 @query("k08_breakdown_ingredients_redundancy", _k08_sql("redundancy", True))
 def _(v):
     return _k08(v, "redundancy", True)

@@ -7,7 +7,7 @@ from datetime import date, timedelta
 import numpy as np
 from pyspark.sql import functions as F
 
-from tillcast.operators.snapshot import dedupe_latest, latest_snapshot
+from tillcast.operators.snapshot import current, dedupe_latest, latest_snapshot, newest_versions
 from tillcast.plans import (
     breakdown,
     document_checks,
@@ -135,6 +135,25 @@ def test_one_pass_equals_the_steps(spark):
     assert imputation.repair_series(df.limit(0), keys, "x", off).count() == 0
 
 
+def test_a_control_table_reads_what_a_snapshot_reads(spark):
+    start = D(2001, 1, 1)
+    rows = [(s, start + timedelta(v), x) for s in range(1, 150) for v in (3, 10 + s % 4) for x in (1, 2)]
+    rows += [(500, start - timedelta(900), 1), (500, start - timedelta(901), 2), (None, start, 3)]
+    df = spark.createDataFrame(rows, "location_num int, generation_date date, x int")
+    control = newest_versions(df, ["location_num"])
+    want = sorted(map(tuple, latest_snapshot(df, keys=["location_num"]).collect()))
+    assert sorted(map(tuple, latest_snapshot(df, keys=["location_num"], control=control).collect())) == want
+    # a store closed for years does not move the bound: its rows are named
+    plan = current(df, control)._jdf.queryExecution().optimizedPlan().toString()
+    assert "500" in plan and ">= 2001-01-1" in plan
+    assert latest_snapshot(df, keys=["location_num"], control=control.limit(0)).count() == 0
+    # kept from load to load; late and repeated loads change nothing
+    kept = newest_versions(df.where("x = 1"), ["location_num"])
+    for load in (df.where("x = 2"), df.where("generation_date < '2001-01-05'"), df.where("x = 1")):
+        kept = newest_versions(load, ["location_num"], control=kept)
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted(map(tuple, control.collect()), key=repr)
+
+
 def linear(row):
     return float(row.sum() / len(row))
 

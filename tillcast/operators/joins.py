@@ -45,21 +45,24 @@ def scaffold(
 def range_lookback_join(facts: DataFrame, windows: DataFrame) -> DataFrame:
     """Facts of the same weekday with ``ly_min_date <= date < ly_fiscal_date``.
 
-    Right outer: a window without facts keeps one row.  Store and weekday are
-    equi keys and the range is a residual condition of the same join.
+    Right outer: a window without facts keeps one row.  A window's days are listed inside
+    the row, one a week, and met by equality of store and date, so the facts of a large
+    store are spread over its dates and no pair outside a range is compared.
     """
-    f = facts.withColumn("_dow", F.dayofweek("business_date")).alias("f")
-    w = windows.withColumn("_dow", F.dayofweek("prediction_date")).alias("w")
-    on = (
-        (F.col(f"f.{LOC}") == F.col(f"w.{LOC}"))
-        & (F.col("f._dow") == F.col("w._dow"))
-        & (F.col("f.business_date") >= F.col("w.ly_min_date"))
-        & (F.col("f.business_date") < F.col("w.ly_fiscal_date"))
-    )
-    measures = [c for c in facts.columns if c not in (LOC,)]
-    return f.join(w, on, "right").select(
-        *[F.col(f"w.{c}") for c in windows.columns], *[F.col(f"f.{c}") for c in measures]
+    first = F.date_add(
+        "ly_min_date", F.pmod(F.dayofweek("prediction_date") - F.dayofweek("ly_min_date"), F.lit(7))
     )
+    last = F.date_sub("ly_fiscal_date", 1)
+    days = F.when(first <= last, F.sequence(first, last, F.expr("INTERVAL 7 DAYS")))
+    measures = [c for c in facts.columns if c != LOC]
+    listed = windows.withColumn("_day", F.explode(days)).withColumnRenamed(LOC, "_store")
+    met = facts.join(
+        listed, (F.col(LOC) == F.col("_store")) & (F.col("business_date") == F.col("_day"))
+    ).select(*windows.columns, *measures)
+    found = met.select(*[F.col(c).alias(f"_f{c}") for c in windows.columns]).distinct()
+    same = [F.col(c).eqNullSafe(F.col(f"_f{c}")) for c in windows.columns]
+    alone = windows.join(found, same, "left_anti")
+    return met.unionByName(alone, allowMissingColumns=True)
 
 
 def without(df: DataFrame, listed: DataFrame, keys: list[str]) -> DataFrame:
