@@ -234,6 +234,32 @@ def test_scores_of_odd_rows(odd, none):
     assert deleted_interpolation.score(none).count() == 0
 
 
+def test_two_hops_count_what_one_hop_counts(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").repartition(5)
+    docs = common.stored(docs, "docs")
+    monkeypatch.setattr(deleted_interpolation, "TOKENS", 1 << 12)
+    texts = common.stored(deleted_interpolation.blocks(docs, 1, 2, 5), "blocks")
+    assert texts.count() > 15
+
+    def counted(direct, buckets):
+        monkeypatch.setattr(deleted_interpolation, "DIRECT", direct)
+        rows, known = deleted_interpolation.corpus_counts(texts, buckets)
+        out = {}
+        for r in sorted(rows.collect(), key=lambda r: r.bucket):
+            one, two = (deleted_interpolation.from_planes(r[c], np.uint64) for c in ("one", "two"))
+            out.setdefault((r.block, r.order), []).append(np.stack([one, two]))
+        return {k: np.concatenate(v, 1) for k, v in out.items()}, known, rows.count()
+
+    want, vocabulary, rows = counted(1000, 30)
+    for buckets in (30, 7):
+        got, known, fewer = counted(4, buckets)
+        assert known == vocabulary and got.keys() == want.keys()
+        assert all((got[k] == want[k]).all() for k in want)
+        assert fewer <= rows * np.ceil(np.sqrt(buckets)) / 30
+    empty = texts.limit(0)
+    assert deleted_interpolation.corpus_counts(empty, 30)[0].count() == 0
+
+
 # -- 5: rules --------------------------------------------------------------------
 
 

@@ -5,7 +5,8 @@ P(w | v) = l2(b) f(w | v) + l1(b) f(w) + l0(b) / (V + 1)
 ``f`` are maximum-likelihood estimates from the training texts, V their distinct
 tokens, and b is the bucket of v's frequency, one for each power of two.  The
 weights come from expectation-maximisation: counts of one part of the training
-texts against the tokens of the deleted part.  After that, counts use both parts.
+texts against the tokens of the deleted part, by a histogram of both estimates with
+``GRID`` cells for each doubling.  After that, counts use both parts.
 
 Texts are cut into blocks of about ``TOKENS`` tokens.  A block sends each distinct
 n-gram once, with its counts, to the bucket of the n-gram's hash, and gets the
@@ -40,6 +41,7 @@ from tillcast.llm.common import (
 TOKENS = 1 << 20
 SLICE = 2048  # texts held as Python bytes at a time
 KEYS = 1 << 20  # distinct n-grams for each bucket, about
+DIRECT = 256  # buckets that a block sends to itself
 END = np.uint64(0xE17D0F7E87000001)
 START = np.uint64(0x57A27000000000F1)
 BUCKETS = 40
@@ -205,6 +207,71 @@ def _summed(pdf: pd.DataFrame) -> pd.DataFrame:
     return out
 
 
+def _merged(ranges: int):
+    """The n-grams of a group of blocks in one coarse range, summed and cut into fine ranges."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        keys = [np.cumsum(from_planes(x, np.uint64), dtype=np.uint64) for x in pdf["keys"]]
+        every, at = np.unique(np.concatenate(keys), return_inverse=True)
+        one, two = (
+            np.bincount(at, np.concatenate([from_planes(x, np.uint32) for x in pdf[c]]), len(every)).astype(np.uint32)
+            for c in ("one", "two")
+        )
+        cut = _cut(every, ranges)
+        parts = [(k, slice(x, y)) for k, (x, y) in enumerate(zip(cut[:-1], cut[1:])) if y > x]
+        return pd.DataFrame(
+            {
+                "block": [pdf["sender"].iat[0]] * len(parts),
+                "order": [pdf["order"].iat[0]] * len(parts),
+                "bucket": [k for k, _ in parts],
+                "keys": [planes(np.diff(every[p], prepend=np.uint64(0))) for _, p in parts],
+                "one": [planes(one[p]) for _, p in parts],
+                "two": [planes(two[p]) for _, p in parts],
+            }
+        )
+
+    return run
+
+
+def _returned(sent: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
+    """The corpus counts of a group and coarse range, handed to each of its blocks in its own order."""
+    keys = [np.cumsum(from_planes(x, np.uint64), dtype=np.uint64) for x in sent["keys"]]
+    every = np.unique(np.concatenate(keys))
+    got = got.sort_values("bucket")
+    out = sent[["block", "order", "bucket"]].copy()
+    for c in ("one", "two"):
+        total = np.concatenate([from_planes(x, np.uint64) for x in got[c]] or [np.empty(0, np.uint64)])
+        out[c] = [planes(total[np.searchsorted(every, k)]) for k in keys]
+    return out
+
+
+def corpus_counts(texts: DataFrame, buckets: int) -> tuple[DataFrame, int]:
+    """(block, order, bucket, one, two) of every block's n-grams over the corpus, and V.
+
+    Up to ``DIRECT`` buckets a block sends each of them a row.  Beyond, rows would grow with
+    the square of the corpus, so there are two hops: a block sends to about the square root
+    of so many coarse ranges; there as many blocks are summed together and sent on to fine
+    ranges, and the answers come back the same way.
+    """
+    columns = "block long, order int, bucket int, keys binary, one binary, two binary"
+    found = "block long, order int, bucket int, one binary, two binary"
+    if buckets <= DIRECT:
+        sent = map_arrow(texts, _sent(buckets), columns)
+        counts = sent.groupBy("order", "bucket").applyInPandas(_summed, f"{found}, known long")
+        counts = stored(counts, "counts")
+        return counts, counts.where(F.col("order") == 0).agg(F.sum("known")).first()[0] or 0
+    coarse = int(np.ceil(np.sqrt(buckets)))
+    groups = max(1, -(-texts.count() // coarse))
+    sender = F.pmod(F.xxhash64("block"), F.lit(groups)) * coarse + F.col("bucket")
+    sent = stored(map_arrow(texts, _sent(coarse), columns).withColumn("sender", sender), "sent")
+    fine = sent.groupBy("order", "sender").applyInPandas(_merged(coarse * coarse), columns)
+    summed = fine.groupBy("order", "bucket").applyInPandas(_summed, f"{found}, known long")
+    summed = stored(summed.withColumnRenamed("block", "sender"), "summed")
+    counts = sent.groupBy("order", "sender").cogroup(summed.groupBy("order", "sender"))
+    counts = stored(counts.applyInPandas(_returned, found), "counts")
+    return counts, summed.where(F.col("order") == 0).agg(F.sum("known")).first()[0] or 0
+
+
 def _joined(row: dict, order: int) -> tuple[np.ndarray, np.ndarray]:
     """Corpus counts of the block's keys, counted and deleted part."""
     got = sorted((x for x in row["counts"] if x["order"] == order), key=lambda x: x["bucket"])
@@ -291,14 +358,7 @@ def score(docs: DataFrame, holdout: int = 1, deleted: int = 2, modulus: int = 5)
     total = map_arrow(texts.select("part", "ends"), totals, sums)
     tokens, n1, n2, d1, d2 = (x or 0 for x in total.agg(*(F.sum(c) for c in total.columns)).first())
     buckets = partitions_for(spark, tokens, KEYS)
-    sent = map_arrow(texts, _sent(buckets), "block long, order int, bucket int, keys binary, one binary, two binary")
-    counts = stored(
-        sent.groupBy("order", "bucket").applyInPandas(
-            _summed, "block long, order int, bucket int, one binary, two binary, known long"
-        ),
-        "counts",
-    )
-    vocabulary = counts.where(F.col("order") == 0).agg(F.sum("known")).first()[0] or 0
+    counts, vocabulary = corpus_counts(texts, buckets)
     back = counts.groupBy("block").agg(
         F.collect_list(F.struct("order", "bucket", "one", "two")).alias("counts")
     )
