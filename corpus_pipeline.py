@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillcast.llm import adaptive_rules, hilbert_pack, hyperminhash, knapsack_mix, pairwise_quality
+from tillcast.llm.common import stored
 from tillcast.llm.queries import vocabulary
 from tillcast.session import new_path
 
@@ -52,7 +53,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = _rows(docs).withColumn("id", F.col("row.doc_id").cast("long"))
     rows = rows.withColumn("hash", F.xxhash64(F.col("row.text").cast("string")))
     least = rows.where("id is not null").groupBy("id").agg(F.min("hash").alias("least"), F.max("hash").alias("most"))
-    least = least.where("least <> most").drop("most")
+    least = stored(least.where("least <> most").drop("most"), "least")  # few rows: its size is known now
     key = F.when(F.col("least") != F.col("hash"), F.xxhash64("id", "hash")).otherwise(F.col("id"))
     keyed = rows.join(least, "id", "left").select(key.alias("key"), "row", "digest").where("key is not null")
     found = hyperminhash.near_duplicates(keyed.select(F.col("key").alias("doc_id"), "row.text"), width=SHINGLE)

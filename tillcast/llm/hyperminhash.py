@@ -11,7 +11,12 @@ full shingle sets confirm what is left.
 Links are only needed between classes (documents with the same shingle set), and
 only until every component is joined: in each band group all members are first
 compared with one leader after another, then all members that still are in different
-components with each other, large groups in pairs of blocks.
+components with each other, large groups in pairs of blocks.  Blocks compare registers
+only; texts go to a pair of blocks for the members that have a likely partner there, and
+a pair counts in the first band it shares, however many it shares.
+
+A band key may be that of a third of all classes: what is known of a group meets its
+members in parts of ``PART`` rows.
 """
 
 from __future__ import annotations
@@ -22,7 +27,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillcast.llm.common import (
@@ -45,6 +50,8 @@ CHANCE = 0.169919487159739  # of equal registers from different minima, times 2
 SIGMAS = 5.0
 SMALL = 8  # members of a group whose pairs are joined
 BLOCK = 512  # members compared in one task with as many others
+PART = 1024  # members of a group that meet what is known of it in one place
+SALTS = 16  # places for a group of yet unknown size
 
 
 def shingles(h: np.ndarray, width: int = 2) -> np.ndarray:
@@ -164,7 +171,7 @@ def near_duplicates(
         joined = stored(components(links), "components")
         tested = pairs if tested is None else tested.unionByName(pairs)
         node = groups.join(joined, "id", "left").select(
-            "key", "id", F.coalesce("component_id", "id").alias("component")
+            *groups.columns, F.coalesce("component_id", "id").alias("component")
         )
     if links is None:
         joined = classes.select("id", F.col("id").alias("component_id"))
@@ -179,20 +186,31 @@ def near_duplicates(
 
 
 def _band_groups(reps: DataFrame) -> DataFrame:
-    """(key, id) of the band keys that two or more classes share."""
+    """(key, id, band, rows) of the band keys that two or more classes share."""
     key = F.transform(
         F.sequence(F.lit(0), F.lit(BANDS - 1)),
         lambda k: F.xxhash64(k, F.substring("regs", k * (2 * BAND) + 1, F.lit(2 * BAND))),
     )
-    bands = reps.select("id", F.explode(key).alias("key"))
+    bands = reps.select("id", F.posexplode(key).alias("band", "key"))
     shared = bands.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1")
-    return bands.join(shared.select("key"), "key", "left_semi").distinct()
+    return _with(bands, shared, F.lit(SALTS)).distinct()
+
+
+def _with(node: DataFrame, known: DataFrame, parts: Column | None = None) -> DataFrame:
+    """Members with what is known of their group, one row a key, which meets them in parts.
+
+    Without ``parts`` both sides carry the group's rows, and so the number of its parts.
+    """
+    parts = F.ceil(F.col("rows") / PART) if parts is None else parts
+    known = known.withColumn("part", F.explode(F.sequence(F.lit(0), parts.cast("int") - 1)))
+    node = node.withColumn("part", F.pmod(F.xxhash64("id"), parts).cast("int"))
+    return node.join(known, [c for c in ("key", "part", "rows") if c in node.columns]).drop("part")
 
 
 def _open(node: DataFrame) -> DataFrame:
-    """The members of groups that still hold several components, with the groups' sizes."""
-    of = node.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("rows"))
-    return stored(node.join(of.where("x <> y").select("key", "rows"), "key"), "open")
+    """The members of groups that still hold several components."""
+    of = node.groupBy("key", "rows").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+    return stored(_with(node, of.where("x <> y").drop("x", "y")), "open")
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -206,7 +224,7 @@ def _led(node: DataFrame, turn: int) -> DataFrame:
     """
     order = F.xxhash64(F.lit(turn), "key", "id") if turn else F.col("id")
     first = F.struct(order.alias("o"), F.col("id").alias("leader"), F.col("component").alias("own"))
-    led = node.join(node.groupBy("key").agg(F.min(first).alias("l")), "key").where("component <> l.own")
+    led = _with(node, node.groupBy("key", "rows").agg(F.min(first).alias("l"))).where("component <> l.own")
     return _ordered(led.select(F.col("l.leader").alias("a"), F.col("id").alias("b")))
 
 
@@ -216,37 +234,62 @@ def _rest(
     """What is left: candidates of small groups, and confirmed links of large ones.
 
     Groups of up to ``SMALL`` members are joined with themselves.  A larger group is cut
-    into blocks; a task compares two blocks, confirms on full sets what is likely and not
-    yet joined, and returns no more links than it has members.
+    into blocks.  A task compares the registers of two blocks and names the members with a
+    likely partner; another one confirms these on full sets, if not yet joined, and returns
+    no more links than it has members.
     """
-    small = node.where(F.col("rows") <= SMALL)
+    small = node.where(F.col("rows") <= SMALL).select("key", "id", "component")
     other = small.select("key", F.col("id").alias("b"), F.col("component").alias("other"))
     pairs = small.withColumnRenamed("id", "a").join(other, "key").where("component < other").select("a", "b")
 
-    large = node.where(F.col("rows") > SMALL).join(reps, "id").join(texts, "id")
     blocks = F.ceil(F.col("rows") / BLOCK).cast("int")
-    large = large.withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
+    large = node.where(F.col("rows") > SMALL).withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
     large = large.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     large = large.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
-
-    def compare(pdf):
-        regs = np.frombuffer(b"".join(pdf.regs), np.uint16).reshape(-1, REGISTERS)
-        ids, n, of, block = (pdf[c].to_numpy() for c in ("id", "n", "component", "block"))
+    cells = large.select("key", "band", "i", "j", "block", "id", "component")
+    columns = cells.columns
+
+    def name(pdf):
+        near = np.zeros(len(pdf), bool)
+        for k, mine in _likely(pdf, similar):
+            near[k] |= len(mine) > 0
+            near[mine] = True
+        return pdf.loc[near, columns].drop_duplicates()
+
+    def confirm(pdf):
+        ids = pdf["id"].to_numpy()
         sets = list(shingle_sets([(t or "").encode() for t in pdf.text], width))
-        left, right = np.flatnonzero(block == pdf.i.iat[0]), np.flatnonzero(block == pdf.j.iat[0])
-        root = np.unique(of, return_inverse=True)[1]  # members of one component share a number
+        root = np.unique(pdf.component, return_inverse=True)[1]  # members of one component share a number
         out = []
-        for k in left:
-            mine = right[root[right] != root[k]]
-            regs_k = np.broadcast_to(regs[k], (len(mine), REGISTERS))
-            for m in mine[_may_reach(regs_k, regs[mine], np.full(len(mine), n[k]), n[mine], similar)]:
+        for k, mine in _likely(pdf, similar):
+            for m in mine:
                 if root[m] != root[k] and _similar(sets[k], sets[m], similar):
                     out.append((ids[k], ids[m]))
                     root[root == root[m]] = root[k]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    cells = large.select("key", "i", "j", "block", "id", "component", "n", "regs", "text")
-    return _ordered(pairs), cells.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long")
+    cell = ["key", "band", "i", "j"]
+    named = cells.join(reps, "id").groupBy(cell).applyInPandas(name, cells.schema)
+    found = named.join(reps, "id").join(texts, "id").groupBy(cell).applyInPandas(confirm, "a long, b long")
+    return _ordered(pairs), found
+
+
+def _likely(pdf: pd.DataFrame, similar: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each member of one block with those of the other that it may be similar to.
+
+    They are in different components, and the band of this group is the first they share:
+    in an earlier one they meet too, or are one component already.
+    """
+    regs = np.frombuffer(b"".join(pdf.regs), np.uint16).reshape(-1, REGISTERS)
+    n, of, block = (pdf[c].to_numpy() for c in ("n", "component", "block"))
+    i, j, band = (pdf[c].iat[0] for c in ("i", "j", "band"))
+    right = np.flatnonzero(block == j)
+    for k in np.flatnonzero(block == i):
+        mine = right[(of[right] != of[k]) & ((right > k) | (i != j))]
+        regs_k = np.broadcast_to(regs[k], (len(mine), REGISTERS))
+        mine = mine[_may_reach(regs_k, regs[mine], np.full(len(mine), n[k]), n[mine], similar)]
+        same = (regs[mine, : BANDS * BAND] == regs[k, : BANDS * BAND]).reshape(-1, BANDS, BAND).all(2)
+        yield k, mine[same.any(1) & (same.argmax(1) == band)]
 
 
 def _similar(x: np.ndarray, y: np.ndarray, similar: int) -> bool:
