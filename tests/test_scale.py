@@ -91,3 +91,53 @@ def test_last_years_facts_of_unforecast_dates_are_not_joined(spark):
     got = {(r[LOC], r["intervalstart"][-8:], str(r["transactioncount"]), str(r["lastyearcount"])) for r in items.collect()}
     assert len(got) == 96 and {r[0] for r in got} == {1}
     assert {r for r in got if r[2:] != ("0.00", "0.00")} == {(1, "00:00:00", "2.00", "0.00"), (1, "00:15:00", "0.00", "3.00")}
+
+
+def _lines(spark, tmp_path, rows):
+    """A folder with these lines: order, part, supplier, line number, quantity, price, flag, day."""
+    line = (
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_returnflag string, l_shipdate timestamp_ntz"
+    )
+    spark.createDataFrame(rows, line).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(1, 0), (2, 1)], "s_suppkey long, s_nationkey int").write.parquet(f"{tmp_path}/supplier.parquet")
+    return Views(spark, str(tmp_path))
+
+
+def test_deferred_cells_are_those_of_the_deferred_lines_alone(spark, tmp_path):
+    day = datetime(2000, 7, 18)
+    v = _lines(
+        spark, tmp_path,
+        [(4, 1, 1, 2, 2.0, 10.0, "R", day), (4, 1, 1, 2, 2.0, 10.0, "R", day), (4, 1, 1, 2, 3.0, 5.0, "N", day),
+         (100, 1, 1, 2, 1.0, 7.0, None, day), (5, 1, 1, 2, None, None, "R", day), (6, 1, 2, 2, 1.0, 1.0, "A", day),
+         (None, 1, 1, 2, 1.0, 2.0, "R", None)],
+    )
+    for all_lines, deferred, per in ((v.sales_15min, v.deferred_sales_15min, v._sales), (v.items_15min, v.deferred_items_15min, v._items)):
+        for got, lines in ((all_lines, v.lines), (deferred, v.lines.where("flag = 'R'"))):
+            expected = per(lines, "timequarter")
+            assert got.schema == expected.schema
+            assert sorted(got.collect(), key=repr) == sorted(expected.collect(), key=repr)
+    assert v.deferred_sales_15min.count() == 3
+    # Both come out of one table.
+    assert v.deferred_sales_15min.inputFiles() == v.sales_15min.inputFiles()
+
+
+def test_forecasts_read_versions_of_their_own_quarter_hours(spark, tmp_path):
+    old = [(-4 - n, 1, 1 + n % 2, n % 2, 1.0 + n, 1.0, "N", datetime(2000, 7, 1) + timedelta(days=n // 2)) for n in range(80)]
+    twice = [(96 * n, 1, 1, k, 5.0 + k, 2.0, "N", datetime(2000, 7, 20) + timedelta(days=n)) for n in range(5) for k in (0, 1)]
+    v = _lines(spark, tmp_path, [*old, *twice, (None, 1, 1, 1, 1.0, 1.0, "N", datetime(2000, 7, 20)), (None, 1, 1, 1, 1.0, 1.0, "N", datetime(2000, 1, 1))])
+    for horizon in HORIZONS:
+        for facts, latest in ((v.sales_15min, v._latest_sales), (v.items_15min, v._latest_items)):
+            cut = v._ahead(latest(v._near(facts, horizon)), horizon)
+            whole = v._ahead(latest(facts), horizon)
+            assert sorted(cut.collect(), key=repr) == sorted(whole.select(cut.columns).collect(), key=repr)
+            assert cut.count() > 0
+            below = cut._jdf.queryExecution().optimizedPlan().toString().split("Window", 1)[1]
+            assert any("Filter" in line and "timequarter" in line and ">=" in line for line in below.splitlines())
+
+
+def test_partitions_follow_the_lines(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("catalog.views.LINES_PER_TASK", 3)
+    v = _lines(spark, tmp_path, [(n, 1, 1, 2, 1.0, 1.0, "N", datetime(2000, 7, 18)) for n in range(100)])
+    assert v._partitions == 34
+    assert _exchanges(v._sales(v.lines, "timequarter", parts=v._partitions))[-1].count(", 34)") == 1
