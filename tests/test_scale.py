@@ -141,3 +141,14 @@ def test_partitions_follow_the_lines(spark, tmp_path, monkeypatch):
     v = _lines(spark, tmp_path, [(n, 1, 1, 2, 1.0, 1.0, "N", datetime(2000, 7, 18)) for n in range(100)])
     assert v._partitions == 34
     assert _exchanges(v._sales(v.lines, "timequarter", parts=v._partitions))[-1].count(", 34)") == 1
+
+
+def test_one_limit_derives_the_tables_of_its_metric_only(spark, monkeypatch):
+    from catalog import forecasts
+
+    class Only(Views):
+        sales_daily = items_daily = property(lambda self: 1 / 0)
+        ingredients_15min = calendar_daily = None
+
+    monkeypatch.setattr(forecasts.limits, "ingredient_demand", lambda *given: given)
+    assert forecasts.demand(Only(spark, "unused"), "ingredient")[0] is None
