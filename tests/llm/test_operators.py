@@ -624,3 +624,14 @@ def test_registers_estimate_jaccard():
         hyperminhash.registers(a)[None], hyperminhash.registers(b)[None], np.array([2200]), np.array([2200])
     )[0]
     assert abs(got - 2000 / 2400) < 0.1
+
+
+def test_tokens_learned_by_one_task_serve_the_next(monkeypatch):
+    path = queries.vocabulary()
+    first = hilbert_pack.kept_tokens(path)
+    texts = [b"kept words, kept", b"", b"it's 12"]
+    ids = first.of(texts)
+    assert ids == hilbert_pack.Tokens(path).of(texts)
+    again = hilbert_pack.kept_tokens(path)
+    monkeypatch.setattr(hilbert_pack.Tokens, "_learn", lambda self, pieces: 1 / 0 if pieces else None)
+    assert again.of(texts) == ids
