@@ -152,3 +152,73 @@ def test_one_limit_derives_the_tables_of_its_metric_only(spark, monkeypatch):
 
     monkeypatch.setattr(forecasts.limits, "ingredient_demand", lambda *given: given)
     assert forecasts.demand(Only(spark, "unused"), "ingredient")[0] is None
+
+
+def _odd_lines(spark, tmp_path):
+    """Lines with null and negative keys, repeated rows, a store of few dates and one that lags."""
+    day = datetime(2000, 6, 1)
+    rows = [(n * 7 - 40, 1 + n % 3, 1, n % 2, 1.0 + n, 1.0, "R" if n % 4 else "N", day + timedelta(days=n // 3)) for n in range(300)]
+    rows += [(n, 1, 2, 1, 2.0, 1.0, "N", datetime(1999, 1, 1) + timedelta(days=n)) for n in range(8)]
+    rows += [(n, 1, 3, 1, 2.0, 1.0, "N", day + timedelta(days=n)) for n in range(5)]
+    rows += [(None, 1, 1, 1, 3.0, 4.0, "R", datetime(2001, 10, 1)), (None, 1, 1, 1, 5.0, 6.0, "N", datetime(2000, 7, 20)),
+             (9, 1, 1, 1, 3.0, 4.0, "R", None), (9, None, 1, 1, 3.0, 4.0, "R", datetime(2001, 10, 2)), rows[0], rows[0]]
+    # Part 3 is in no recipe: the newest dates of store 1 have no ingredients.
+    rows += [(n, 3, 1, 1, 1.0, 1.0, "N", datetime(2001, 10, 5) + timedelta(days=n)) for n in range(6)]
+    v = _lines(spark, tmp_path, rows)
+    spark.createDataFrame([(1, 0), (2, 1), (3, None)], "s_suppkey long, s_nationkey int").write.mode("overwrite").parquet(f"{tmp_path}/supplier.parquet")
+    spark.createDataFrame([(1, 5, 900.0), (2, 6, 800.0), (2, 6, 800.0)], "p_partkey long, p_size int, p_retailprice double").write.parquet(f"{tmp_path}/part.parquet")
+    return v
+
+
+def _rows(df, *drop):
+    return sorted(map(repr, df.drop(*drop).collect()))
+
+
+def test_parts_hold_whole_cells_of_their_dates(spark, tmp_path):
+    v = _odd_lines(spark, tmp_path)
+    for name in ("sales_15min", "items_15min", "ingredients_15min", "deferred_sales_15min", "deferred_items_15min", "sales_daily"):
+        near, whole = getattr(v.near, name), getattr(v, name)
+        cut = F.col(DAY).between(F.lit(AS_OF + timedelta(days=13 - 365)), F.lit(AS_OF + timedelta(days=29 - 363)))
+        assert _rows(near.where(cut)) == _rows(whole.where(cut)) and near.where(cut).count() > 0
+        assert near.count() < whole.count()
+    for horizon in HORIZONS:
+        for got, facts, latest in (
+            (v.forecast_15min(horizon), v.sales_15min, v._latest_sales),
+            (v.forecast_items_15min(horizon), v.items_15min, v._latest_items),
+        ):
+            whole = v._ahead(latest(v._near(facts, horizon)), horizon)
+            assert got.count() == whole.count() > 0
+            measure = "sales_sub_total" if "sales_sub_total" in whole.columns else "sum_daily_quantity"
+            whole = whole.select(LOC, DAY, F.col(measure).cast("double").alias("forecast"), GEN)
+            assert _rows(got.select(LOC, DAY, "forecast", GEN)) == _rows(whole)
+
+
+def test_newest_dates_of_a_recent_part_are_those_of_all_lines(spark, tmp_path):
+    v = _odd_lines(spark, tmp_path)
+    for n in (4, 7):
+        recent = v.recent(n)
+        for name in ("sales_daily", "items_daily", "ingredients_15min"):
+            newest = []
+            for rows in (getattr(v, name).collect(), getattr(recent, name).collect()):
+                dates = {s: sorted({r[DAY] or date.min for r in rows if r[LOC] == s})[-n:] for s in (1, 2, None)}
+                newest.append(sorted(repr(r) for r in rows if (r[DAY] or date.min) in dates[r[LOC]]))
+            assert newest[0] == newest[1] != []
+        assert recent.lines.count() < v.lines.count()
+
+
+def test_document_checks_store_no_facts_of_all_history(spark, tmp_path, monkeypatch):
+    from catalog import checks
+
+    built = []
+    kept = Views.stored
+
+    def noted(self, name, *given):
+        built.append(self._prefix + name)
+        return kept(self, name, *given)
+
+    monkeypatch.setattr(Views, "stored", noted)
+    _odd_lines(spark, tmp_path)
+    spark.createDataFrame([(0,), (1,)], "n_nationkey int").write.parquet(f"{tmp_path}/nation.parquet")
+    assert checks.DocumentChecks(Views(spark, str(tmp_path))).alerts.columns
+    assert "near_item_cells" in built and "recent_56_sales_cells" in built
+    assert not {"sales_cells", "item_cells", "ingredients_15min", "sales_daily"} & set(built)
