@@ -635,3 +635,20 @@ def test_tokens_learned_by_one_task_serve_the_next(monkeypatch):
     again = hilbert_pack.kept_tokens(path)
     monkeypatch.setattr(hilbert_pack.Tokens, "_learn", lambda self, pieces: 1 / 0 if pieces else None)
     assert again.of(texts) == ids
+
+
+def test_unknown_words_of_latin_letters_go_straight_to_the_merges(monkeypatch):
+    path = queries.vocabulary()
+    letters = [chr(c) for c in range(0x41, 0x100) if chr(c).isalpha()]
+    texts = [f"{c} {c}{c}x y{c}z" for c in letters] + ["It's a Straße, ÉTÉ 42", "x" * 200 + " ÿ"]
+    others = ["ſt İx ǅ", "éte ́", "漢字かな ไทย", "a­b  c\u0085d", "<|EndOfText|> a", ""]
+    encode = Tokenizer.from_file(path).encode
+    want = {t: np.array(encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts + others}
+    tokens = hilbert_pack.Tokens(path)
+    assert tokens.of([t.encode() for t in others]) == [want[t] for t in others]
+    monkeypatch.setattr(hilbert_pack, "CACHED", 3)  # forgotten, learned again
+    monkeypatch.setattr(tokens, "_encoded", lambda word: 1 / 0 if word.isalpha() or " " in word else encoded(word))
+    encoded = hilbert_pack.Tokens(path)._encoded
+    for _ in range(2):
+        assert tokens.of([t.encode() for t in texts]) == [want[t] for t in texts]
+        assert max(map(len, tokens.known)) <= hilbert_pack.CHUNK
