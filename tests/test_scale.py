@@ -222,3 +222,24 @@ def test_document_checks_store_no_facts_of_all_history(spark, tmp_path, monkeypa
     assert checks.DocumentChecks(Views(spark, str(tmp_path))).alerts.columns
     assert "near_item_cells" in built and "recent_56_sales_cells" in built
     assert not {"sales_cells", "item_cells", "ingredients_15min", "sales_daily"} & set(built)
+
+
+def test_long_checks_and_delivered_documents_store_no_facts_of_all_history(spark, tmp_path, monkeypatch):
+    from catalog import checks, forecasts
+
+    built = []
+    kept = Views.stored
+
+    def noted(self, name, *given):
+        built.append(self._prefix + name)
+        return kept(self, name, *given)
+
+    monkeypatch.setattr(Views, "stored", noted)
+    _odd_lines(spark, tmp_path)
+    spark.createDataFrame([(0,), (1,)], "n_nationkey int").write.parquet(f"{tmp_path}/nation.parquet")
+    whole = {"sales_cells", "item_cells", "ingredients_15min", "sales_daily", "latest_sales_daily"}
+    assert forecasts.Documents(Views(spark, str(tmp_path)), stored=True).build().count() > 0
+    assert "near_item_cells" in built and not whole & set(built)
+    assert not [name for name in built if name.startswith("recent_")]  # documents need no limits
+    assert checks.DocumentChecks(Views(spark, str(tmp_path)), "long").alerts.columns
+    assert "doc_items_long" in built and "recent_56_sales_cells" in built and not whole & set(built)
